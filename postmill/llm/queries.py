@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postmill.llm import decontaminate, pieces, quality_gam, secrets, simhash
+from postmill.llm import decontaminate, pieces, quality_gam, secrets, simhash, substrings
 from postmill.llm.common import read_table
 
 
@@ -25,6 +25,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.drop_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_report(read_table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op5_simhash": op5_simhash,
+    "op7_substrings": op7_substrings,
     "op8_secrets": op8_secrets,
     "op9_quality": op9_quality,
     "op10_pieces": op10_pieces,
