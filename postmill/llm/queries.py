@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postmill.llm import decontaminate, pieces, quality_gam, secrets, simhash, substrings
+from postmill.llm import decontaminate, pieces, quality_gam, secrets, simhash, substrings, url_filter
 from postmill.llm.common import read_table
 
 
@@ -17,6 +17,10 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.site_report(read_table(spark, sf_dir, "pages"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -42,6 +46,7 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": op1_url_filter,
     "op2_decontamination": op2_decontamination,
     "op5_simhash": op5_simhash,
     "op7_substrings": op7_substrings,
@@ -51,5 +56,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_url_filter": url_filter.ORACLE,
     "op2_decontamination": decontaminate.ORACLE,
 }
