@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postmill.llm import decontaminate, flac, pieces, quality_gam, secrets, simhash, substrings, url_filter
+from postmill.llm import class_lm, decontaminate, flac, pieces, quality_gam, secrets, simhash, substrings, url_filter
 from postmill.llm.common import read_table
 
 
@@ -33,6 +33,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op6_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.score_texts(read_table(spark, sf_dir, "documents"))
+
+
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.drop_repeats(read_table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op4_flac": op4_flac,
     "op5_simhash": op5_simhash,
+    "op6_class_lm": op6_class_lm,
     "op7_substrings": op7_substrings,
     "op8_secrets": op8_secrets,
     "op9_quality": op9_quality,
