@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postmill.llm import class_lm, decontaminate, flac, pieces, quality_gam, secrets, simhash, substrings, url_filter
+from postmill.llm import class_lm, decontaminate, flac, language_id, pieces, quality_gam, secrets, simhash, substrings, url_filter
 from postmill.llm.common import read_table
 
 
@@ -25,6 +25,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "documents"))
+
+
 def op4_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flac.media_report(read_table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_decontamination": op2_decontamination,
+    "op3_language_id": op3_language_id,
     "op4_flac": op4_flac,
     "op5_simhash": op5_simhash,
     "op6_class_lm": op6_class_lm,
