@@ -10,6 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The table `name` of a data folder, through Spark's own reader."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -25,7 +28,13 @@ def cut(df: DataFrame) -> DataFrame:
     context = spark.sparkContext
     if not context.getCheckpointDir():
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint()
+    # Its shuffle files go with the end of the run, not when the driver next collects garbage.
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint()
+    finally:
+        spark.conf.set(CLEANUP, before)
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:

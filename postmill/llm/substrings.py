@@ -5,14 +5,15 @@ difference cover D of period v, any two places i and j have a shift k < v with i
 in D modulo v, so it is enough to hash the runs (of window - v + 1 words) that start at cover
 places: two equal windows share an aligned anchor. Anchors with a hash of their own are dropped;
 around each of the others the match is extended to all windows that hold the anchor, whose whole
-words are hashed with 128 bits; of equal windows only the first one, by document and place, is kept.
+words are hashed with 96 bits; of equal windows only the first one, by document and place, is kept.
 
 Skew: within a portion of a task, all but the first of equal anchors (or windows) are settled on
 the spot and travel under a key of their own; only the first one meets those of other portions. So
 a passage that a third of all documents share makes a group no larger than the number of portions.
 
 A document is a pair of id and text: rows that repeat both count as one and get the same result;
-rows with one id and different texts are ordered by a hash of the text. Null ids come first (as the
+rows with one id and different texts are ordered by a hash of the text (one with an equal hash would
+count as equal). Null ids come first (as the
 least long, which no id may be). Null texts have no words.
 """
 
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postmill.llm.common import as_bytes, portions
+from postmill.llm.common import as_bytes, cut, portions
 
 #: Perfect difference covers by period: each difference modulo the period is one of two members.
 COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18), 57: (0, 1, 3, 13, 32, 36, 43, 52)}
@@ -115,14 +116,14 @@ def _anchors(batches: Iterator[pa.RecordBatch], window: int, rows: int) -> Itera
     member[list(cover)] = True
     for batch in portions(batches, rows):
         p = _Portion(as_bytes(batch.column("text")))
-        ids, seals = batch.column("id").to_numpy(zero_copy_only=False), batch.column("seal").to_numpy(zero_copy_only=False)
+        ids = batch.column("id").to_numpy(zero_copy_only=False)
         runs = run_hashes(p.hashes[:, 0], length, FACTORS[0])
         at = np.flatnonzero(member[p.place[: len(runs)] % period] & (p.left[: len(runs)] >= length) & (p.count[p.doc[: len(runs)]] >= window))
         key, doc, place = runs[at], p.doc[at], p.place[at]
         first, shared = firsts((key,), (doc, place))
-        key = np.where(first, key, _salt(ids[doc], seals[doc], place))
-        columns = (key.view(np.int64), ids[doc], seals[doc], place.astype(np.int32), np.where(shared, 2, 1).astype(np.int32))
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "id", "seal", "place", "n"])
+        key = np.where(first, key, _salt(ids[doc], place))
+        columns = (key.view(np.int64), place << 2 | np.where(shared, 2, 1), ids[doc])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "spot", "id"])
 
 
 def _windows(batches: Iterator[pa.RecordBatch], window: int, rows: int) -> Iterator[pa.RecordBatch]:
@@ -130,7 +131,7 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int, rows: int) -> Itera
     length = window - period + 1
     for batch in portions(batches, rows):
         p = _Portion(as_bytes(batch.column("text")))
-        ids, seals = batch.column("id").to_numpy(zero_copy_only=False), batch.column("seal").to_numpy(zero_copy_only=False)
+        ids, turns = batch.column("id").to_numpy(zero_copy_only=False), batch.column("turn").to_numpy(zero_copy_only=False)
         marks = batch.column("places")
         ends = np.asarray(marks.offsets)
         flat = marks.values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]]
@@ -144,20 +145,22 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int, rows: int) -> Itera
         a, b = (run_hashes(p.hashes[:, k], window, FACTORS[k]) for k in (0, 1))
         at = np.flatnonzero((np.cumsum(step)[: len(a)] > 0) & (p.left[: len(a)] >= window))
         doc, place = p.doc[at], p.place[at]
-        first, _ = firsts((a[at], b[at]), (ids[doc], seals[doc], place))
-        key, more = np.where(first, a[at], _salt(ids[doc], seals[doc], place)), np.where(first, b[at], np.uint64(0))
-        columns = (key.view(np.int64), more.view(np.int64), ids[doc], seals[doc], place.astype(np.int32), ~first)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "more", "id", "seal", "place", "later"])
+        a, b, turn = a[at], (b[at] >> np.uint64(32)).astype(np.uint32), turns[doc].astype(np.int64)
+        first, _ = firsts((a, b), (ids[doc], turn, place))
+        key, more = np.where(first, a, _salt(ids[doc], turn, place)), np.where(first, b, np.uint32(0))
+        columns = (key.view(np.int64), more.view(np.int32), turn << 32 | place, ids[doc], ~first)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "more", "spot", "id", "later"])
 
 
 def _kept(batches: Iterator[pa.RecordBatch], window: int, rows: int) -> Iterator[pa.RecordBatch]:
     for batch in portions(batches, rows):
         n_words, n_removed, shas, texts = [], [], [], []
-        for text, places in zip(as_bytes(batch.column("text")), batch.column("places"), strict=True):
+        for text, turn, spots in zip(as_bytes(batch.column("text")), batch.column("turn").to_pylist(), batch.column("spots"), strict=True):
             words = text.split()
-            if places.is_valid and len(places):
+            starts = spots.values.to_numpy(zero_copy_only=False) if spots.is_valid else np.zeros(0, np.int64)
+            starts = starts[starts >> 32 == turn] & 0xFFFFFFFF
+            if len(starts):
                 step = np.zeros(len(words) + window + 1, np.int64)
-                starts = places.values.to_numpy(zero_copy_only=False)
                 np.add.at(step, starts, 1)
                 np.add.at(step, starts + window, -1)
                 gone = np.cumsum(step)[: len(words)] > 0
@@ -181,16 +184,20 @@ def drop_repeats(docs: DataFrame, window: int = 20, rows: int = 4000, keep_text:
     A word goes if a window over it also starts earlier: in a document with a smaller id, or earlier
     in the same one. Windows are judged on the input. `keep_text` adds the kept words as `kept`.
     """
-    shared = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("seal"), F.coalesce("text", F.lit("")).alias("text"))
-    anchors = shared.select("id", "seal", "text").mapInArrow(lambda b: _anchors(b, window, rows), "key long, id long, seal long, place int, n int")
-    meeting = anchors.withColumn("all", F.sum("n").over(Window.partitionBy("key"))).where(F.col("all") > 1)
-    marked = meeting.groupBy("id", "seal").agg(F.collect_set("place").alias("places"))
-
-    # Both joins below read the texts from one exchange on (id, seal).
-    candidates = shared.join(marked.hint("shuffle_hash"), ["id", "seal"]).select("id", "seal", "text", "places")
-    windows = candidates.mapInArrow(lambda b: _windows(b, window, rows), "key long, more long, id long, seal long, place int, later boolean")
-    own = F.struct("id", "seal", "place")
-    ranked = windows.withColumn("least", F.min(own).over(Window.partitionBy("key", "more", "later")))
-    gone = ranked.where(F.col("later") | (F.col("least") < own)).groupBy("id", "seal").agg(F.collect_set("place").alias("places"))
-    final = shared.join(gone.hint("shuffle_hash"), ["id", "seal"], "left").select(F.nullif("id", F.lit(NO_ID)).alias("doc_id"), "text", "places", *([F.lit(True).alias("keep")] if keep_text else []))
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    marked = cut(_marked(texts, window, rows))
+    # Rows with one id take turns by their text, equal rows sharing one. Both joins read the texts from one exchange on the id.
+    turns = texts.withColumn("turn", F.dense_rank().over(Window.partitionBy("id").orderBy(F.xxhash64("text"))) - 1)
+    candidates = turns.join(marked.hint("shuffle_hash"), "id").select("id", "turn", "text", "places")
+    windows = candidates.mapInArrow(lambda b: _windows(b, window, rows), "key long, more int, spot long, id long, later boolean")
+    ranked = windows.withColumn("rank", F.rank().over(Window.partitionBy("key", "more", "later").orderBy("id", "spot")))
+    gone = ranked.where(F.col("later") | (F.col("rank") > 1)).groupBy("id").agg(F.collect_set("spot").alias("spots"))
+    final = turns.join(gone.hint("shuffle_hash"), "id", "left").select(F.nullif("id", F.lit(NO_ID)).alias("doc_id"), "turn", "text", "spots", *([F.lit(True).alias("keep")] if keep_text else []))
     return final.mapInArrow(lambda b: _kept(b, window, rows), "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * keep_text)
+
+
+def _marked(texts: DataFrame, window: int, rows: int) -> DataFrame:
+    """By id, the places of the anchors that occur elsewhere too."""
+    anchors = texts.mapInArrow(lambda b: _anchors(b, window, rows), "key long, spot long, id long")
+    meeting = anchors.withColumn("all", F.sum(F.col("spot").bitwiseAND(3)).over(Window.partitionBy("key"))).where(F.col("all") > 1)
+    return meeting.groupBy("id").agg(F.collect_set(F.shiftright("spot", 2).cast("int")).alias("places"))
