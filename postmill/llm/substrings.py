@@ -136,6 +136,8 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int, rows: int) -> Itera
         ends = np.asarray(marks.offsets)
         flat = marks.values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]]
         doc_of = np.repeat(np.arange(batch.num_rows), np.diff(ends))
+        own = flat < p.count[doc_of]  # rows that share an id share their places too
+        flat, doc_of = flat[own], doc_of[own]
         # A window is a candidate if any marked anchor starts within its first window - length + 1 words.
         step = np.zeros(len(p.doc) + 1, np.int64)
         at = p.first[doc_of] + flat
