@@ -89,7 +89,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, block
     facts = shingles.agg(F.count_distinct("text").alias("windows"), F.collect_set("size").alias("sizes"), F.count_distinct("key").alias("keys")).first()
     sizes = sorted(facts["sizes"]) or [SHINGLE]
     blocks = max(1, -(-facts["windows"] // block_windows))
-    read = docs.select(words_of(F.col("text")).alias("w"), F.col("doc_id"), *([F.struct(*carry).alias("row")] if carry else []))
+    base = docs.select("text", "doc_id", *([F.struct(*carry).alias("row")] if carry else [])).withColumn("rid", F.monotonically_increasing_id())
+    if blocks > 1:  # all passes must see the same row numbers
+        base = cut(base)
+    read = base.select(words_of(F.col("text")).alias("w"), *(c for c in base.columns if c != "text"))
 
     block_of = F.pmod(F.xxhash64("key", F.lit(3)), F.lit(blocks))
     counts = []
@@ -101,13 +104,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, block
     ranked = shingles.join(rare, "key", "left").groupBy("text", "n", "items").agg(F.min(F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), "offset", "key")).alias("p"))
     index = cut(ranked.where("p.seen > 0").select(F.col("p.key").alias("key"), F.col("text").alias("want"), F.col("n").alias("want_n"), F.col("p.offset").alias("offset"), "items"))
 
-    rows = read.withColumn("rid", F.monotonically_increasing_id())
     found = []
     for block in range(blocks):
         own = index.where(F.pmod(F.xxhash64("key", F.lit(3)), F.lit(blocks)) == block)
         #: The end of each text meets this row, so that texts without a window stay.
         ends = own.limit(0).unionByName(own.sparkSession.range(1).select(F.lit(0).cast("long").alias("key"), F.lit(None).cast("string").alias("want"), F.lit(0).alias("want_n"), F.lit(0).alias("offset"), F.lit(None).cast("array<string>").alias("items")))
-        dealt = _shingled(rows, sizes, block == 0)
+        dealt = _shingled(read, sizes, block == 0)
         if block == 0:
             dealt = dealt.withColumn("key", F.when(F.col("pos") == F.size("w"), F.lit(0).cast("long")).otherwise(F.col("key")))
         at, n = F.col("pos") - F.col("offset"), F.size("w")

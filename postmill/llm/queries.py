@@ -73,4 +73,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op1_url_filter": url_filter.ORACLE,
     "op2_decontamination": decontaminate.ORACLE,
+    "op7_substrings": substrings.ORACLE,
+    "op8_secrets": secrets.ORACLE,
 }

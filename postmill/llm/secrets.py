@@ -104,3 +104,36 @@ def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
 
     rest = lambda s: F.concat(s["out"], F.substring(text, s["upto"] + 1, F.length(text)))
     return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(text)
+
+
+def _oracle(reach: int = 200) -> str:
+    """DuckDB SQL for `scan_report`; the engine there has no look-around, so opaque runs are told by their whole run."""
+    assign = ASSIGN.replace("'", "''")
+    login, endpoint = (KINDS[k][0].replace("'", "''").replace(r"\"", '"') for k in ("login", "endpoint"))
+    kinds = (
+        (assign, f"length(regexp_extract(m, '{assign}', 2)) >= 8"), ("AKIA[A-Z0-9]+", "length(m) >= 16"), ("[0-9a-f]+", "length(m) >= 32"),
+        ("[A-Za-z0-9+/]+=?", "length(m) = 40 and m not like '%=' and regexp_matches(m, '[a-z]') and regexp_matches(m, '[A-Z]') and regexp_matches(m, '[0-9]')"),
+        (login, "true"), (endpoint, "true"),
+    )
+    scans = " union all ".join(
+        f"select rid, {k} as kind, a, a + length(m) as b from (select rid, p[i] as m, cast(coalesce(list_sum(list_transform(p[1:i - 1], lambda x: length(x))), 0) as bigint) as a from"
+        f" (select rid, p, unnest(range(2, len(p) + 1, 2)) as i from (select rid, string_split(replace(regexp_replace(t, '{pattern}', chr(1) || '\\0' || chr(2), 'g'), chr(2), chr(1)), chr(1)) as p from d))) where {ok}"
+        for k, (pattern, ok) in enumerate(kinds)
+    )
+    near = lambda kinds: f"exists (select 1 from part o where o.rid = s.rid and o.kind in ({kinds}) and (o.a, o.kind, o.b) <> (s.a, s.kind, s.b) and (case when (o.a, o.kind, o.b) < (s.a, s.kind, s.b) then s.a - o.b <= {reach} else o.a - s.b <= {reach} end))"
+    names = f"['{"', '".join(NAMES)}'][kind + 1]"
+    written_in_order = lambda only: f"coalesce(string_agg(concat({names}, ':', a, ':', b), ',' order by a, kind){only}, '')"
+    return rf"""
+with d as (select doc_id, row_number() over () as rid, replace(replace(coalesce(text, ''), chr(1), chr(3)), chr(2), chr(3)) as t from documents),
+part as ({scans}),
+kept as (select s.* from part s where kind < 3 or (kind = 3 and {near('1, 4')}) or (kind = 4 and {near('0, 2, 3')}) or (kind = 5 and {near('1, 4')} and {near('0, 2, 3')})),
+said as (
+  select rid, count(*) filter (kind = 0) as n_assign, count(*) filter (kind = 1) as n_access, count(*) filter (kind = 2) as n_hex,
+    {written_in_order(' filter (kind < 3)')} as base, {written_in_order('')} as spans
+  from kept group by rid)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from d left join said using (rid)
+"""
+
+
+ORACLE = _oracle()

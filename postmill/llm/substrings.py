@@ -203,3 +203,20 @@ def _marked(texts: DataFrame, window: int, rows: int) -> DataFrame:
     anchors = texts.mapInArrow(lambda b: _anchors(b, window, rows), "key long, spot long, id long")
     meeting = anchors.withColumn("all", F.sum(F.col("spot").bitwiseAND(3)).over(Window.partitionBy("key"))).where(F.col("all") > 1)
     return meeting.groupBy("id").agg(F.collect_set(F.shiftright("spot", 2).cast("int")).alias("places"))
+
+
+#: The same rows in DuckDB, by all windows of 20 words.
+ORACLE = r"""
+with d as (
+  select doc_id, row_number() over () as rid, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+win as (
+  select rid, doc_id, a, array_to_string(w[a + 1:a + 20], ' ') as t
+  from (select rid, doc_id, w, unnest(range(0, len(w) - 19)) as a from d where len(w) >= 20)),
+later as (select rid, a from (select rid, a, rank() over (partition by t order by doc_id, a) as r from win) where r > 1),
+gone as (select distinct rid, p from (select rid, unnest(range(a, a + 20)) as p from later)),
+words as (select rid, i - 1 as p, w[i] as x from (select rid, w, unnest(range(1, len(w) + 1)) as i from d)),
+kept as (select rid, string_agg(x, ' ' order by p) as t from words anti join gone using (rid, p) group by rid),
+lost as (select rid, count(*) as n from gone group by rid)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n, 0) as bigint) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from d left join kept using (rid) left join lost using (rid)
+"""
