@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from postmill.functions.compare import KEYS, is_duplicate, with_keys
 from postmill.functions.geo import around, cell_x, cell_y
 from postmill.functions.text import core, expand, fold, number_key
+from postmill.operators.cutting import cut
 from postmill.schema import FIELDS, LARGEST_BLOCK
 
 
@@ -70,13 +71,15 @@ def to_delete(addresses: DataFrame, limit: int = LARGEST_BLOCK, oversize: str =
     if oversize not in ("delete_all", "keep_all"):
         raise ValueError("oversize is delete_all or keep_all")
     blocks = hashes(addresses)
-    big = oversized(blocks, limit).select("hash")
-    alive = blocks.join(big, "hash", "left_anti")
-    pairs = duplicate_pairs(addresses, alive)
+    big = cut(oversized(blocks, limit).select("hash"))
+    some_big = not big.isEmpty()
+    alive = lambda frame: frame.join(big, "hash", "left_anti") if some_big else frame
+    pairs = cut(duplicate_pairs(addresses, alive(blocks) if some_big else None))
     near = pairs.groupBy("worse").agg(F.collect_list("better").alias("near"))
     members = pairs.select(F.col("better").alias("id")).unionByName(pairs.select(F.col("worse").alias("id"))).distinct()
-    members = members.join(addresses.select("id", "rank"), "id").join(near, members.id == near.worse, "left").select("id", "rank", F.coalesce("near", F.array().cast("array<bigint>")).alias("near"))
-    dealt = alive.join(members, alive.address == members.id).select("hash", F.struct(F.col("rank"), "id", "near").alias("m"))
+    involved = addresses.join(members, "id", "left_semi")
+    ranked = involved.select("id", "rank").join(near, F.col("id") == near.worse, "left").select("id", F.struct("rank", "id", F.coalesce("near", F.array().cast("array<bigint>")).alias("near")).alias("m"))
+    dealt = alive(hashes(involved)).join(ranked, F.col("address") == F.col("id")).select("hash", "m")
     ordered = F.reverse(F.array_sort(F.collect_list("m")))
     kept = F.aggregate("pack", F.array().cast("array<bigint>"), lambda k, m: F.when(F.arrays_overlap(k, m["near"]), k).otherwise(F.array_append(k, m["id"])))
     packs = dealt.groupBy("hash").agg(ordered.alias("pack")).where(F.size("pack") > 1)
