@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -59,10 +61,14 @@ def without(expanded: Column, words: tuple[str, ...]) -> Column:
     return F.array_join(F.filter(F.split(expanded, " "), lambda t: ~t.isin(*words)), " ")
 
 
+def bound(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f of x with x computed once, however often f uses it."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
 def core(expanded: Column) -> Column:
     """What is left without kinds of street and words without weight; all of it if nothing is."""
-    rest = without(expanded, STREET_TYPES + STOP_WORDS)
-    return F.when(rest == "", expanded).otherwise(rest)
+    return bound(expanded, lambda e: bound(without(e, STREET_TYPES + STOP_WORDS), lambda rest: F.when(rest == "", e).otherwise(rest)))
 
 
 def number_key(x: Column) -> Column:
