@@ -193,9 +193,9 @@ def hamming_links(distinct: DataFrame, limit: int = 3, sample_rows: int = 20_000
     The sample (the first `sample_rows` by a hash) only steers how the bits are grouped.
     """
     total = distinct.count()
-    sample = np.array(distinct.orderBy(F.xxhash64("fp"), "fp").limit(sample_rows).toArrow().column("fp").to_numpy(), "<i8").view("<u8")
-    if total < 2:
+    if total < 2 or limit < 1:
         return distinct.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
+    sample = np.array(distinct.orderBy(F.xxhash64("fp"), "fp").limit(sample_rows).toArrow().column("fp").to_numpy(), "<i8").view("<u8")
     signed = lambda v: v - (1 << 64) if v >> 63 else v
     probes = []
     for part, (mask, t) in enumerate(allocate(sample, total, limit)):
