@@ -39,9 +39,15 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(rest, F.lit("")), r"^[^/?#]*([^?#]*)", 1)
 
 
+def listed(spark: SparkSession, rules: list[tuple[str, str, int]]) -> DataFrame:
+    """A short list of rules (pattern, action, tier) as a frame, without Python on the executors."""
+    rows = F.array(*(F.struct(F.lit(p).alias("pattern"), F.lit(a).alias("action"), F.lit(t).alias("tier")) for p, a, t in rules))
+    return spark.range(1).select(F.inline(rows))
+
+
 def site_rules(spark: SparkSession, rules: list[tuple[str, str]], tier: int = 1) -> DataFrame:
     """Rules given as (action, host and path)."""
-    return spark.createDataFrame([("||" + site, action, tier) for action, site in rules], RULES_SCHEMA)
+    return listed(spark, [("||" + site, action, tier) for action, site in rules])
 
 
 def compiled(rules: DataFrame) -> DataFrame:
@@ -106,7 +112,7 @@ PATTERNS = ["||ads.", "||ads-", ".ads-track.", "||ads-track.", "||free-bets.", "
 def site_report(pages: DataFrame) -> DataFrame:
     """page_id, host, path, rule (of SITES, else null) and verdict of each row, SITES going before PATTERNS."""
     spark = pages.sparkSession
-    more = spark.createDataFrame([(p, "block", 0) for p in PATTERNS], RULES_SCHEMA)
+    more = listed(spark, [(p, "block", 0) for p in PATTERNS])
     found = filter_urls(pages, site_rules(spark, SITES).unionByName(more))
     rule = F.when(F.col("tier") == 1, F.regexp_replace("pattern", r"^\|\|", ""))
     return found.select("page_id", "host", "path", rule.alias("rule"), "verdict")
