@@ -114,7 +114,7 @@ def _anchors(batches: Iterator[pa.RecordBatch], window: int, rows: int) -> Itera
     period, cover = cover_for(window)
     length, member = window - period + 1, np.zeros(period, bool)
     member[list(cover)] = True
-    for batch in portions(batches, rows):
+    for batch in portions(batches, rows, most_bytes=4 << 20):
         p = _Portion(as_bytes(batch.column("text")))
         ids = batch.column("id").to_numpy(zero_copy_only=False)
         runs = run_hashes(p.hashes[:, 0], length, FACTORS[0])
@@ -129,7 +129,7 @@ def _anchors(batches: Iterator[pa.RecordBatch], window: int, rows: int) -> Itera
 def _windows(batches: Iterator[pa.RecordBatch], window: int, rows: int) -> Iterator[pa.RecordBatch]:
     period, _ = cover_for(window)
     length = window - period + 1
-    for batch in portions(batches, rows):
+    for batch in portions(batches, rows, most_bytes=4 << 20):
         p = _Portion(as_bytes(batch.column("text")))
         ids, turns = batch.column("id").to_numpy(zero_copy_only=False), batch.column("turn").to_numpy(zero_copy_only=False)
         marks = batch.column("places")
@@ -155,7 +155,7 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int, rows: int) -> Itera
 
 
 def _kept(batches: Iterator[pa.RecordBatch], window: int, rows: int) -> Iterator[pa.RecordBatch]:
-    for batch in portions(batches, rows):
+    for batch in portions(batches, rows, most_bytes=4 << 20):
         n_words, n_removed, shas, texts = [], [], [], []
         for text, turn, spots in zip(as_bytes(batch.column("text")), batch.column("turn").to_pylist(), batch.column("spots"), strict=True):
             words = text.split()
