@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.llm import decontaminate, pieces, quality_gam, secrets, simhash
+from postmill.llm import decontaminate, pieces, quality_gam, secrets, similar
 from postmill.llm.common import read_table
 from postmill.llm.queries import piece_model
 
@@ -28,9 +28,10 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the row with the least id stays, one row of it; rows without id stay."""
-    found = simhash.near_duplicates(docs)
-    first = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id")).distinct()
+    """Of each group of near copies (five-word shingles, Jaccard 0.8 or more) the row with the least id stays; rows without id stay."""
+    keyed = similar.with_row_key(docs)
+    found = similar.near_copies(keyed)
+    first = found.where(F.col("doc_id").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
     kept = docs.where(F.col("doc_id").isNotNull()).join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
 
