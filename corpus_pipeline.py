@@ -28,12 +28,11 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, Jaccard 0.8 or more) the row with the least id stays; rows without id stay."""
-    keyed = similar.with_row_key(docs)
-    found = similar.near_copies(keyed)
-    first = found.where(F.col("doc_id").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-    kept = docs.where(F.col("doc_id").isNotNull()).join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+    """Of each group of near copies (five-word shingles, Jaccard 0.8 or more) one row stays: with the least id, none last."""
+    keyed, key = similar.with_row_key(docs), list(similar.ROW_KEY)
+    best = F.struct(F.col("doc_id").isNull(), "doc_id", *key)
+    first = similar.near_copies(keyed).groupBy("root").agg(F.min(best).alias("r")).select(*(F.col(f"r.{k}") for k in key))
+    return keyed.join(first, key, "left_semi").dropDuplicates(key).select(*docs.columns)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -60,3 +60,11 @@ def test_near_copies_are_all_found(spark):
     kept = corpus_pipeline.one_of_each(spark, docs, "").collect()
     assert sorted(r.doc_id for r in kept) == sorted(set(want))
     assert similar.near_copies(similar.with_row_key(docs.limit(0))).count() == 0
+
+
+def test_one_row_of_each_group_whatever_its_id(spark):
+    text = lambda start: " ".join(f"w{start + i}" for i in range(40))
+    rows = [(1, text(0)), (2, text(0)), (2, text(100)), (2, text(100)), (None, text(200)), (None, text(200)), (None, text(0)), (None, text(300)), (3, text(300)), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, r.text or "") for r in corpus_pipeline.one_of_each(spark, docs, "").collect()]
+    assert sorted(map(repr, kept)) == sorted(map(repr, [(1, text(0)), (2, text(100)), (None, text(200)), (3, text(300)), (None, "")]))
