@@ -6,15 +6,13 @@ the columns of documents.
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.llm import decontaminate, pieces, quality_gam, secrets, similar
-from postmill.llm.common import read_table
+from postmill.llm.common import read_table, remove, shared_folder
 from postmill.llm.queries import piece_model
 
 #: SQL can express neither the classifier nor the pieces.
@@ -28,7 +26,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, Jaccard 0.8 or more) one row stays: with the least id, none last."""
+    """Of each group of near copies (SimHash candidates, five-word shingles, Jaccard 0.8 or more) one row stays: with the least id, none last."""
     keyed, key = similar.with_row_key(docs), list(similar.ROW_KEY)
     best = F.struct(F.col("doc_id").isNull(), "doc_id", *key)
     first = similar.near_copies(keyed).groupBy("root").agg(F.min(best).alias("r")).select(*(F.col(f"r.{k}") for k in key))
@@ -65,13 +63,19 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; each stage's rows are written as Parquet in the shared folder and read again."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pipeline-")
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages over the documents; each stage's rows are written as Parquet in the shared folder and read again.
+
+    A stage's folder goes once the next one is written; the last one stays, for the result reads it.
+    """
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for number, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if number < len(STAGES) - 1:
-            at = os.path.join(folder, f"pipeline-{uuid.uuid4().hex}", name)
+            at = f"{folder}/{name}"
             docs.write.parquet(at)
             docs = spark.read.parquet(at)
+            if before:
+                remove(spark, before)
+            before = at
     return docs

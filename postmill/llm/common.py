@@ -18,16 +18,28 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df, computed once and kept by checkpoint() in the shared folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session's spark.checkpoint.dir names; where it is unset a temporary one, on a single machine only."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local") or "-cluster" in spark.sparkContext.master:
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="checkpoint-")
+    return folder.rstrip("/")
 
-    The folder is the session's spark.checkpoint.dir; only where that is unset (tests,
-    a single machine) a temporary one is made.
-    """
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever Spark has it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df, computed once and kept by checkpoint() in the shared folder."""
     spark = df.sparkSession
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        context.setCheckpointDir(shared_folder(spark))
     # Its shuffle files go with the end of the run, not when the driver next collects garbage.
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
@@ -37,6 +49,21 @@ def cut(df: DataFrame) -> DataFrame:
         spark.conf.set(CLEANUP, before)
 
 
+def spread_join(rows: DataFrame, facts: DataFrame, key: str, hot: DataFrame | None, how: str = "inner") -> DataFrame:
+    """rows joined with facts (one row for each key), where the rows of hot keys are dealt out.
+
+    hot has (key, salts): rows of such a key go to that many tasks, by their place in a table that was
+    cut, and its one row of facts to each of them. Its size is bounded by the number of rows over the
+    least number that makes a key hot, so it is broadcast.
+    """
+    if hot is None:
+        return rows.join(facts, key, how)
+    salts = F.coalesce("salts", F.lit(1))
+    dealt = rows.join(F.broadcast(hot), key, "left").withColumn("salt", F.pmod(F.monotonically_increasing_id(), salts).cast("int")).drop("salts")
+    many = facts.join(F.broadcast(hot), key, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), (salts - 1).cast("int")))).drop("salts")
+    return dealt.join(many, [key, "salt"], how).drop("salt")
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of a string column; null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -89,16 +89,19 @@ def flips(mask: int, most: int) -> list[int]:
     return out
 
 
-def allocate(sample: np.ndarray, total: int, limit: int = 3, row_cost: float = 100.0) -> list[tuple[int, int]]:
+def allocate(sample: np.ndarray, total: int, limit: int = 3, row_cost: float = 100.0, share: float = 1.0) -> list[tuple[int, int]]:
     """(mask, threshold) by part, with least estimated cost for `total` distinct fingerprints.
 
     A row dealt out costs `row_cost` comparisons. Candidates are estimated by how many pairs of
-    the sample differ in at most t bits of the part.
+    the sample differ in at most t bits of the part; `share` of them are compared (other bounds
+    leave out the rest).
     """
     best: tuple[float, list[tuple[int, int]]] = (float("inf"), [])
     for parts in range(2, limit + 2):
-        masks = correlated_parts(sample, parts)
         budget = limit - parts + 1
+        if budget > 2 * parts:  # more than two flips a part would be needed
+            continue
+        masks = correlated_parts(sample, parts)
         costs = []
         for mask in masks:
             values, counts = np.unique(sample & np.uint64(mask), return_counts=True)
@@ -110,7 +113,7 @@ def allocate(sample: np.ndarray, total: int, limit: int = 3, row_cost: float = 1
                         at = np.minimum(np.searchsorted(values, values ^ np.uint64(f)), len(values) - 1)
                         pairs += float((counts * counts[at])[values[at] == values ^ np.uint64(f)].sum())
                 seen = max(1.0, len(sample) * (len(sample) - 1.0))
-                row[t] = row_cost * total * sum(comb(width, j) for j in range(t + 1)) + max(pairs / seen, 0.5 / seen if len(sample) < total else 0) * total * total / 2
+                row[t] = row_cost * total * sum(comb(width, j) for j in range(t + 1)) + max(pairs / seen, 0.5 / seen if len(sample) < total else 0) * total * total / 2 * share
             costs.append(row)
         states: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
         for row in costs:
@@ -145,10 +148,96 @@ def trees(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[own], nodes[root[own]]
 
 
+def runs_of(batches: Iterator[pa.RecordBatch], names: tuple[str, ...], keys: int) -> Iterator[list[np.ndarray]]:
+    """The columns of sorted batches, dealt anew so that rows equal in the first `keys` of them come together."""
+    held: list[np.ndarray] | None = None
+    for batch in batches:
+        now = [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
+        if held is not None:
+            now = [np.concatenate(x) for x in zip(held, now, strict=True)]
+        changed = np.flatnonzero(np.any([x[1:] != x[:-1] for x in now[:keys]], axis=0))
+        at = int(changed[-1]) + 1 if len(changed) else 0
+        if at:
+            yield [x[:at] for x in now]
+        held = [x[at:] for x in now]
+    if held is not None and len(held[0]):
+        yield held
+
+
+def ranges(left: np.ndarray, lo: np.ndarray, hi: np.ndarray, most: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All (left[i], j) with lo[i] <= j < hi[i], about `most` at a time."""
+    counts = np.maximum(hi - lo, 0)
+    some = np.flatnonzero(counts)
+    left, lo, counts = left[some], lo[some], counts[some]
+    ends, at = np.cumsum(counts), 0
+    while at < len(left):
+        base = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, base + most, side="right")))
+        n = counts[at:to]
+        first = np.repeat(lo[at:to] - (np.cumsum(n) - n), n)
+        yield np.repeat(left[at:to], n), first + np.arange(len(first))
+        at = to
+
+
+def _candidates(batches: Iterator[pa.RecordBatch], limit: int, p: int, q: int, near: int, most: int = 200_000) -> Iterator[pa.RecordBatch]:
+    """Pairs of nodes within the limit, of sizes that allow a similarity of p / q, in different components.
+
+    Rows come sorted by (part, value, r1, r2, probe, n). With `near` each row meets the next `near` rows of its run only.
+    """
+    names = ("part", "value", "r1", "r2", "probe", "n", "block", "fp", "node", "root")
+    pairs: list[np.ndarray] = []
+
+    def out() -> pa.RecordBatch:
+        got = np.unique(np.concatenate(pairs), axis=0)
+        pairs.clear()
+        return pa.RecordBatch.from_arrays([pa.array(got[:, 0].copy()), pa.array(got[:, 1].copy())], names=["a", "b"])
+
+    def met(c: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        run = np.concatenate([[0], np.cumsum(np.any([x[1:] != x[:-1] for x in c[:4]], axis=0))])
+        rows, n = np.arange(len(run)), c[5].astype(np.int64)
+        if near:
+            for shift in range(1, near + 1):
+                left = rows[: max(0, len(run) - shift)]
+                left = left[(run[left] == run[left + shift]) & (q * n[left] >= p * n[left + shift])]
+                yield left, left + shift
+            return
+        place = run << 33 | c[4].astype(np.int64) << 32 | n
+        # Pairs within a component are no news, so rows of the run's largest one meet the others only.
+        at = np.lexsort((c[9], run))
+        heads = np.flatnonzero(np.concatenate([[True], (run[at][1:] != run[at][:-1]) | (c[9][at][1:] != c[9][at][:-1])]))
+        sizes = np.diff(np.append(heads, len(run)))
+        by_size = np.lexsort((sizes, run[at][heads]))
+        last = by_size[np.concatenate([run[at][heads][by_size][1:] != run[at][heads][by_size][:-1], [True]])]
+        inner = c[9] == c[9][at][heads][last][run]
+        least, largest = -(-p * n // q), n * q // p
+        for left, right in ((~inner, rows), (inner, np.flatnonzero(~inner))):
+            own = np.flatnonzero(left & (c[4] == 0))
+            there = place[right]
+            for probe in (0, 1):
+                key = run[own] << 33 | probe << 32
+                lo = np.searchsorted(there, key | least[own]) if probe else np.searchsorted(right, own + 1)
+                for x, y in ranges(own, lo, np.searchsorted(there, key | largest[own], side="right")):
+                    yield x, right[y]
+
+    for c in runs_of(batches, names, 4):
+        fp, node = c[7].view("<u8"), c[8]
+        apart = c[2] != c[3]
+        for x, y in met(c):
+            ok = np.flatnonzero(np.bitwise_count(fp[x] ^ fp[y]) <= limit)
+            x, y = x[ok], y[ok]
+            ok = (c[9][x] != c[9][y]) & (node[x] != node[y]) & (~apart[x] | (c[6][x] != c[6][y]))
+            if ok.any():
+                x, y = node[x[ok]], node[y[ok]]
+                pairs.append(np.stack([np.minimum(x, y), np.maximum(x, y)], 1))
+                if sum(map(len, pairs)) > most:
+                    yield out()
+    if pairs:
+        yield out()
+
+
 def _compare(batches: Iterator[pa.RecordBatch], limit: int, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Links within runs of equal (part, value, r1, r2), whose rows come sorted with probes last."""
     names = ("part", "value", "r1", "r2", "probe", "block", "fp")
-    held: list[np.ndarray] | None = None
 
     def linked(c: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         new = np.concatenate([[True], np.any([x[1:] != x[:-1] for x in c[:4]], axis=0)])
@@ -174,51 +263,62 @@ def _compare(batches: Iterator[pa.RecordBatch], limit: int, most: int = 1 << 20)
             a, b = trees(*map(np.concatenate, zip(*found, strict=True)))
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    for batch in batches:
-        now = [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
-        if held is not None:
-            now = [np.concatenate(x) for x in zip(held, now, strict=True)]
-        changed = np.flatnonzero(np.any([x[1:] != x[:-1] for x in now[:4]], axis=0))
-        at = int(changed[-1]) + 1 if len(changed) else 0
-        if at:
-            yield from linked([x[:at] for x in now])
-        held = [x[at:] for x in now]
-    if held is not None and len(held[0]):
-        yield from linked(held)
+    for c in runs_of(batches, names, 4):
+        yield from linked(c)
 
 
-def hamming_links(distinct: DataFrame, limit: int = 3, sample_rows: int = 20_000, block_rows: int = 4096, broadcast_rows: int = 50_000) -> DataFrame:
-    """Links (a, b) that connect the distinct fingerprints `fp` just as all pairs within `limit` bits would.
+def dealt(rows: DataFrame, parts: list[tuple[int, int]], block_rows: int, broadcast_rows: int = 50_000, probing: bool = True) -> DataFrame:
+    """rows (with `fp`) by (part, value, r1, r2): under the value of each part and, unless `probing` is off, under those within its threshold.
 
-    The sample (the first `sample_rows` by a hash) only steers how the bits are grouped.
+    Values with more than `block_rows` rows are split into blocks, and each pair of blocks (r1, r2) meets apart
+    (without probing, blocks don't meet).
     """
-    total = distinct.count()
-    if total < 2 or limit < 1:
-        return distinct.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
-    sample = np.array(distinct.orderBy(F.xxhash64("fp"), "fp").limit(sample_rows).toArrow().column("fp").to_numpy(), "<i8").view("<u8")
     signed = lambda v: v - (1 << 64) if v >> 63 else v
     probes = []
-    for part, (mask, t) in enumerate(allocate(sample, total, limit)):
+    for part, (mask, t) in enumerate(parts):
         if t >= 0:
             value = F.col("fp").bitwiseAND(F.lit(signed(mask)))
             probes.append(F.array(F.struct(F.lit(part).alias("part"), value.alias("value"), F.lit(0).alias("probe"))))
-            if t:
+            if t and probing:
                 masks = F.lit([signed(f) for f in flips(mask, t)])
                 probes.append(F.transform(masks, lambda f, v=value, p=part: F.struct(F.lit(p).alias("part"), v.bitwiseXOR(f).alias("value"), F.lit(1).alias("probe"))))
-    rows = distinct.select("fp", F.explode(F.concat(*probes)).alias("p")).select("fp", "p.*")
-    crowded = rows.groupBy("part", "value").agg(F.count("*").alias("n")).where(F.col("n") > block_rows)
-    crowded = cut(crowded.select("part", "value", F.ceil(F.col("n") / F.lit(block_rows)).cast("int").alias("blocks")))
+    own = rows.columns
+    rows = rows.select(*own, F.explode(F.concat(*probes)).alias("p")).select(*own, "p.*")
+    crowded = rows.groupBy("part", "value").agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > block_rows)
+    crowded = cut(crowded.select("part", "value", F.ceil(F.col("n_rows") / F.lit(block_rows)).cast("int").alias("blocks")))
     n = crowded.count()
     if n:
         rows = rows.join(F.broadcast(crowded) if n <= broadcast_rows else crowded, ["part", "value"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     else:
         rows = rows.withColumn("blocks", F.lit(1))
-    rows = (
+    return (
         rows.withColumn("block", F.pmod(F.xxhash64("fp", F.lit(7)), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("part", "value", F.least("block", "other").alias("r1"), F.greatest("block", "other").alias("r2"), "probe", "block", "fp")
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)) if probing else F.col("block"))
+        .select("part", "value", F.least("block", "other").alias("r1"), F.greatest("block", "other").alias("r2"), "probe", "block", *own)
+        .repartition("part", "value", "r1", "r2")
     )
-    rows = rows.repartition("part", "value", "r1", "r2").sortWithinPartitions("part", "value", "r1", "r2", "probe")
+
+
+def candidate_pairs(nodes: DataFrame, parts: list[tuple[int, int]], limit: int, p: int, q: int, near: int = 0, block_rows: int = 1 << 20) -> DataFrame:
+    """Distinct pairs (a, b) of nodes (node, fp, n, root) to be verified: within `limit` bits, with sizes n in a ratio of p / q at least, roots apart.
+
+    All of them; with `near` only those of rows that follow one another by size in a part's value, a
+    cheap first look that links large groups before all the others are compared.
+    """
+    rows = dealt(nodes.select("node", "fp", "n", "root"), parts, block_rows, probing=not near).sortWithinPartitions("part", "value", "r1", "r2", "probe", "n")
+    return rows.mapInArrow(lambda batches: _candidates(batches, limit, p, q, near), "a long, b long").distinct()
+
+
+def hamming_links(distinct: DataFrame, limit: int = 3, sample_rows: int = 20_000, block_rows: int = 4096, broadcast_rows: int = 50_000) -> DataFrame:
+    """Links (a, b) that connect the distinct fingerprints `fp` just as all pairs within `limit` bits would.
+
+    The sample (the first `sample_rows` by a hash) only steers how the bits are grouped.
+    """
+    total = distinct.count()
+    if total < 2 or limit < 1:
+        return distinct.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
+    sample = np.array(distinct.orderBy(F.xxhash64("fp"), "fp").limit(sample_rows).toArrow().column("fp").to_numpy(), "<i8").view("<u8")
+    rows = dealt(distinct.select("fp"), allocate(sample, total, limit), block_rows, broadcast_rows).sortWithinPartitions("part", "value", "r1", "r2", "probe")
     return rows.mapInArrow(lambda batches: _compare(batches, limit), "a long, b long").distinct()
 
 

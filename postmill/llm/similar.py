@@ -1,19 +1,21 @@
-"""Near copies by exact similarity: texts whose sets of shingles have a Jaccard similarity of p / q or more.
+"""Near copies: SimHash candidates within a wide limit, then an exact check of the shingles.
 
-The join is exact (no sampling, no bands): shingles have one order over the whole input, rare ones
-first, and two sets with the wanted similarity share one of the first n - ceil(n p / q) + 1 shingles
-of each (prefix filter). Sets that meet there are compared only if size, places in the order and the
-parity of 256 bits (its Hamming distance is never more than the symmetric difference) allow the
-similarity, then if longer parities do; then the sets themselves are compared. The order takes its counts from hashed slots of
-fixed number, which steers the cost only.
+Texts are near copies if their sets of shingles have a Jaccard similarity of p / q or more. Each
+set has a SimHash of its own (64 bits, by majority of the hashes of its distinct shingles). Sets
+with the wanted similarity s differ in about 64 acos(2 s / (1 + s)) / pi bits, 9.7 for 0.8; the
+default limit of 14 bits leaves out some 5 % of the pairs right at the border and hardly any
+above 0.85. Candidates are all pairs within the limit, found by the generalised pigeonhole of
+`simhash`, and of sizes that allow the similarity. They are verified: first by parities of the
+sets (a lower bound of their symmetric difference), then by the sets themselves. So no link is
+wrong, and all links within the limit are found.
 
-Equal sets are one node from the start. Nodes that share a shingle are not met all with all: in each
-round all of them meet one of them, another one each time, and
-what that links is one component from then on; only pairs in different components are left. Once
-few enough are left, or a round links nothing more, all of them are compared.
+Equal sets are one node from the start. A first look compares only rows that follow one another
+in a part's value; what it links is one component from then on, so the members of a large group
+need not meet all with all in the second look, which finds all the rest.
 
 Words are what white space parts, A-Z lower-cased; a text with fewer words than a shingle is one
-shingle, texts without words are equal. Shingles and sets are told apart by 64-bit hashes.
+shingle, texts without words (null ones too) are equal. Repeated rows are equal sets. Shingles and
+sets are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -27,8 +29,8 @@ from pyspark.sql import functions as F
 
 from postmill.llm.common import as_bytes, cut, portions
 from postmill.llm.components import components
+from postmill.llm.simhash import allocate, candidate_pairs
 
-SLOTS = 1 << 16
 ROW_KEY = ("row_key_1", "row_key_2")
 
 
@@ -63,7 +65,16 @@ def node_of(hashes: np.ndarray) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def parity(hashes: np.ndarray, size: int = 256) -> bytes:
+def set_fingerprint(hashes: np.ndarray) -> int:
+    """The SimHash of a set of shingles, as a signed long: a bit is 1 if set in over half of the hashes."""
+    ones, mixed = np.zeros(64, np.int64), hashes * np.uint64(0xD6E8FEB86659FD93)
+    mixed ^= mixed >> np.uint64(32)
+    for at in range(0, len(mixed), 16_384):
+        ones += np.unpackbits(mixed[at : at + 16_384].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
+
+
+def parity(hashes: np.ndarray, size: int) -> bytes:
     """`size` bits (a power of two), each the parity of the number of hashes that fall on it."""
     return np.packbits((np.bincount((hashes >> np.uint64(17)).astype(np.int64) & (size - 1), minlength=size) & 1).astype(np.uint8)).tobytes()
 
@@ -82,193 +93,61 @@ def least_apart(x: bytes, y: bytes) -> int:
 
 
 def _possible(batches: Iterator[pa.RecordBatch], p: int, q: int) -> Iterator[pa.RecordBatch]:
-    """Pairs whose wide parities allow the similarity."""
+    """Pairs whose parities allow the similarity."""
     for batch in batches:
         a, b, n, m = (batch.column(c).to_pylist() for c in ("x", "y", "n", "m"))
         keep = [(q + p) * least_apart(s, t) <= (q - p) * (i + j) for s, t, i, j in zip(a, b, n, m, strict=True)]
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _met(batches: Iterator[pa.RecordBatch], pivots_only: bool, p: int, q: int, most: int = 200_000) -> Iterator[pa.RecordBatch]:
-    """Pairs worth comparing within runs of equal keys, whose rows come sorted by key."""
-
-    def linked(key, node, n, pos, root, bits):  # noqa: ANN001, ANN202
-        new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        ends = np.append(new[1:], len(key))
-
-        def fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            both = n[x] + n[y]
-            ok = (root[x] != root[y]) & (q * np.minimum(n[x], n[y]) >= p * np.maximum(n[x], n[y]))
-            ok &= (q + p) * (np.minimum(pos[x], pos[y]) + np.minimum(n[x] - pos[x], n[y] - pos[y])) >= p * both
-            x, y, both = x[ok], y[ok], both[ok]
-            apart = np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64)
-            ok = (q + p) * apart <= (q - p) * both
-            return x[ok], y[ok]
-
-        sizes = ends - new
-        if pivots_only:  # the first row of each run with all others of it
-            first = np.repeat(new, sizes)
-            others = np.flatnonzero(np.arange(len(key)) != first)
-            yield fit(first[others], others)
-            return
-        left = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= 64), sizes))
-        end, shift = np.repeat(ends, sizes)[left], 1
-        while len(left):
-            ok = left + shift < end
-            left, end = left[ok], end[ok]
-            yield fit(left, left + shift)
-            shift += 1
-        for i in np.flatnonzero(sizes > 64):
-            at = np.arange(new[i], ends[i])
-            roots, where, counts = np.unique(root[at], return_inverse=True, return_counts=True)
-            # Pairs within the largest component are no news, so its rows meet the others only.
-            rest = np.flatnonzero(where != int(counts.argmax()))
-            seen = np.zeros(len(at), bool)
-            for o in rest:
-                seen[o] = True
-                to = at[~seen]
-                yield fit(np.full(len(to), at[o]), to)
-
-    held: list[np.ndarray] | None = None
-    pairs: list[np.ndarray] = []
-
-    def out() -> pa.RecordBatch:
-        got = np.unique(np.concatenate(pairs), axis=0)
-        pairs.clear()
-        return pa.RecordBatch.from_arrays([pa.array(got[:, 0].copy()), pa.array(got[:, 1].copy())], names=["a", "b"])
-
-    def take(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        node = columns[1]
-        for x, y in linked(*columns):
-            if len(x):
-                pairs.append(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])], 1))
-                if sum(map(len, pairs)) > most:
-                    yield out()
+def _verified(pairs: DataFrame, one: DataFrame, texts: DataFrame, words_in_shingle: int, p: int, q: int) -> DataFrame:
+    """The pairs (a, b) whose sets have a similarity of p / q or more."""
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        now = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "node")]
-        now += [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("n", "pos", "root")]
-        now.append(np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64).reshape(-1, 4))
-        if held is not None:
-            now = [np.concatenate(x) for x in zip(held, now, strict=True)]
-        changed = np.flatnonzero(now[0][1:] != now[0][:-1])
-        at = int(changed[-1]) + 1 if len(changed) else 0
-        if at:
-            yield from take([x[:at] for x in now])
-        held = [x[at:] for x in now]
-    if held is not None:
-        yield from take(held)
-    if pairs:
-        yield out()
-
-
-def near_copies(docs: DataFrame, words_in_shingle: int = 5, p: int = 4, q: int = 5, rounds: int = 2) -> DataFrame:
-    """Row key, doc_id and root of each row of docs (see `with_row_key`); rows with one root are linked by near copies."""
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in portions(batches, 200, most_bytes=2 << 20):
+            hashes = [shingle_set(x, words_in_shingle).view(np.int64) for x in as_bytes(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(hashes, pa.list_(pa.int64()))], names=["node", "hashes"])
+
+    facts = lambda node, own, size: one.select(F.col("node").alias(node), F.col("wide").alias(own), F.col("n").alias(size))
+    met = pairs.join(facts("a", "x", "n"), "a").join(facts("b", "y", "m"), "b")
+    open_pairs = cut(met.mapInArrow(lambda batches: _possible(batches, p, q), "a long, b long"))
+    ends = open_pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = texts.join(one.join(ends, "node", "left_semi").select(*ROW_KEY, "node"), list(ROW_KEY)).dropDuplicates(["node"])
+    found = cut(wanted.select("node", "text").mapInArrow(sets, "node long, hashes array<long>"))
+    both = open_pairs.join(found.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(found.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
+    return both.where((q + p) * F.size(F.array_intersect("x", "y")) >= p * (F.size("x") + F.size("y"))).select("a", "b")
+
+
+def near_copies(docs: DataFrame, words_in_shingle: int = 5, p: int = 4, q: int = 5, limit: int = 14, near: int = 8, sample_rows: int = 20_000, block_rows: int = 1 << 20) -> DataFrame:
+    """Row key, doc_id and root of each row of docs (see `with_row_key`); rows with one root are linked by near copies.
+
+    The sample of `sample_rows` sets steers how the bits are grouped, and so the cost only.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select(*ROW_KEY, "doc_id", "text")
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches, 2000):
             found = [shingle_set(x, words_in_shingle) for x in as_bytes(batch.column("text"))]
-            made = [pa.array(list(map(node_of, found)), pa.int64()), pa.array(list(map(len, found)), pa.int32()), pa.array(list(map(wide_parity, found)), pa.binary())]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*ROW_KEY, "doc_id")), *made], names=[*ROW_KEY, "doc_id", "node", "n", "wide"])
-
-    named = cut(texts.mapInArrow(name, f"{ROW_KEY[0]} long, {ROW_KEY[1]} long, doc_id {kind}, node long, n int, wide binary"))
-    one = cut(named.groupBy("node").agg(F.min(F.struct(*ROW_KEY, "n", "wide")).alias("r")).select("r.*", "node"))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SLOTS, np.int64)
-        for batch in portions(batches, 2000):
-            for x in as_bytes(batch.column("text")):
-                np.add.at(total, (shingle_set(x, words_in_shingle) >> np.uint64(48)).astype(np.int64), 1)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["slot", "n"])
-
-    got = texts.select("text").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    seen = np.zeros(SLOTS, np.int64)
-    seen[got.column("slot").to_numpy()] = got.column("n").to_numpy()
-    sent = docs.sparkSession.sparkContext.broadcast(seen)
-
-    def first_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = sent.value
-        for batch in portions(batches, 500, most_bytes=2 << 20):
-            keys, nodes, sizes, places, bits = [], [], [], [], []
-            for text in as_bytes(batch.column("text")):
-                hashes = shingle_set(text, words_in_shingle)
-                n = len(hashes)
-                if n:
-                    m = n - -(-n * p // q) + 1
-                    order = np.argsort(seen[(hashes >> np.uint64(48)).astype(np.int64)], kind="stable")[:m]
-                    keys.append(hashes[order])
-                    nodes.append(np.full(m, node_of(hashes)))
-                    sizes.append(np.full(m, n, np.int32))
-                    places.append(np.arange(m, dtype=np.int32))
-                    bits += [parity(hashes)] * m
-            if keys:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys).view(np.int64)), *(pa.array(np.concatenate(x)) for x in (nodes, sizes, places)), pa.array(bits, pa.binary())],
-                    names=["key", "node", "n", "pos", "bits"],
-                )
-
-    def shared_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            if held is not None:
-                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-            if not batch.num_rows:
-                continue
-            key = batch.column("key").to_numpy()
-            same = key[1:] == key[:-1]
-            keep = np.append(same, False) | np.concatenate([[False], same])
-            # The last row waits for what comes next; it is known by then whether it met one before.
-            last = batch.num_rows - 1
-            if keep[last]:
-                held = batch.slice(last - 1 if last else 0)
-                yield batch.slice(0, last - 1).filter(pa.array(keep[: last - 1]))
-            else:
-                held = batch.slice(last)
-                yield batch.slice(0, last).filter(pa.array(keep[:last]))
-        if held is not None and held.num_rows > 1:
-            yield held
-
-    shape = "key long, node long, n int, pos int, bits binary"
-    unique = texts.join(one.select(*ROW_KEY), list(ROW_KEY), "left_semi").dropDuplicates(list(ROW_KEY))
-    prefix = unique.select("text").mapInArrow(first_ones, shape)
-    shared = cut(prefix.repartition("key").sortWithinPartitions("key", "node").mapInArrow(shared_ones, shape))
-    rows = shared.count()
-    roots = links = None
-    for turn in range(rounds + 1):
-        now = shared.withColumn("root", F.col("node")) if roots is None else shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        spread = now.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
-        left = spread.agg(F.sum(F.col("n") * F.col("n") - F.col("own")) / 2).first()[0] or 0
-        if not left:
-            break
-        final = left <= 16 * rows or turn == rounds
-        open_keys = spread.where(F.col("n") * F.col("n") > F.col("own")).select("key") if turn else None
-        meeting = now if open_keys is None else now.join(open_keys, "key", "left_semi")
-        meeting = meeting.select("key", "node", "n", "pos", "root", "bits").repartition("key").sortWithinPartitions("key", F.xxhash64(F.lit(turn), "node"))
-        met = (meeting.mapInArrow(lambda batches, final=final: _met(batches, not final, p, q), "a long, b long").distinct())
-        facts = lambda node, own, size: one.select(F.col("node").alias(node), F.col("wide").alias(own), F.col("n").alias(size))
-        met = met.join(facts("a", "x", "n"), "a").join(facts("b", "y", "m"), "b")
-        pairs = cut(met.mapInArrow(lambda batches: _possible(batches, p, q), "a long, b long"))
-        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-
-        def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in portions(batches, 200, most_bytes=2 << 20):
-                hashes = [shingle_set(x, words_in_shingle).view(np.int64) for x in as_bytes(batch.column("text"))]
-                yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(hashes, pa.list_(pa.int64()))], names=["node", "hashes"])
-
-        wanted = texts.join(one.select(*ROW_KEY, "node").join(ends, "node", "left_semi"), list(ROW_KEY)).dropDuplicates(["node"])
-        found = cut(wanted.select("node", "text").mapInArrow(sets, "node long, hashes array<long>"))
-        both = pairs.join(found.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(found.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
-        enough = (q + p) * F.size(F.array_intersect("x", "y")) >= p * (F.size("x") + F.size("y"))
-        new = cut(both.where(enough).select("a", "b"))
-        links = new if links is None else links.unionByName(new)
+            made = [pa.array(list(map(node_of, found)), pa.int64()), pa.array(list(map(len, found)), pa.int32()), pa.array(list(map(set_fingerprint, found)), pa.int64()), pa.array(list(map(wide_parity, found)), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*ROW_KEY, "doc_id")), *made], names=[*ROW_KEY, "doc_id", "node", "n", "fp", "wide"])
+
+    named = cut(texts.mapInArrow(name, f"{ROW_KEY[0]} long, {ROW_KEY[1]} long, doc_id {kind}, node long, n int, fp long, wide binary"))
+    # Sets too small to resemble another one, whatever it is, have no links.
+    one = cut(named.where(F.col("n") * q >= (F.col("n") + 1) * p).groupBy("node").agg(F.min(F.struct(*ROW_KEY, "n", "fp", "wide")).alias("r")).select("node", "r.*"))
+    alone = named.select(*ROW_KEY, "doc_id", F.col("node").alias("root"))
+    total = one.count()
+    if total < 2:
+        return alone
+    got = one.orderBy(F.xxhash64("node"), "node").limit(sample_rows).select("fp", "n").toArrow()
+    sizes = np.sort(got.column("n").to_numpy().astype(np.int64))
+    fit = np.searchsorted(sizes, sizes * q // p, side="right") - np.searchsorted(sizes, -(-sizes * p // q))
+    parts = allocate(got.column("fp").to_numpy().view("<u8"), total, limit, share=float(fit.mean()) / len(sizes))
+    links = roots = None
+    for first in (True, False):
+        nodes = one.withColumn("root", F.col("node")) if roots is None else one.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        pairs = candidate_pairs(nodes, parts, limit, p, q, near if first else 0, block_rows)
+        new = _verified(pairs, one, texts, words_in_shingle, p, q)
+        links = new if roots is None else roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(new)
         roots = cut(components(links))
-        if final:
-            break
-    if roots is None:
-        return named.select(*ROW_KEY, "doc_id", F.col("node").alias("root"))
     return named.join(roots, "node", "left").select(*ROW_KEY, "doc_id", F.coalesce("root", "node").alias("root"))

@@ -13,11 +13,19 @@ def shingles(text, k=5):
     return {tuple(words[i : i + k]) for i in range(len(words) - k + 1)} if words else set()
 
 
-def groups(texts):
-    """The least place of each row's component over all pairs with a Jaccard similarity of 0.8 or more."""
-    sets, of = [shingles(t) for t in texts], list(range(len(texts)))
-    for i, j in itertools.combinations(range(len(texts)), 2):
-        if 9 * len(sets[i] & sets[j]) >= 4 * (len(sets[i]) + len(sets[j])) and of[i] != of[j]:
+def pairs_of(texts):
+    """Pairs of rows with a Jaccard similarity of 0.8 or more, and how many bits their fingerprints differ in."""
+    sets = [shingles(t) for t in texts]
+    fps = [similar.set_fingerprint(similar.shingle_set((t or "").encode(), 5)) for t in texts]
+    near = lambda i, j: 9 * len(sets[i] & sets[j]) >= 4 * (len(sets[i]) + len(sets[j]))
+    return [(i, j, ((fps[i] ^ fps[j]) & (1 << 64) - 1).bit_count()) for i, j in itertools.combinations(range(len(texts)), 2) if near(i, j)]
+
+
+def groups(texts, limit=14):
+    """The least place of each row's component over all pairs with a similarity of 0.8 or more and at most `limit` bits apart."""
+    of = list(range(len(texts)))
+    for i, j, bits in pairs_of(texts):
+        if bits <= limit and of[i] != of[j]:
             low, high = sorted((of[i], of[j]))
             of = [low if x == high else x for x in of]
     return of
@@ -49,11 +57,12 @@ def made():
 def test_near_copies_are_all_found(spark):
     texts = made()
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    want = groups(texts)
+    want, all_pairs = groups(texts), pairs_of(texts)
     assert len(set(want)) < len(want) - 100
-    for rounds in (6, 0):
+    assert sum(bits <= 14 for _, _, bits in all_pairs) >= 0.9 * len(all_pairs)
+    for options in ({}, {"near": 1, "block_rows": 30}):
         roots, least = {}, {}
-        for r in similar.near_copies(similar.with_row_key(docs), rounds=rounds).collect():
+        for r in similar.near_copies(similar.with_row_key(docs), **options).collect():
             roots[r.doc_id] = r.root
             least[r.root] = min(r.doc_id, least.get(r.root, r.doc_id))
         assert [least[roots[i]] for i in range(len(texts))] == want
@@ -68,3 +77,20 @@ def test_one_row_of_each_group_whatever_its_id(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = [(r.doc_id, r.text or "") for r in corpus_pipeline.one_of_each(spark, docs, "").collect()]
     assert sorted(map(repr, kept)) == sorted(map(repr, [(1, text(0)), (2, text(100)), (None, text(200)), (3, text(300)), (None, "")]))
+
+
+def test_set_fingerprint_is_the_majority_of_its_hashes():
+    hashes = similar.shingle_set(b"a b c d e f g h a b c d e f", 5)
+    mixed = [(int(x) * 0xD6E8FEB86659FD93) % (1 << 64) for x in hashes]
+    mixed = [x ^ x >> 32 for x in mixed]
+    want = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in mixed) > len(mixed))
+    assert similar.set_fingerprint(hashes) % (1 << 64) == want and similar.set_fingerprint(hashes[:0]) == 0
+
+
+def test_recall_over_a_whole_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = docs.collect()
+    all_pairs = pairs_of([r.text for r in rows])
+    roots = {r.doc_id: r.root for r in similar.near_copies(similar.with_row_key(docs)).collect()}
+    found = sum(roots[rows[i].doc_id] == roots[rows[j].doc_id] for i, j, _ in all_pairs)
+    assert all_pairs and found >= 0.9 * len(all_pairs)
