@@ -2,8 +2,9 @@
 
 Each round hangs the larger neighbours of a node on the least node that it knows (large star)
 and then the smaller ones (small star), until nothing changes; links are then stars around the
-least node of their component. All rounds are joins and grouped minima, so a node with very
-many links is dealt out like any others, and nothing is gathered on the driver but two sums.
+least node of their component. All rounds are joins and grouped minima. Grouped minima are partial
+aggregations; in the joins the links of a node with over `hot_links` of them are dealt to several
+tasks (see `spread_join`), and nothing is gathered on the driver but three sums.
 """
 
 from __future__ import annotations
@@ -11,13 +12,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.common import cut
+from postmill.llm.common import cut, spread_join
 
 
-def _star(links: DataFrame, larger_only: bool) -> DataFrame:
+def _star(links: DataFrame, larger_only: bool, hot_links: int, spread: bool) -> DataFrame:
     """One step over links (a, b): the neighbours of each a that take part are linked to the least one."""
-    least = links.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    out = links.join(least, "a")
+    known = links.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+    least = known.select("a", F.least("a", "m").alias("m"))
+    hot = known.where(F.col("n") > hot_links).select("a", F.ceil(F.col("n") / F.lit(hot_links)).alias("salts")) if spread else None
+    out = spread_join(links, least, "a", hot)
     if larger_only:
         out = out.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
@@ -25,7 +28,7 @@ def _star(links: DataFrame, larger_only: bool) -> DataFrame:
     return out.where(F.col("a") > F.col("b")).distinct()
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, rounds: int = 60, hot_links: int = 1_000_000) -> DataFrame:
     """(node, root) for each node of links (a, b) that isn't the least of its component.
 
     Null ends and links of a node with itself are left out; repeated links count once. No links
@@ -36,12 +39,16 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct()
     )
-    before = None
+    before, most = None, kept.groupBy("b").count().agg(F.max("count")).first()[0] or 0
     for _ in range(rounds):
         both = kept.unionByName(kept.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        kept = cut(_star(_star(both, True), False))
-        now = kept.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        if now == before:
+        # A step can gather the neighbours of several nodes on one; the small star gets those of the large one.
+        wide = most > hot_links / 4
+        large = cut(_star(both, True, hot_links, wide)) if wide else _star(both, True, hot_links, False)
+        kept = cut(_star(large, False, hot_links, wide))
+        by_root = kept.groupBy("b").agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s"))
+        n, s, most = by_root.agg(F.sum("n"), F.sum("s"), F.coalesce(F.max("n"), F.lit(0))).first()
+        if (n, s) == before:
             return kept.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = now
+        before = n, s
     raise RuntimeError(f"links didn't settle in {rounds} rounds")
