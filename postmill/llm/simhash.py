@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.common import as_bytes, cut, portions
+from postmill.llm.common import as_bytes, cut, portions, spread_join
 from postmill.llm.components import components
 
 BITS = 64
@@ -274,14 +274,14 @@ def dealt(rows: DataFrame, parts: list[tuple[int, int]], block_rows: int, broadc
     (without probing, blocks don't meet).
     """
     signed = lambda v: v - (1 << 64) if v >> 63 else v
-    probes = []
-    for part, (mask, t) in enumerate(parts):
-        if t >= 0:
-            value = F.col("fp").bitwiseAND(F.lit(signed(mask)))
-            probes.append(F.array(F.struct(F.lit(part).alias("part"), value.alias("value"), F.lit(0).alias("probe"))))
-            if t and probing:
-                masks = F.lit([signed(f) for f in flips(mask, t)])
-                probes.append(F.transform(masks, lambda f, v=value, p=part: F.struct(F.lit(p).alias("part"), v.bitwiseXOR(f).alias("value"), F.lit(1).alias("probe"))))
+    struct = lambda part, value, probe: F.struct(F.lit(part).alias("part"), value.alias("value"), F.lit(probe).alias("probe"))
+
+    def under(part: int, mask: int, t: int) -> list:
+        value = F.col("fp").bitwiseAND(F.lit(signed(mask)))
+        around = [F.transform(F.lit([signed(f) for f in flips(mask, t)]), lambda f: struct(part, value.bitwiseXOR(f), 1))] if t and probing else []
+        return [F.array(struct(part, value, 0)), *around]
+
+    probes = [x for part, (mask, t) in enumerate(parts) if t >= 0 for x in under(part, mask, t)]
     own = rows.columns
     rows = rows.select(*own, F.explode(F.concat(*probes)).alias("p")).select(*own, "p.*")
     crowded = rows.groupBy("part", "value").agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > block_rows)
@@ -322,17 +322,22 @@ def hamming_links(distinct: DataFrame, limit: int = 3, sample_rows: int = 20_000
     return rows.mapInArrow(lambda batches: _compare(batches, limit), "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, limit: int = 3, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+def near_duplicates(docs: DataFrame, limit: int = 3, id_column: str = "doc_id", text_column: str = "text", hot_rows: int = 1_000_000, **options) -> DataFrame:
     """One row for each row of docs: its id, fingerprint (16 hex digits) and component_id.
 
     component_id is the smallest id reachable over links of at most `limit` bits, the row's own
-    among them. Null ids get a component but never name one (it is null only if all ids in it
-    are). Null and empty texts have fingerprint zero and are linked like any other.
+    among them; repeated ids count once for that, so there are no ties. Null ids get a component but
+    never name one (it is null only if all ids in it are). Null and empty texts have fingerprint zero
+    and are linked like any other. Rows of a fingerprint that over `hot_rows` share are dealt to
+    several tasks.
     """
     found = cut(fingerprints(docs, id_column, text_column, **options))
-    groups = cut(found.groupBy("fp").agg(F.min("id").alias("least")))
+    groups = cut(found.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n_rows")))
     roots = components(hamming_links(groups.select("fp"), limit))
-    rooted = groups.join(roots, groups.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
-    return found.join(by_fp, "fp").select(F.col("id").alias(id_column), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    rooted = cut(groups.join(roots, groups.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least", "n_rows"))
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("fps"), F.max("n_rows").alias("n_rows"))
+    largest = named.agg(F.max("fps").alias("fps"), F.max("n_rows").alias("n_rows")).first()
+    wide = lambda frame, key, n, name: frame.where(F.col(n) > hot_rows).select(key, F.ceil(F.col(n) / F.lit(hot_rows)).alias("salts")) if (largest[name] or 0) > hot_rows else None
+    by_fp = spread_join(rooted.select("fp", "root"), named.select("root", "component_id"), "root", wide(named, "root", "fps", "fps")).select("fp", "component_id")
+    out = spread_join(found, by_fp, "fp", wide(groups, "fp", "n_rows", "n_rows"))
+    return out.select(F.col("id").alias(id_column), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

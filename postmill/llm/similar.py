@@ -32,6 +32,8 @@ from postmill.llm.components import components
 from postmill.llm.simhash import allocate, candidate_pairs
 
 ROW_KEY = ("row_key_1", "row_key_2")
+#: Up to so many keys (24 bytes each) are broadcast.
+FEW = 200_000
 
 
 def with_row_key(docs: DataFrame) -> DataFrame:
@@ -112,7 +114,10 @@ def _verified(pairs: DataFrame, one: DataFrame, texts: DataFrame, words_in_shing
     met = pairs.join(facts("a", "x", "n"), "a").join(facts("b", "y", "m"), "b")
     open_pairs = cut(met.mapInArrow(lambda batches: _possible(batches, p, q), "a long, b long"))
     ends = open_pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = texts.join(one.join(ends, "node", "left_semi").select(*ROW_KEY, "node"), list(ROW_KEY)).dropDuplicates(["node"])
+    wanted = cut(one.join(ends, "node", "left_semi").select(*ROW_KEY, "node"))
+    if wanted.count() <= FEW:  # then the texts of the others need not move
+        wanted = F.broadcast(wanted)
+    wanted = texts.join(wanted, list(ROW_KEY)).dropDuplicates(["node"])
     found = cut(wanted.select("node", "text").mapInArrow(sets, "node long, hashes array<long>"))
     both = open_pairs.join(found.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(found.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
     return both.where((q + p) * F.size(F.array_intersect("x", "y")) >= p * (F.size("x") + F.size("y"))).select("a", "b")

@@ -200,6 +200,26 @@ def test_hamming_links_reach_what_all_pairs_reach(spark):
         assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
 
 
+@pytest.mark.parametrize("total", [100, 10**6, 10**9])
+@pytest.mark.parametrize("block_rows", [1 << 20, 40])
+def test_candidate_pairs_are_all_pairs_in_reach(spark, total, block_rows):
+    rng = np.random.default_rng(total)
+    fps = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
+    for _ in range(9):
+        bits = rng.integers(0, 64, 60).astype(np.uint64)
+        fps = np.concatenate([fps[:400], fps[-60:] ^ (np.uint64(1) << bits)])
+    n, root = rng.integers(4, 40, len(fps)), rng.integers(0, 30, len(fps))
+    root[:90] = 7
+    want = {(i, j) for i in range(len(fps)) for j in range(i + 1, len(fps)) if int(fps[i] ^ fps[j]).bit_count() <= 9 and root[i] != root[j] and 5 * min(n[i], n[j]) >= 4 * max(n[i], n[j])}
+    nodes = spark.createDataFrame([(i, int(f), int(k), int(r)) for i, (f, k, r) in enumerate(zip(fps.view(np.int64), n, root))], "node long, fp long, n int, root long")
+    parts = simhash.allocate(fps, total, 9)
+    assert sum(t for _, t in parts) == 9 - len(parts) + 1 and (total < 10**9 or max(t for _, t in parts) > 0)
+    got = [tuple(r) for r in simhash.candidate_pairs(nodes, parts, 9, 4, 5, block_rows=block_rows).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
+    some = {tuple(r) for r in simhash.candidate_pairs(nodes, parts, 9, 4, 5, near=4, block_rows=block_rows).collect()}
+    assert some <= {(i, j) for i in range(len(fps)) for j in range(i + 1, len(fps)) if int(fps[i] ^ fps[j]).bit_count() <= 9}
+
+
 def test_every_allocation_is_complete():
     rng = np.random.default_rng(7)
     sample = rng.integers(0, 1 << 63, 500, dtype=np.uint64)
@@ -217,57 +237,123 @@ def test_near_duplicates(odd):
     assert simhash.near_duplicates(odd.limit(0)).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("options", [{}, {"hot_rows": 2}])
+def test_near_duplicates_against_all_pairs(spark, odd, docs, options):
+    more = spark.createDataFrame([(None, "a b c d"), (900, None), (-5, "a b c d"), (-5, "a b c d"), (901, "x")], "doc_id long, text string")
+    rows = both(odd, docs).unionByName(more).collect()
+    fps = [simhash.fingerprint((r.text or "").encode()) for r in rows]
+    distinct = np.array(sorted(set(fps)), np.uint64)
+    of = {int(x): int(x) for x in distinct}
+    for i, x in enumerate(distinct):
+        for y in distinct[i + 1 :][np.bitwise_count(distinct[i + 1 :] ^ x) <= 3]:
+            a, b = of[int(x)], of[int(y)]
+            of = {k: min(a, b) if v in (a, b) else v for k, v in of.items()}
+    least = {}
+    for r, f in zip(rows, fps):
+        if r.doc_id is not None:
+            least[of[f]] = min(r.doc_id, least.get(of[f], r.doc_id))
+    want = [(r.doc_id, f"{f:016x}", least.get(of[f])) for r, f in zip(rows, fps)]
+    frame = both(odd, docs).unionByName(more).withColumns({"fp": F.lit(1), "root": F.lit(2), "component_id": F.lit(3), "id": F.lit(4)})
+    assert sorted(map(key, map(tuple, simhash.near_duplicates(frame, **options).collect()))) == sorted(map(key, want))
+
+
+@pytest.mark.parametrize("hot", [1_000_000, 3])
+def test_components(spark, hot):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (None, 3), (60, 50), (61, 60), (50, 61)], "a long, b long")
-    got = {r.node: r.root for r in components(links).collect()}
+    links = links.unionByName(spark.createDataFrame([(500, 500 + i) for i in range(1, 30)], "a long, b long"))
+    got = {r.node: r.root for r in components(links, hot_links=hot).collect()}
+    assert {k: got.pop(k) for k in range(501, 530)} == dict.fromkeys(range(501, 530), 500)
     assert got == {i: 0 for i in range(1, 41)} | {101: 100, 60: 50, 61: 50}
     assert components(links.limit(0)).count() == 0
 
 
-def test_class_lm(spark, odd, docs):
-    frame, options = both(odd, docs), {"head": 1000, "clustered": 60, "classes": 8}
-    model, _ = class_lm.learn(frame, **options)
+def rise(table, before, after, k):
+    """How much the likelihood grows by a word of class k with these classes around it, by one sum after the other."""
+    f = lambda x: x * math.log(x) if x > 1 else 0.0
+    out = sum(f(table[c, k] + n) - f(table[c, k]) for c, n in before.items()) + sum(f(table[k, c] + n) - f(table[k, c]) for c, n in after.items())
+    into, left = table[:, k].sum(), table[k].sum()
+    return out - f(into + sum(before.values())) + f(into) - f(left + sum(after.values())) + f(left)
+
+
+def test_class_lm(spark, odd, docs, tmp_path):
+    frame, options = both(odd, docs).withColumns({"rid": F.lit(1), "word": F.lit("x"), "codes": F.lit(2)}), {"head": 1000, "seeds": 60, "classes": 8}
+    model = class_lm.learn(frame, str(tmp_path), **options)
     rows = [(r.doc_id, (r.text or "").encode().lower().split()) for r in frame.collect()]
     c, ends = Counter(), 0
     for i, w in rows:
         if text_crc(i) % 10:
             c.update(w)
             ends += 1
-    n, v, top = sum(c.values()) + ends, len(c) + 1, set(model.head[:60])
-    own = dict(zip(model.head, model.head_class.tolist()))
-    label = lambda w: ("c", own[w]) if w in top else ("f", class_lm.form_of(w))
-    mass, forms, kinds, pairs = Counter(), Counter(), Counter(), Counter()
-    for w, k in c.items():
-        if w in top:
-            mass[own[w]] += k
-        else:
-            forms[class_lm.form_of(w)] += k
-            kinds[class_lm.form_of(w)] += 1
+    n, v, unknown = sum(c.values()) + ends, len(c) + 1, model.size
+    own = dict(zip(model.words, model.classes.tolist()))
+    assert 300 < len(own) <= 1000 and set(own) < set(c) | {w for _, x in rows for w in x} and len(set(own.values())) >= 8
+    end = model.size - 1
+    # Counts of class pairs within the head, and the classes around all other words.
+    near, around = np.zeros((model.size, model.size)), {}
+    for i, w in rows:
+        if text_crc(i) % 10:
+            chain = [end, *(own.get(x, -1) for x in w), end]
+            for a, b in zip(chain, chain[1:]):
+                if 0 <= min(a, b):
+                    near[a, b] += 1
+            for k, x in enumerate(w, 1):
+                if x not in own:
+                    before, after = around.setdefault(x, (Counter(), Counter()))
+                    before.update([chain[k - 1]] * (chain[k - 1] >= 0))
+                    after.update([chain[k + 1]] * (chain[k + 1] >= 0))
+    assert class_lm.likelihood(near) == pytest.approx(model.likelihoods[-1])
+    for w, (before, after) in around.items():
+        gains = [rise(near, before, after, k) for k in range(end)]
+        own[w] = next(k for k in range(end) if gains[k] >= max(gains) - 1e-7)
+    pairs = np.zeros((model.size, model.size))
     for i, w in rows:
         if text_crc(i) % 10:
-            chain = ["end", *map(label, w), "end"]
-            pairs.update(zip(chain, chain[1:]))
-    labels = [("c", k) for k in range(8)] + [("f", k) for k in range(8)] + ["end"]
-    into, out, total = Counter(), Counter(), sum(pairs.values())
-    for (a, b), k in pairs.items():
-        out[a] += k
-        into[b] += k
-    share = {b: (into[b] + 1) / (total + len(labels)) for b in labels}
+            chain = [end, *(own[x] for x in w), end]
+            np.add.at(pairs, (chain[:-1], chain[1:]), 1)
+    assert set(own.values()) <= {*range(end), unknown} and (pairs == model.table).all()  # every training word has a learned class
+    share, mass = (pairs.sum(0) + 1) / (pairs.sum() + model.size), pairs.sum(0)
+    u = (sum(k == 1 for k in c.values()) + 0.1) / (n + 1)
     want = []
     for i, w in rows:
-        chain, base, known, score = ["end", *map(label, w), "end"], 0.0, 0, 0.0
+        chain, base, known, score = [end, *(own[x] if c[x] else unknown for x in w), end], 0.0, 0, 0.0
         for a, b in zip(chain, chain[1:]):
-            score += math.log10((pairs[a, b] + 5 * share[b]) / (out[a] + 5))
+            if b == unknown:
+                score += math.log10(u)
+            else:
+                score += math.log10((1 - u) * ((pairs[a, b] + 5 * share[b]) / (pairs[a].sum() + 5) if a != unknown else share[b]))
         for x in [*w, None]:
             k = ends if x is None else c[x]
             base += math.log10((k + 0.1) / (n + 0.1 * (v + 1)))
             known += k > 0
             if x is not None:
-                score += math.log10(k / mass[own[x]]) if x in top else math.log10((k + 0.1) / (forms[class_lm.form_of(x)] + 0.1 * (kinds[class_lm.form_of(x)] + 1)))
+                score += math.log10(k / mass[own[x]]) if k else -math.log10(v + 1)
         want.append((i, text_crc(i) % 10 == 0, len(w) + 1, known, n, round(base, 4), round(score, 4)))
     got = [(r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4), round(r.score, 4)) for r in class_lm.score_texts(frame, **options).collect()]
     assert sorted(map(key, got)) == sorted(map(key, want))
     assert class_lm.score_texts(frame.limit(0)).count() == 0
+    only = spark.createDataFrame([(12, "a b"), (12, None)], "doc_id long, text string").where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(10)) == text_crc(12) % 10)
+    assert only.count() == 2 and class_lm.score_texts(only).count() == 2
+
+
+def test_class_lm_without_training_rows(spark):
+    held = next(i for i in range(100) if text_crc(i) % 10 == 0)
+    got = class_lm.score_texts(spark.createDataFrame([(held, "a b a"), (held, None)], "doc_id long, text string")).collect()
+    assert sorted((r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got) == [(1, 0, 0, 0.0), (4, 0, 0, 0.0)]
+
+
+def test_class_rounds_raise_the_likelihood(docs, tmp_path):
+    told = class_lm.learn(docs, str(tmp_path), head=3000, seeds=50, classes=12, rounds=6).likelihoods
+    assert len(told) > 2 and all(a < b for a, b in zip(told, told[1:]))
+
+
+def test_best_classes_by_one_sum_after_the_other():
+    rng = np.random.default_rng(4)
+    table = rng.integers(0, 50, (6, 6)).astype(float)
+    words = [(Counter(rng.integers(0, 6, 5).tolist()), Counter(rng.integers(0, 6, 7).tolist())) for _ in range(40)]
+    entries = [(w, side * 6 + c, n) for w, both_sides in enumerate(words) for side, x in enumerate(both_sides) for c, n in sorted(x.items())]
+    w, code, n = (np.array(x) for x in zip(*entries))
+    want = [int(np.argmax([rise(table, *x, k) for k in range(5)])) for x in words]
+    assert class_lm.best_classes(w, code, n, np.full(40, -1), table, chunk=30).tolist() == want
 
 
 def test_exchange_raises_likelihood():
