@@ -6,8 +6,8 @@ key's identifier) and `hex` (a long run of hexadecimal digits). Weak kinds mean
 `endpoint` (an address with a scheme). Parts of one row are joined by interval: a weak candidate is
 reported only if complementary parts begin or end within `reach` code points of it: an opaque run
 needs an identifier (access or login), a login needs a secret (assign, hex or an opaque run) and
-an endpoint needs both. The join is a sweep: parts of a row are ordered by place and each gets the
-nearest part of every role before and after it, so its work grows with the parts, not with pairs.
+an endpoint needs both. The join is a sweep over the row's own parts, in order of place: each gets the
+nearest part of every role before and after it, so its work doesn't grow with pairs, and no row moves.
 
 Offsets are code points, ends exclusive. Null texts are empty; a text without parts has empty
 lists. U+0001 and U+0002 serve as marks inside and count as U+0003 while matching, which no kind
@@ -16,9 +16,10 @@ matches either. Each row is scanned for itself, repeated rows and ids too.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -28,8 +29,8 @@ KINDS = {
     "access": (r"AKIA[A-Z0-9]+", lambda m: F.length(m) >= 16),
     "hex": (r"(?<![0-9a-f])[0-9a-f]{32,}", lambda m: F.lit(True)),
     "opaque": (r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])", lambda m: m.rlike("[a-z]") & m.rlike("[A-Z]") & m.rlike("[0-9]")),
-    "login": (r"""(?i)\b(?:user(?:_?name)?|login|client_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}""", lambda m: F.lit(True)),
-    "endpoint": (r"(?i)\b(?:https?|s3|ftp|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis)://[^\s\"'<>]{3,}", lambda m: F.lit(True)),
+    "login": (r"""(?i)(?<![A-Za-z0-9_])(?:user(?:_?name)?|login|client_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}""", lambda m: F.lit(True)),
+    "endpoint": (r"(?i)(?<![A-Za-z0-9_])(?:https?|s3|ftp|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis)://[^\s\"'<>]{3,}", lambda m: F.lit(True)),
 }
 STRONG = ("assign", "access", "hex")
 NAMES = list(KINDS)
@@ -37,47 +38,74 @@ NAMES = list(KINDS)
 HINTS = {"assign": ("passw", "secret", "token", "api"), "access": ("akia",), "login": ("user", "login", "client"), "endpoint": ("://",)}
 
 
-def _pieces(text: Column, low: Column, number: int) -> Column:
-    """Lengths of what lies outside and inside of the matches, in turn; null where nothing matches."""
+def scanned(items: Column, zero: Column, step: Callable[[Column, Column], Column], shown: Callable[[Column, Column], Column], kind: str) -> Column:
+    """shown(state before x, x) for each x of an array, where step moves the state on; `kind` is the type of what is shown.
+
+    It goes by runs of about sqrt(n) items, for appending to an array copies it: n ** 1.5 steps and not n ** 2.
+    """
+    run = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(items)))).cast("int")
+    runs = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.size(items) / run) - 1).cast("int")), lambda i: F.slice(items, i * run + 1, run))
+
+    def begin(s: Column, r: Column) -> Column:
+        after = F.aggregate(r, s["now"], step)
+        return F.struct(F.array_append(s["all"], after).alias("all"), after.alias("now"))
+
+    def show(r: Column, state: Column) -> Column:
+        first = F.struct(state.alias("now"), F.array().cast(f"array<{kind}>").alias("all"))
+        return F.aggregate(r, first, lambda s, x: F.struct(step(s["now"], x).alias("now"), F.array_append(s["all"], shown(s["now"], x)).alias("all")), lambda s: s["all"])
+
+    begins = F.aggregate(runs, F.struct(F.array(zero).alias("all"), zero.alias("now")), begin, lambda s: s["all"])
+    return F.flatten(F.transform(runs, lambda r, i: show(r, F.get(begins, i))))
+
+
+SPAN = "struct<a:int,kind:int,b:int,ok:boolean>"
+
+
+def _matches(text: Column, low: Column, number: int) -> Column:
+    """(a, kind, b, ok) of what lies outside and inside of the matches, in turn; null where nothing matches."""
     pattern, ok = KINDS[NAMES[number]]
     split = F.split(F.regexp_replace(text, F.lit(pattern), F.lit("\u0001$0\u0002")), "[\u0001\u0002]")
-    struct = lambda x, i: F.struct(F.lit(number).alias("kind"), i.alias("i"), F.length(x).alias("len"), ((i % 2 == 1) & ok(x)).alias("ok"))
+    # Every second piece is a match.
+    pieces = F.transform(split, lambda x, i: F.struct(F.length(x).alias("len"), ((i % 2 == 1) & ok(x)).alias("ok")))
+    spans = scanned(pieces, F.lit(0), lambda s, x: s + x["len"], lambda s, x: F.struct(s.alias("a"), F.lit(number).alias("kind"), (s + x["len"]).alias("b"), x["ok"].alias("ok")), SPAN)
     found = text.rlike(pattern)
     if NAMES[number] in HINTS:
         found = reduce(Column.__or__, (low.contains(x) for x in HINTS[NAMES[number]])) & found
-    return F.when(found, F.transform(split, struct))
+    return F.when(found, F.filter(spans, lambda x: x["ok"]))
 
 
 def find_secrets(docs: DataFrame, reach: int = 200, carry: list[str] = ()) -> DataFrame:
-    """doc_id and spans (array of kind, a, b) of each row, ordered by a and the kinds' listing.
+    """doc_id and spans (array of kind, a, b) of each row, ordered by a, the kinds' listing and b.
 
     Columns named in `carry` come back as a struct `row`.
     """
     plain = F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit("\u0001"), F.lit("\u0003")), F.lit("\u0002"), F.lit("\u0003"))
-    rows = docs.select("doc_id", plain.alias("t"), *([F.struct(*carry).alias("row")] if carry else [])).withColumns({"low": F.lower("t"), "rid": F.monotonically_increasing_id()})
-    none = F.array().cast("array<struct<kind:int,i:int,len:int,ok:boolean>>")
-    first = F.array(F.struct(F.lit(-1).alias("kind"), F.lit(0).alias("i"), F.lit(0).alias("len"), F.lit(False).alias("ok")))
-    parts = F.concat(first, *(F.coalesce(_pieces(F.col("t"), F.col("low"), k), none) for k in range(len(NAMES))))
-    kept = [F.when(F.col("p.kind") == -1, F.col(c)).alias(c) for c in ("doc_id", *(["row"] if carry else []))]
-    dealt = rows.withColumn("p", F.explode(parts)).select("rid", *kept, "p.*").repartition("rid")
-    upto = Window.partitionBy("rid", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    placed = dealt.withColumn("b", F.sum("len").over(upto).cast("int")).where("ok or kind = -1").withColumn("a", F.col("b") - F.col("len"))
-
-    name = F.element_at(F.lit(NAMES), F.col("kind") + 1)
-    back = Window.partitionBy("rid").orderBy("a", "kind", "b").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = Window.partitionBy("rid").orderBy("a", "kind", "b").rowsBetween(1, Window.unboundedFollowing)
+    rows = docs.select("doc_id", plain.alias("t"), *([F.struct(*carry).alias("row")] if carry else [])).withColumn("low", F.lower("t"))
+    none = F.array().cast(f"array<{SPAN}>")
+    parts = F.array_sort(F.concat(*(F.coalesce(_matches(F.col("t"), F.col("low"), k), none) for k in range(len(NAMES)))))
+    kept = ["doc_id", *(["row"] if carry else [])]
+    # Generators keep what stands before them from being computed again for each use.
+    placed = rows.select(*kept, F.explode(F.array(parts)).alias("s"))
+
     roles = {"identifier": ("access", "login"), "secret": ("assign", "hex", "opaque")}
-    for role, kinds in roles.items():
-        is_role = (F.col("kind") >= 0) & name.isin(*kinds)
-        before = F.max(F.when(is_role, F.col("b"))).over(back)
-        after = F.min(F.when(is_role, F.col("a"))).over(ahead)
-        near = (F.col("a") - before <= reach) | (after - F.col("b") <= reach)
-        placed = placed.withColumn(f"near_{role}", F.coalesce(near, F.lit(False)))
-    keep = (F.col("kind") == -1) | name.isin(*STRONG) | F.when(name == "opaque", F.col("near_identifier")).when(name == "login", F.col("near_secret")).otherwise(F.col("near_identifier") & F.col("near_secret"))
-    span = F.when(F.col("kind") >= 0, F.struct("a", "kind", "b"))
-    held = [F.max("doc_id").alias("doc_id"), *([F.first("row", ignorenulls=True).alias("row")] if carry else [])]
-    spans = F.transform("s", lambda x: F.struct(F.element_at(F.lit(NAMES), x["kind"] + 1).alias("kind"), x["a"].alias("a"), x["b"].alias("b")))
-    return placed.where(keep).groupBy("rid").agg(F.array_sort(F.collect_list(span)).alias("s"), *held).select("doc_id", spans.alias("spans"), *(["row"] if carry else []))
+    is_role = lambda x, role: x["kind"].isin(*(NAMES.index(k) for k in roles[role]))
+    far = F.struct(*(F.lit(None).cast("int").alias(role) for role in roles))
+    last = lambda side: lambda s, x: F.struct(*(F.when(is_role(x, role), x[side]).otherwise(s[role]).alias(role) for role in roles))
+    widest = lambda s, x: F.struct(*(F.when(is_role(x, role), F.greatest(s[role], x["b"])).otherwise(s[role]).alias(role) for role in roles))
+    near = lambda distance: F.struct(*(F.coalesce(distance(role) <= reach, F.lit(False)).alias(role) for role in roles))
+    flags = "struct<identifier:boolean,secret:boolean>"
+    before = scanned(F.col("s"), far, widest, lambda s, x: near(lambda role: x["a"] - s[role]), flags)
+    after = F.reverse(scanned(F.reverse("s"), far, last("a"), lambda s, x: near(lambda role: s[role] - x["b"]), flags))
+    linked = F.transform(F.arrays_zip(F.col("s").alias("s"), before.alias("p"), after.alias("n")), lambda z: F.struct(z["s"].alias("s"), *((z["p"][role] | z["n"][role]).alias(role) for role in roles)))
+
+    def stays(z: Column) -> Column:
+        weak = [F.when(z["s"]["kind"] == NAMES.index(k), needed) for k, needed in (("opaque", z["identifier"]), ("login", z["secret"]))]
+        return z["s"]["kind"].isin(*(NAMES.index(k) for k in STRONG)) | F.coalesce(*weak, z["identifier"] & z["secret"])
+
+    named = lambda z: F.struct(F.element_at(F.lit(NAMES), z["s"]["kind"] + 1).alias("kind"), z["s"]["a"].alias("a"), z["s"]["b"].alias("b"))
+    empty = F.array().cast("array<struct<kind:string,a:int,b:int>>")
+    spans = F.when(F.size("s") > 0, F.transform(F.filter(linked, stays), named)).otherwise(empty)
+    return placed.select("doc_id", F.explode(F.array(spans)).alias("spans"), *(["row"] if carry else []))
 
 
 def written(spans: Column) -> Column:
@@ -106,10 +134,25 @@ def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
     return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(text)
 
 
+def _either_case(pattern: str) -> str:
+    """The same pattern without (?i), which in SQL also matches a few letters beyond A-Z."""
+    out, inside, at = [], False, pattern.index(")") + 1
+    while at < len(pattern):
+        c = pattern[at]
+        if c == "\\":
+            n = 4 if pattern[at + 1] == "x" else 2
+            out.append(pattern[at : at + n])
+            at += n
+            continue
+        inside = (inside or c == "[") and c != "]"
+        out.append(f"[{c.lower()}{c.upper()}]" if c.isalpha() and not inside else c)
+        at += 1
+    return "".join(out).replace("[a-z]", "[A-Za-z]")
+
+
 def _oracle(reach: int = 200) -> str:
     """DuckDB SQL for `scan_report`; the engine there has no look-around, so opaque runs are told by their whole run."""
-    assign = ASSIGN.replace("'", "''")
-    login, endpoint = (KINDS[k][0].replace("'", "''").replace(r"\"", '"') for k in ("login", "endpoint"))
+    assign, login, endpoint = (_either_case(x).replace("(?<![A-Za-z0-9_])", r"\b").replace("'", "''").replace(r"\"", '"') for x in (ASSIGN, KINDS["login"][0], KINDS["endpoint"][0]))
     kinds = (
         (assign, f"length(regexp_extract(m, '{assign}', 2)) >= 8"), ("AKIA[A-Z0-9]+", "length(m) >= 16"), ("[0-9a-f]+", "length(m) >= 32"),
         ("[A-Za-z0-9+/]+=?", "length(m) = 40 and m not like '%=' and regexp_matches(m, '[a-z]') and regexp_matches(m, '[A-Z]') and regexp_matches(m, '[0-9]')"),
