@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postmill.llm import decontaminate, pieces, quality_gam, secrets, similar
-from postmill.llm.common import read_table, remove, shared_folder
+from postmill.llm.common import cut, read_table, remove, shared_folder
 from postmill.llm.queries import piece_model
 
 #: SQL can express neither the classifier nor the pieces.
@@ -35,8 +35,10 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with any word inside a benchmark window go."""
-    found = decontaminate.decontaminate(docs, read_table(spark, sf_dir, "benchmark"), carry=docs.columns)
-    return found.where(~F.col("contaminated")).select("row.*")
+    keyed, key = similar.with_row_key(docs), list(similar.ROW_KEY)
+    found = cut(decontaminate.contaminated_keys(keyed, read_table(spark, sf_dir, "benchmark"), key))
+    found = F.broadcast(found) if found.count() <= similar.FEW else found  # few keys go to the texts
+    return keyed.join(found, key, "left_anti").select(*docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
