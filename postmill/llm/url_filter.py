@@ -7,15 +7,16 @@ characters bound on both sides, so that a URL that fits has them as whole tokens
 under the token that the fewest URLs have (all URLs are counted). A URL's tokens fetch candidate rules
 and only those run their regular expressions. Rules without a token are candidates for every URL.
 
-The index is kept as one small table in a scalar subquery while the rules number at most `most_rules`:
-then no URL row moves. More rules are joined: distinct URLs are dealt by token, hot tokens (by their
-count) over several keys, and each URL's best rule is found by a grouped maximum.
+The index is kept as one table of hashed slots in a scalar subquery while the rules number at most
+`most_rules`: then no URL row moves. More rules are joined: distinct URLs are dealt by token, hot tokens
+(by their count) over several keys, and each URL's best rule is found by a grouped maximum. Rules
+without a token are tried on each distinct URL where it is.
 
 Of the rules that fit, the one of the highest tier wins, then the longest, then the pattern that sorts
 first (a blocking one before an allowing one). Without any the verdict is the default.
 
 Null URLs, and those without ://, have an empty host and path, and no candidates. Each row is judged
-for itself, repeated rows too; no rows give no rows.
+for itself, repeated rows too; no rows give no rows, no rules the default for all. Repeated rules count once.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from postmill.llm.decontaminate import folded
 
 TOKEN = "[A-Za-z0-9]+"
 RULES_SCHEMA = "pattern string, action string, tier int"
+SLOTS = 4096
+NO_RULES = "array<struct<token:string,rules:array<struct<tier:int,size:int,pattern:string,action:string,regex:string>>>>"
 
 
 def host_of(url: Column) -> Column:
@@ -78,21 +81,27 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", most
         .agg(F.min(F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), F.coalesce("token", F.lit("")).alias("token"))).alias("rarest"))
         .select("rarest.*", F.struct("tier", F.length("text").alias("size"), "pattern", "action", "regex").alias("rule"))
     )
+    #: Rules without a token are candidates for every URL, so each URL looks through all of them.
+    loose = filed.where("token = ''").agg(F.collect_list("rule").alias("rules"))
+    fits = lambda rules: F.filter(rules, lambda r: F.regexp_like(F.col("target"), r["regex"]))
     if rules.limit(most_rules + 1).count() <= most_rules:
-        # Token lists are short here, so the index is an array of (token, rules); each URL keeps the entries of its tokens.
-        index = filed.groupBy("token").agg(F.collect_list("rule").alias("rules")).agg(F.collect_list(F.struct("token", "rules")).alias("index"))
-        held = F.filter("index", lambda x: (x["token"] == "") | F.array_contains(F.col("tokens"), x["token"]))
-        fit = F.filter(F.flatten(F.transform(held, lambda x: x["rules"])), lambda r: F.regexp_like(F.col("target"), r["regex"]))
-        first = F.array_sort(fit, lambda a, b: _order(a, b))
-        judged = urls.withColumns({"target": target, "tokens": tokens, "index": index.scalar()}).withColumn("rule", F.when(F.col("target") != "", F.get(first, F.lit(0))))
+        # The rules of a token are in the slot of its hash: each token of a URL looks at one slot, whatever the number of rules.
+        slot = lambda token: F.pmod(F.xxhash64(token), F.lit(SLOTS)).cast("int")
+        held = filed.where("token != ''").groupBy("token").agg(F.collect_list("rule").alias("rules")).groupBy(slot(F.col("token")).alias("slot")).agg(F.collect_list(F.struct("token", "rules")).alias("held"))
+        index = spark.range(SLOTS).join(held, F.col("id") == F.col("slot"), "left").agg(F.array_sort(F.collect_list(F.struct("id", "held"))).alias("index")).select(F.transform("index", lambda x: x["held"]).alias("index"))
+        fetched = F.flatten(F.transform("tokens", lambda t: F.flatten(F.transform(F.filter(F.coalesce(F.get("index", slot(t)), F.array().cast(NO_RULES)), lambda x: x["token"] == t), lambda x: x["rules"]))))
+        first = F.array_sort(fits(F.concat(fetched, F.col("loose"))), lambda a, b: _order(a, b))
+        judged = urls.withColumns({"target": target, "tokens": tokens, "index": index.scalar(), "loose": loose.scalar()}).withColumn("rule", F.when(F.col("target") != "", F.get(first, F.lit(0))))
     else:
         salts = F.greatest(F.lit(1), F.ceil(F.col("seen") / hot_urls)).cast("int")
-        spread = filed.select("token", salts.alias("salts"), F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), "rule")
-        wide = filed.select("token", salts.alias("salts")).groupBy("token").agg(F.max("salts").alias("salts"))
+        spread = filed.where("token != ''").select("token", salts.alias("salts"), F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), "rule")
+        wide = spread.groupBy("token").agg(F.max("salts").alias("salts"))
         distinct = urls.select(target.alias("target")).where("target != ''").distinct()
-        dealt = distinct.select("target", F.explode(F.array_append(F.array_distinct(F.regexp_extract_all("target", F.lit(f"({TOKEN})"), F.lit(1))), F.lit(""))).alias("token"))
+        dealt = distinct.select("target", F.explode(F.array_distinct(F.regexp_extract_all("target", F.lit(f"({TOKEN})"), F.lit(1)))).alias("token"))
         dealt = dealt.join(wide, "token").withColumn("salt", F.pmod(F.xxhash64("target"), F.col("salts")).cast("int"))
-        met = dealt.join(spread.drop("salts"), ["token", "salt"]).where(F.regexp_like("target", F.col("rule.regex")))
+        met = dealt.join(spread.drop("salts"), ["token", "salt"]).where(F.regexp_like("target", F.col("rule.regex"))).select("target", "rule")
+        # Those without a token are tried where the URL is.
+        met = met.unionByName(distinct.withColumn("loose", loose.scalar()).select("target", F.explode(fits(F.col("loose"))).alias("rule")))
         best = met.groupBy("target").agg(F.min(F.struct((-F.col("rule.tier")).alias("t"), (-F.col("rule.size")).alias("s"), (F.col("rule.action") != "block").alias("a"), F.col("rule.pattern").alias("p"), F.col("rule").alias("rule"))).alias("best"))
         judged = urls.withColumn("target", target).join(best.select("target", "best.rule"), "target", "left")
     return judged.select("page_id", "host", "path", F.col("rule.pattern").alias("pattern"), F.col("rule.tier").alias("tier"), F.coalesce("rule.action", F.lit(default)).alias("verdict"))

@@ -61,6 +61,32 @@ def test_url_filter_joined_is_the_same(spark):
     assert sorted(map(key, few.collect())) == sorted(map(key, many.collect()))
 
 
+@pytest.mark.parametrize("most", [2000, 0])
+def test_url_rules_against_brute_force(spark, most):
+    hosts = ["a.example.org", "shop.example.net", "x.y.example.com", "ads-1.example.com", "é.example.org", "org"]
+    paths = ["", "/", "/en/1", "/en/ads/banner7", "/" + "long/" * 4000 + "promo", "/a_b/promo.html", "/%41/x"]
+    urls = [f"http://{h}{p}?q=/ads/" for h in hosts for p in paths] + [None, "nothing", "http://a.example.org/en/1"] * 2
+    rules = [("||org/", "allow", 1), ("||example.org/en", "block", 1), ("/ads/", "block", 0), ("*/ads/*", "block", 0), ("promo^", "block", 0), ("promo|", "allow", 0), ("e", "allow", -1), ("||example.com/", "block", 0), ("||example.com/", "block", 0), ("/en/1|", "allow", 0), (None, "block", 9), ("_b/", "block", 2)]
+
+    def fits(pattern, host, path):
+        body = pattern.removeprefix("||").removesuffix("|")
+        body = "".join(".*" if c == "*" else r"(?:[^A-Za-z0-9_.%\\-]|$)" if c == "^" else re.escape(c) for c in body)
+        return re.search((r"^(?:[^/]*\.)?" if pattern.startswith("||") else "") + body + (r"\Z" if pattern.endswith("|") else ""), host + path, re.S)
+
+    def judge(url):
+        if url is None or "://" not in url:
+            return "", "", None, "allow"
+        host, path = re.match(r"([^/?#]*)([^?#]*)", url.split("://", 1)[1]).groups()
+        found = [(-t, -len(p.removeprefix("||").removesuffix("|")), a != "block", p, a) for p, a, t in rules if p and host + path and fits(p, host, path)]
+        return host, path, min(found)[3] if found else None, min(found)[4] if found else "allow"
+
+    pages = spark.createDataFrame([(i, u, "x", 1, 2, 3) for i, u in enumerate(urls)], "page_id long, url string, rule string, tokens int, target int, loose int")
+    got = url_filter.filter_urls(pages, spark.createDataFrame(rules, url_filter.RULES_SCHEMA), most_rules=most, hot_urls=3).collect()
+    assert sorted(key((r.page_id, r.host, r.path, r.pattern, r.verdict)) for r in got) == sorted(key((i, *judge(u))) for i, u in enumerate(urls))
+    none = url_filter.filter_urls(pages, spark.createDataFrame([], url_filter.RULES_SCHEMA), most_rules=most)
+    assert {(r.pattern, r.verdict) for r in none.collect()} == {(None, "allow")} and none.count() == len(urls)
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_sql(spark, name):
     db = duckdb.connect()
