@@ -44,6 +44,8 @@ from postmill.llm.simhash import runs_of
 ALPHA, MU = 0.1, 5.0
 #: Words of the head whose sums travel together.
 BUCKET = 16
+#: Writers hold a row group in memory.
+SMALL_GROUPS = {"parquet.block.size": 16 << 20}
 
 
 def tokens_of(text: bytes) -> list[bytes]:
@@ -237,7 +239,7 @@ def _coded(docs: DataFrame, words: list[bytes], seeds: int, path: str) -> None:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = {w: i for i, w in enumerate(sent.value)}
         total, of_id = np.zeros(size * size, np.int64), None
-        for batch in portions(batches, 2000, most_bytes=4 << 20):
+        for batch in portions(batches, 2000, most_bytes=2 << 20):
             of_id = batch.column("doc_id").type
             held = [text_crc(i) % 10 == 0 for i in batch.column("doc_id").to_pylist()]
             codes, rare = [], []
@@ -257,7 +259,7 @@ def _coded(docs: DataFrame, words: list[bytes], seeds: int, path: str) -> None:
             yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, of_id), pa.array([False]), pa.array([pairs], pa.binary()), pa.array([[]], pa.list_(pa.binary()))], names=names)
 
     rows = docs.select("doc_id", "text").withColumn("rid", F.monotonically_increasing_id())
-    rows.mapInArrow(run, f"rid long, doc_id {kind}, held boolean, codes binary, rare array<binary>").write.parquet(path)
+    rows.mapInArrow(run, f"rid long, doc_id {kind}, held boolean, codes binary, rare array<binary>").write.options(**SMALL_GROUPS).parquet(path)
 
 
 def _chains(codes: list[np.ndarray], classes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -279,7 +281,7 @@ def _contexts(coded: DataFrame, classes: np.ndarray, size: int, wanted: bool) ->
         of = sent.value
         total = np.zeros(heads * 2 * size if wanted else 0, np.int32)
         table = np.zeros(size * size, np.int64)
-        for batch in portions(batches, 2000, "codes"):
+        for batch in portions(batches, 2000, "codes", 1 << 20):
             index, chain, opens = _chains(_codes(batch.column("codes")), of, size - 1)
             a, b = chain[:-1].copy(), chain[1:]
             a[opens[1:] - 1] = -1  # the end of a text is not before the next one
@@ -393,7 +395,7 @@ def _rare_rows(coded: DataFrame, classes: np.ndarray, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = sent.value
-        for batch in portions(batches, 2000, "codes", 4 << 20):
+        for batch in portions(batches, 2000, "codes", 1 << 20):
             codes = _codes(batch.column("codes"))
             index, chain, opens = _chains(codes, np.where(of < 0, size, of), size - 1)
             at = np.flatnonzero(index == -1)
@@ -493,11 +495,11 @@ def learn(docs: DataFrame, folder: str, head: int = 200_000, seeds: int = 1000,
     size = len(table)
     near = spark.sparkContext.broadcast(table)
     resolved = _rare_rows(coded, of, size).repartition("word").sortWithinPartitions("word").mapInArrow(lambda b: _placed(b, near.value), "rid long, pos int, held boolean, l short, r short, class short, c long")
-    resolved.repartition("rid").sortWithinPartitions("rid", "pos").mapInArrow(_linked, "rid long, held boolean, a binary, own binary, c binary, after binary").write.parquet(f"{folder}/links")
+    resolved.repartition("rid").sortWithinPartitions("rid", "pos").mapInArrow(_linked, "rid long, held boolean, a binary, own binary, c binary, after binary").write.options(**SMALL_GROUPS).parquet(f"{folder}/links")
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((size + 1) ** 2, np.int64)
-        for batch in portions(batches, 2000, "c"):
+        for batch in portions(batches, 2000, "c", 1 << 20):
             _, a, b, *_ = _link_pairs(batch)
             total += np.bincount(a * (size + 1) + b, minlength=len(total))
         yield from _sums(total)
@@ -528,7 +530,7 @@ def score_texts(docs: DataFrame, **options) -> DataFrame:
         each = np.append(word_score, [0.0, 0.0])
         base = np.append(m.base(m.counts), [float(m.base(np.array(m.ends))), 0.0])
         known = np.append(m.counts > 0, [m.ends > 0, False]).astype(np.int64)
-        for batch in portions(batches, 2000, "codes", 4 << 20):
+        for batch in portions(batches, 2000, "codes", 1 << 20):
             codes = _codes(batch.column("codes"))
             index, chain, starts = _chains(codes, m.classes, size - 1)
             a, b = np.append(-1, chain[:-1]), chain
@@ -544,7 +546,7 @@ def score_texts(docs: DataFrame, **options) -> DataFrame:
     def of_others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         moves, scales = m.transitions(), m.scales()
-        for batch in portions(batches, 2000, "c", 4 << 20):
+        for batch in portions(batches, 2000, "c", 1 << 20):
             row, a, b, at, own, c = _link_pairs(batch)
             n = batch.num_rows
             score = np.bincount(row, moves[a, b], n) + np.bincount(at, np.log10(np.maximum(c, 1)) - scales[own], n)
