@@ -1,13 +1,16 @@
 """SentencePiece encoding and decoding that keeps source offsets.
 
-A text is normalised by the model's compiled character map, longest prefix first, and each
-normalised byte records the source byte that it came from. The normalised text is cut where a
-word ends and white space begins: no piece of a word-wise model reaches over such a place
-(`PieceCodec` checks the vocabulary for it), so each part is segmented by itself and a part
-seen before is not segmented again. Every piece is then projected to its span of source bytes.
-
-Null texts are empty; an empty text has only the begin and end ids. Repeated rows and extra
-columns don't matter: each row is encoded for itself.
+Each text is normalised by the model's compiled character map, longest prefix first, and each
+normalised byte records the source byte that it came from (a model with an empty map leaves all
+characters as they are; white space is treated as the model says). The normalised text is what is
+segmented: it is cut where a word ends and white space begins, for no piece of a word-wise model
+reaches over such a place (`PieceCodec` checks the vocabulary for it), so each part is segmented by
+itself and a part seen before is not segmented again. The library segments parts that its own
+normaliser leaves as they are, the others are merged pair by pair here. Every piece is then projected
+to its span of source bytes. For models that aren't word-wise the library segments whole texts.
+
+Null texts are empty; an empty text has only the begin and end ids. Bytes that aren't UTF-8 stand for
+U+FFFD each, as in the library. Repeated rows and extra columns don't matter: each row is encoded for itself.
 """
 
 from __future__ import annotations
@@ -94,22 +97,30 @@ class PieceCodec:
         import sentencepiece
 
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
-        pieces, options = [], {}
+        pieces, options, trainer = [], {}, {}
         for number, value in wire_fields(model):
             if number == 1:
                 pieces.append(dict(wire_fields(value)))
+            elif number == 2:
+                trainer = dict(wire_fields(value))
             elif number == 3:
                 options = dict(wire_fields(value))
         self.map = CharacterMap(options.get(2, b""))
         self.dummy, self.squeeze, self.escape = bool(options.get(3, 1)), bool(options.get(4, 1)), bool(options.get(5, 1))
         #: Bytes of normalised text by id: one for a byte piece (kind 6), none for control ids (kind 3).
         self.lengths = np.array([1 if p.get(3, 1) == 6 else 0 if p.get(3, 1) == 3 else len(p[1]) for p in pieces], np.int64)
-        inner = any(MARK in p[1].lstrip(MARK) or p.get(3, 1) == 4 for p in map(self._stripped, pieces))
-        self.by_words = not inner and not self.map.units and self.dummy and not self.squeeze and self.escape and self.processor.id_to_piece(0) == "<unk>"
+        inner = any(MARK in p[1] or p.get(3, 1) == 4 for p in map(self._stripped, pieces))
+        merging, suffixed = trainer.get(3, 1) == 2, trainer.get(24, 0)
+        self.by_words = not inner and merging and not suffixed and self.dummy and self.escape
+        #: Whether the library's normaliser gives back every normalised text.
+        self.settled = not self.map.units and not self.squeeze
+        #: (score, id) of pieces that a merge can make; ids of pieces for single bytes.
+        self.merges = {p[1]: (struct.unpack("<f", p.get(2, bytes(4)))[0], i) for i, p in enumerate(pieces) if p.get(3, 1) == 1}
+        self.byte_ids = {int(p[1][3:5], 16): i for i, p in enumerate(pieces) if p.get(3, 1) == 6}
+        self.unknown = next((i for i, p in enumerate(pieces) if p.get(3, 1) == 2), 0)
         self.bos, self.eos, self.remembered = self.processor.bos_id(), self.processor.eos_id(), remembered
-        #: Ids, as bytes, of the parts seen so far; a lone mark is a piece of its own.
+        #: Ids, as bytes, of the parts seen so far.
         self.known: dict[bytes, bytes] = {}
-        self.mark = np.array([self.processor.piece_to_id(MARK.decode())], "<u4").tobytes()
 
     @staticmethod
     def _stripped(piece: dict) -> dict:
@@ -122,7 +133,7 @@ class PieceCodec:
         """The normalised text and, for each of its bytes and for its end, the source byte it stands for."""
         if not text:
             return b"", np.zeros(1, np.int64)
-        if not self.map.units and not self.squeeze:
+        if self.settled and _is_utf8(text):
             source = np.frombuffer(text, np.uint8)
             at = np.repeat(np.arange(len(text)), np.where((source == 32) & self.escape, len(MARK), 1))
             lead = MARK if self.dummy and self.escape else b" " if self.dummy else b""
@@ -138,7 +149,7 @@ class PieceCodec:
             if (known := self.map.longest(text, i)) is not None:
                 return known
             n = 1 if text[i] < 0x80 else 2 if text[i] < 0xE0 else 3 if text[i] < 0xF0 else 4
-            return n, text[i : i + n]
+            return (n, text[i : i + n]) if _is_utf8(text[i : i + n]) else (1, REPLACEMENT)
 
         while self.squeeze and i < len(text):
             n, part = step(i)
@@ -167,30 +178,62 @@ class PieceCodec:
             del origin[-len(space) :]
         return bytes(out), np.array([*origin, end], np.int64)
 
-    def ids(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Ids of whole texts, begin and end ids among them."""
-        apart = [PARTS(b" " + text) if text and self.by_words and MARK not in text else [] for text in texts]
-        if len(self.known) > self.remembered:
-            self.known.clear()
-        if new := list({part for parts in apart for part in parts}.difference(self.known)):
-            found = self.processor.encode([part[1:].decode() for part in new], num_threads=1)
-            self.known.update((part, np.array(ids, "<u4").tobytes() if len(part) > 1 else self.mark) for part, ids in zip(new, found, strict=True))
-        first, last, out = np.array([self.bos], "<u4"), np.array([self.eos], "<u4"), []
-        for text, parts in zip(texts, apart, strict=True):
-            if parts:
-                got = np.frombuffer(b"".join(map(self.known.__getitem__, parts)), "<u4")
+    def merged(self, part: bytes) -> list[int]:
+        """Ids of a normalised part: the adjacent pair with the best score is merged, the first one of equals, until none is a piece."""
+        parts = [c.encode() for c in part.decode()]
+        while True:
+            found = [(-self.merges[a + b][0], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.merges]
+            if not found:
+                break
+            _, i = min(found)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        out: list[int] = []
+        for x in parts:
+            if x in self.merges:
+                out.append(self.merges[x][1])
             else:
-                got = np.array(self.processor.encode(text.decode()), "<u4")
-            out.append(np.concatenate([first, got, last]))
+                out += [self.byte_ids[b] for b in x] if self.byte_ids else [self.unknown]
         return out
 
-    def spans(self, text: bytes, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Begin and end of each id in source bytes; pieces of white space that was only added are empty."""
-        _, origin = self.normalised(text)
-        ends = np.cumsum(self.lengths[ids])
-        begins = ends - self.lengths[ids]
+    def _segment(self, new: list[bytes]) -> None:
+        """Ids of parts that weren't seen before."""
+        raw = [part[len(MARK) :].replace(MARK, b" ") for part in new]
+        easy = [i for i, x in enumerate(raw) if x and (self.settled or self.normalised(x)[0] == new[i])]
+        for i, ids in zip(easy, self.processor.encode([raw[i] for i in easy], num_threads=1), strict=True):
+            self.known[new[i]] = np.array(ids, "<u4").tobytes()
+        for part in new:
+            if part not in self.known:
+                self.known[part] = np.array(self.merged(part), "<u4").tobytes()
+
+    def encoded(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of whole texts, begin and end ids among them, and the source byte of each normalised byte."""
+        normal = [self.normalised(text) for text in texts]
+        if self.by_words:
+            apart = [PARTS(text) for text, _ in normal]
+            if len(self.known) > self.remembered:
+                self.known.clear()
+            if new := list({part for parts in apart for part in parts}.difference(self.known)):
+                self._segment(new)
+            found = (b"".join(map(self.known.__getitem__, parts)) for parts in apart)
+        else:
+            found = (np.array(ids, "<u4").tobytes() for ids in self.processor.encode(texts, num_threads=1))
+        first, last = np.array([self.bos], "<u4").tobytes(), np.array([self.eos], "<u4").tobytes()
+        for ids, (_, origin) in zip(found, normal, strict=True):
+            yield np.frombuffer(first + ids + last, "<u4"), origin
+
+    def ids(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of whole texts, begin and end ids among them."""
+        return [ids for ids, _ in self.encoded(texts)]
+
+    def spans(self, ids: np.ndarray, origin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and end of each id in source bytes; pieces of white space that was only added are empty.
+
+        The model must have pieces for single bytes: an unknown piece doesn't tell its length.
+        """
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
         last = len(origin) - 1
-        return origin[np.minimum(begins, last)], origin[np.minimum(ends, last)]
+        return origin[np.minimum(ends - lengths, last)], origin[np.minimum(ends, last)]
 
     def decoded(self, ids: np.ndarray) -> bytes:
         return self.processor.decode(ids.tolist()).encode()
@@ -200,8 +243,17 @@ class PieceCodec:
         return self.processor.get_piece_size()
 
 
-#: White space and the word after it, or white space at the end.
-PARTS: Callable[[bytes], list[bytes]] = re.compile(rb" +[^ ]+| +\Z").findall
+REPLACEMENT = "\ufffd".encode()
+#: Marks of white space and the word after them; the first ones may be missing.
+PARTS: Callable[[bytes], list[bytes]] = re.compile(rb"(?:\xe2\x96\x81)+[^\xe2]*(?:\xe2(?!\x96\x81)[^\xe2]*)*").findall
+
+
+def _is_utf8(text: bytes) -> bool:
+    try:
+        text.decode()
+    except UnicodeDecodeError:
+        return False
+    return True
 
 
 def encode_pieces(docs: DataFrame, model_file: str, keep_ids: bool = False, keep_spans: bool = False, rows: int = 1024) -> DataFrame:
@@ -224,8 +276,8 @@ def encode_pieces(docs: DataFrame, model_file: str, keep_ids: bool = False, keep
             out: dict[str, list] = {k: [] for k in ("n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256")}
             ids_of, spans_of = [], []
             texts = as_bytes(batch.column("text"))
-            for text, ids in zip(texts, codec.ids(texts), strict=True):
-                begins, ends = codec.spans(text, ids)
+            for ids, origin in codec.encoded(texts):
+                begins, ends = codec.spans(ids, origin)
                 out["n_tokens"].append(len(ids))
                 out["ids_sha256"].append(sha(ids.tobytes()))
                 out["decoded_sha256"].append(sha(codec.decoded(ids)))

@@ -486,6 +486,55 @@ def test_quality_without_labels(odd, spark):
     assert quality_gam.score_quality(odd.limit(0), one).count() == 0
 
 
+def check_spans(library, codec, text, ids, origin):
+    """Spans are the library's, but for single bytes, where it gives the whole character to the last one."""
+    begins, ends = codec.spans(ids, origin)
+    said = [(p.id, p.begin, p.end) for p in library.encode(text, return_type="proto").pieces]
+    single = set(codec.byte_ids.values())
+    assert [x for x in zip(ids.tolist()[1:-1], begins[1:-1].tolist(), ends[1:-1].tolist()) if x[0] not in single] == [x for x in said if x[0] not in single]
+    assert all(0 <= a <= b <= len(text) for a, b in zip(begins, ends)) and (np.diff(begins) >= 0).all()
+
+
+def wire(number, value):
+    """A field of a protocol-buffer message."""
+    def varint(n):
+        return bytes([n]) if n < 128 else bytes([n & 127 | 128]) + varint(n >> 7)
+
+    return varint(number << 3) + varint(value) if isinstance(value, int) else varint(number << 3 | 2) + varint(len(value)) + value
+
+
+@pytest.mark.parametrize("squeeze", [0, 1])
+@pytest.mark.parametrize("rule", ["identity", "nmt_nfkc", "nmt_nfkc_cf"])
+def test_pieces_through_a_character_map(docs, rule, squeeze):
+    """The installed pieces behind a normaliser that the library brings along; nothing is trained."""
+    import sentencepiece
+
+    with open(queries.piece_model(), "rb") as f:
+        model = f.read()
+    own = dict(pieces.wire_fields(dict(pieces.wire_fields(sentencepiece.SentencePieceNormalizer(rule_name=rule).serialized_model_proto()))[3]))
+    options = wire(1, rule.encode()) + wire(2, own.get(2, b"")) + wire(3, 1) + wire(4, squeeze) + wire(5, 1)
+    model = b"".join(wire(n, v) for n, v in pieces.wire_fields(model) if n != 3) + wire(3, options)
+    library, codec = sentencepiece.SentencePieceProcessor(model_proto=model), pieces.PieceCodec(model)
+    assert codec.by_words and bool(codec.map.units) == (rule != "identity")
+    texts = ["", " ", "  a  b ", "Ｆｕｌｌ　ｗｉｄｔｈ", "ﬁne ½ ①②", "é e\u0301 Å", "x\u00a0y\u200bz\ufeff", "\t tab\n\nline ", "ｶﾞ ㍿ ﷺ", "a▁b ▁ c", "\x00a\x07", "🙂 Straße ǅ", "İstanbul", "... …", "\u0345\u0345 ͅ"]
+    texts += [r.text[:400] for r in docs.limit(40).collect() if r.text]
+    raw = [t.encode() for t in texts] + [b"a \xff\xfe b", b"\xed\xa0\x80"]
+    for text, (ids, origin) in zip(raw, codec.encoded(raw)):
+        assert ids.tolist() == [1, *library.encode(text), 2]
+        check_spans(library, codec, text, ids, origin)
+
+
+def test_merging_is_what_the_library_does(docs):
+    import sentencepiece
+
+    with open(queries.piece_model(), "rb") as f:
+        model = f.read()
+    library, codec = sentencepiece.SentencePieceProcessor(model_proto=model), pieces.PieceCodec(model)
+    words = {w for r in docs.limit(60).collect() for w in (r.text or "").split()}
+    for w in [*sorted(words)[:3000], "aaaaaaaaaaaaa", "日本🙂", "\x00"]:
+        assert codec.merged(("▁" + w).encode()) == library.encode(w)
+
+
 def test_pieces(odd, docs):
     import sentencepiece
 
@@ -495,12 +544,11 @@ def test_pieces(odd, docs):
     assert codec.by_words
     texts = [r.text or "" for r in both(odd, docs).collect()]
     texts += ["a", " ", "  ", "   a   b ", "\n\n \t x", "a▁b ▁ c", "<s>x</s> <unk>", "日本語 テキスト  🙂🙂", "\x00a \x00", "a  ", "▁", "  ▁▁ a", "  x　y"]
-    for text, ids in zip(texts, codec.ids([t.encode() for t in texts])):
+    raw = [t.encode() for t in texts] + [b"a \xff\xfe b", b"\xed\xa0\x80", b"x\xc3"]
+    for text, (ids, origin) in zip(raw, codec.encoded(raw)):
         assert ids.tolist() == [1, *library.encode(text), 2]
         assert codec.decoded(ids).decode() == library.decode(ids.tolist())
-        begins, ends = codec.spans(text.encode(), ids)
-        said = [(p.begin, p.end) for p in library.encode(text, return_type="proto").pieces]
-        assert list(zip(begins[1:-1].tolist(), ends[1:-1].tolist())) == said
+        check_spans(library, codec, text, ids, origin)
     got = sorted((key((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256)) for r in pieces.encode_pieces(odd, queries.piece_model()).collect()))
     want = []
     for r in odd.select("doc_id", "text").collect():
