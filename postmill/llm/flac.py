@@ -1,12 +1,13 @@
 """FLAC media columns: encode payloads, decode Rice residuals and linear predictors, check every frame's
 sums, and give PCM blocks with seekable sample offsets.
 
-Streams are mono. The decoder takes constant, verbatim, fixed and linear-predictor subframes, Rice
-partitions with 4 or 5 bits of parameter and their escape codes, and samples of up to 16 bits; a
-bad magic, header sum (CRC-8), frame sum (CRC-16), length or MD5 raises ValueError. Frames are
-independent, so many frames (of one or more streams) are decoded side by side: step t handles sample
-t of each. The stream's seek table tells where frames begin; without one, frames are found one after
-the other.
+The decoder takes one to eight channels (left and side, right and side, middle and side too), constant,
+verbatim, fixed and linear-predictor subframes with wasted bits, Rice partitions with 4 or 5 bits of
+parameter and their escape codes, and samples of 4 to 32 bits; a bad magic, header sum (CRC-8), frame
+sum (CRC-16), frame number, length or MD5 raises ValueError. Frames are independent, so many frames (of
+one or more streams) are decoded side by side: step t handles sample t of each. The stream's seek table
+tells where some frames begin; the frames after each point are found one after the other, all points at
+a time, and a reader of some samples begins at the last point before them. Written streams are mono.
 
 The encoder writes blocks of `BLOCK` samples with a seek point for each, and picks for every
 block the cheapest of the fixed predictors of order 0 to 2, a linear predictor, a constant or the
@@ -23,6 +24,7 @@ import hashlib
 import struct
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -87,12 +89,10 @@ def _pack(values: np.ndarray, widths: np.ndarray) -> np.ndarray:
 def _utf8_number(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Frame numbers below 2**31 in the UTF-8 manner: values and their widths in bits."""
     value, width = n.copy(), np.full(len(n), 8)
-    for size, top, lead in ((2, 7, 0xC0), (3, 12, 0xE0), (4, 17, 0xF0), (5, 22, 0xF8), (6, 27, 0xFC)):
-        wide = n >> (top if size > 2 else 7) > 0
+    for size, bound, lead in ((2, 7, 0xC0), (3, 11, 0xE0), (4, 16, 0xF0), (5, 21, 0xF8), (6, 26, 0xFC)):
         v = lead | (n >> (6 * (size - 1)))
         for j in range(size - 2, -1, -1):
             v = (v << 8) | 0x80 | ((n >> (6 * j)) & 63)
-        bound = {2: 7, 3: 11, 4: 16, 5: 21, 6: 26}[size]
         wide = (n >> bound) > 0
         value, width = np.where(wide, v, value), np.where(wide, 8 * size, width)
     return value, width
@@ -356,25 +356,64 @@ def _coded(bits: _Bits, pos: np.ndarray, order: np.ndarray, count: np.ndarray, d
     return out.T[back], pos[back]
 
 
-def decode_frames(data: np.ndarray, starts: np.ndarray, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _subframes(bits: _Bits, pos: np.ndarray, count: np.ndarray, depth: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Samples (lanes by steps, zero beyond the block) of the subframes at the given bits, and the bit after each."""
+    fail = lambda what: ValueError(f"not a readable FLAC frame: {what}")
+    kind, wasted = bits.read(pos + 1, 6), bits.read(pos + 7, 1)
+    if bits.read(pos, 1).any():
+        raise fail("a broken subframe")
+    pos = pos + 8
+    zeros = np.where(wasted == 1, ZEROS.take((bits.ahead(pos) >> np.uint64(48)).view(np.int64)), -1)
+    pos, depth = pos + zeros + 1, depth - zeros - 1
+    if (depth < 1).any():
+        raise fail("more wasted bits than a sample has")
+    fixed, lpc = (kind >= 8) & (kind <= 12), kind >= 32
+    if not (fixed | lpc | (kind < 2)).all():
+        raise fail("an unknown kind of subframe")
+    order = np.select([fixed, lpc], [kind - 8, kind - 31], 0)
+    if (order > count).any():
+        raise fail("a predictor longer than its block")
+    samples = np.zeros((len(pos), int(count.max()) if len(pos) else 0), np.int64)
+    constant, plain, coded = (np.flatnonzero(x) for x in (kind == 0, kind == 1, fixed | lpc))
+    samples[constant] = bits.signed(pos[constant], depth[constant])[:, None]
+    pos[constant] += depth[constant]
+    if len(plain):
+        place = np.arange(samples.shape[1])
+        bit = pos[plain, None] + place * depth[plain, None]
+        inside = place < count[plain, None]
+        wide = np.broadcast_to(depth[plain, None], bit.shape)
+        samples[plain] = np.where(inside, bits.signed(np.where(inside, np.minimum(bit, limit), 0), wide), 0)
+        pos[plain] += count[plain] * depth[plain]
+    if len(coded):
+        rows, ends = _coded(bits, *(v[coded] for v in (pos, order, count, depth, lpc)), limit)
+        samples[coded, : rows.shape[1]], pos[coded] = rows, ends
+    samples[np.arange(samples.shape[1]) >= count[:, None]] = 0
+    if (pos > limit).any():
+        raise fail("it ends too early")
+    return samples << (zeros + 1)[:, None], pos
+
+
+def decode_frames(data: np.ndarray, starts: np.ndarray, depth: np.ndarray, channels: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Decode the frames at the given bytes; depth: bits a sample by lane, used where a frame doesn't say.
 
-    Returns each lane's samples (lanes by steps, zero beyond the block), block size, end in bytes and frame number.
+    Returns each lane's samples (lanes by steps by channels, zero beyond the block), block size, end in bytes,
+    number and whether that is one of samples (blocks of variable size) instead of frames.
     """
     bits = _Bits(data)
     fail = lambda what: ValueError(f"not a readable FLAC frame: {what}")
     at = starts.astype(np.int64) * 8
-    if (bits.read(at, 15) != 0x7FFC).any():
+    if (starts + 6 > len(data)).any() or (bits.read(at, 15) != 0x7FFC).any():
         raise fail("no sync code")
+    variable = bits.read(at + 15, 1) == 1
     size_code, rate_code = bits.read(at + 16, 4), bits.read(at + 20, 4)
-    channels, size, reserved = bits.read(at + 24, 4), bits.read(at + 28, 3), bits.read(at + 31, 1)
-    if channels.any() or reserved.any():
-        raise fail("more than one channel")
-    depth = np.select([size == 1, size == 2, size == 4, size == 0], [8, 12, 16, depth], 0)
+    kind, size, reserved = bits.read(at + 24, 4), bits.read(at + 28, 3), bits.read(at + 31, 1)
+    if reserved.any() or (np.where(kind < 8, kind + 1, np.where(kind < 11, 2, 0)) != channels).any():
+        raise fail("another number of channels")
+    depth = np.select([size == k for k in (1, 2, 4, 5, 6, 7, 0)], [8, 12, 16, 20, 24, 32, depth], 0)
     if (depth == 0).any() or (rate_code == 15).any() or (size_code == 0).any():
         raise fail("an unknown code")
     first = bits.read(at + 32, 8)
-    ones = np.select([first < 0x80, first < 0xC0, first < 0xE0, first < 0xF0, first < 0xF8, first < 0xFC, first < 0xFE], [1, 0, 2, 3, 4, 5, 6], 7)
+    ones = np.select([first < x for x in (0x80, 0xC0, 0xE0, 0xF0, 0xF8, 0xFC, 0xFE, 0xFF)], [1, 0, 2, 3, 4, 5, 6, 7], 0)
     if (ones == 0).any():
         raise fail("a broken frame number")
     number = np.where(ones == 1, first, first & ((1 << np.maximum(0, 7 - ones)) - 1))
@@ -386,46 +425,55 @@ def decode_frames(data: np.ndarray, starts: np.ndarray, depth: np.ndarray) -> tu
     count = np.select([size_code == 1, size_code < 6, size_code < 8], [192, 576 << np.maximum(size_code - 2, 0), own], 256 << np.maximum(size_code - 8, 0))
     pos = pos + np.select([size_code == 6, size_code == 7], [8, 16], 0)
     pos = pos + np.select([rate_code == 12, (rate_code == 13) | (rate_code == 14)], [8, 16], 0)
-    if (crc_of(data, starts, (pos - at) // 8, False) != bits.read(pos, 8)).any():
+    if (pos // 8 >= len(data)).any() or (crc_of(data, starts, (pos - at) // 8, False) != bits.read(pos, 8)).any():
         raise fail("a wrong header sum")
     pos = pos + 8
-    kind, wasted = bits.read(pos + 1, 6), bits.read(pos + 7, 1)
-    if wasted.any() or bits.read(pos, 1).any():
-        raise fail("wasted bits")
-    pos = pos + 8
-    fixed, lpc = (kind >= 8) & (kind <= 12), kind >= 32
-    if not (fixed | lpc | (kind < 2)).all():
-        raise fail("an unknown kind of subframe")
-    order = np.select([fixed, lpc], [kind - 8, kind - 31], 0)
-    if (order > count).any():
-        raise fail("a predictor longer than its block")
 
-    samples = np.zeros((len(at), int(count.max()) if len(at) else 0), np.int64)
-    constant, plain, coded = (np.flatnonzero(x) for x in (kind == 0, kind == 1, fixed | lpc))
-    samples[constant] = bits.signed(pos[constant], depth[constant])[:, None]
-    pos[constant] += depth[constant]
-    if len(plain):
-        place = np.arange(samples.shape[1])
-        bit = pos[plain, None] + place * depth[plain, None]
-        inside = place < count[plain, None]
-        wide = np.broadcast_to(depth[plain, None], bit.shape)
-        samples[plain] = np.where(inside, bits.signed(np.where(inside, bit, 0), wide), 0)
-        pos[plain] += count[plain] * depth[plain]
-    if len(coded):
-        rows, ends = _coded(bits, *(v[coded] for v in (pos, order, count, depth, lpc)), 8 * len(data))
-        samples[coded, : rows.shape[1]], pos[coded] = rows, ends
-    samples[np.arange(samples.shape[1]) >= count[:, None]] = 0
+    samples = np.zeros((len(at), int(count.max()) if len(at) else 0, channels), np.int64)
+    for c in range(channels):
+        # The side channel, the difference of both, has one bit more.
+        side = (kind == 9) if c == 0 else (kind == 8) | (kind == 10)
+        samples[:, :, c], pos = _subframes(bits, pos, count, depth + side, 8 * len(data))
+    if channels == 2:
+        a, b = samples[:, :, 0], samples[:, :, 1]
+        for code in (8, 9, 10):
+            which = np.flatnonzero(kind == code)
+            x, y = a[which], b[which]
+            if code == 10:
+                total = x << 1 | y & 1
+                x, y = (total + y) >> 1, (total - y) >> 1
+            else:
+                x, y = (x, x - y) if code == 8 else (x + y, y)
+            a[which], b[which] = x, y
     end = (pos + 7) // 8
     if (end + 2 > len(data)).any():
         raise fail("it ends too early")
     sums = data[end].astype(np.int64) << 8 | data[end + 1]
     if (crc_of(data, starts, end - starts, True) != sums).any():
         raise fail("a wrong frame sum")
-    return samples, count, end + 2, number
+    return samples, count, end + 2, number, variable
+
+
+@dataclass
+class Stream:
+    """What the blocks before the frames say; points: (sample, byte after `frames`) of the seek table."""
+
+    frames: int
+    block: int  #: samples of each block but the last, 0 if they vary
+    channels: int
+    depth: int
+    samples: int
+    md5: bytes
+    points: list[tuple[int, int]]
 
+    def pcm(self, x: np.ndarray) -> bytes:
+        """Samples as little-endian signed numbers of whole bytes, channels in turn."""
+        width = -(-self.depth // 8)
+        return np.ascontiguousarray(x, "<i8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
-def _stream(data: bytes) -> tuple[int, int, int, bytes, list[tuple[int, int]]]:
-    """Where frames start, bits a sample, samples in all, MD5 and the seek points (sample, byte) of a stream."""
+
+def read_head(data: bytes) -> Stream:
+    """The blocks before a stream's frames."""
     if data[:4] != b"fLaC":
         raise ValueError("not a FLAC stream")
     at, info, points, last = 4, None, [], False
@@ -434,60 +482,89 @@ def _stream(data: bytes) -> tuple[int, int, int, bytes, list[tuple[int, int]]]:
             raise ValueError("the stream's blocks end too early")
         last, kind, n = data[at] >> 7, data[at] & 127, int.from_bytes(data[at + 1 : at + 4], "big")
         body, at = data[at + 4 : at + 4 + n], at + 4 + n
+        if len(body) < n:
+            raise ValueError("the stream's blocks end too early")
         if kind == 0:
+            least, most = struct.unpack(">HH", body[:4])
             packed = int.from_bytes(body[10:18], "big")
-            info = ((packed >> 36 & 31) + 1, packed & ((1 << 36) - 1), body[18:34])
+            info = (least if least == most else 0, (packed >> 41 & 7) + 1, (packed >> 36 & 31) + 1, packed & ((1 << 36) - 1), body[18:34])
         elif kind == 3:
-            points = [p[:2] for p in struct.iter_unpack(">QQH", body) if p[0] != (1 << 64) - 1]
+            points = [p[:2] for p in struct.iter_unpack(">QQH", body[: n - n % 18]) if p[0] != (1 << 64) - 1]
     if info is None:
         raise ValueError("the stream has no information block")
-    return at, info[0], info[1], info[2], points
+    return Stream(at, *info, points)
+
+
+@dataclass
+class _Chain:
+    """Frames in a row, from a seek point on up to the next one."""
 
+    stream: int
+    at: int  # in bytes
+    place: int  # in samples
+    stop: int
+    bound: int
 
-def decode(streams: list[bytes]) -> list[np.ndarray]:
-    """The samples of each stream, after all sums were found right."""
+
+def decode(streams: list[bytes], windows: list[tuple[int, int]] | None = None) -> list[np.ndarray]:
+    """The samples of each stream (by channel, if there are several), after all sums were found right.
+
+    Frames of all streams are decoded side by side. A seek table need not have all frames: those after a point are
+    found one after the other. With windows (first, last) only those samples come back, and only the frames from the
+    last seek point before them on are read; a whole stream's MD5 is compared too.
+    """
     heads, base, offset = [], [], 0
     for data in streams:
-        heads.append(_stream(data))
+        heads.append(read_head(data))
         base.append(offset)
         offset += len(data)
     data = np.frombuffer(b"".join(streams), np.uint8)
-    out = [np.zeros(h[2], np.int64) for h in heads]
-    seekable = [h[4] and h[4][0] == (0, 0) for h in heads]
-    got = [0] * len(streams)
-    jobs = [(s, base[s] + heads[s][0] + at) for s in range(len(streams)) if seekable[s] for _, at in heads[s][4]]
-    firsts = [sample for s in range(len(streams)) if seekable[s] for sample, _ in heads[s][4]]
-
-    def run(jobs: list[tuple[int, int]], places: list[int]) -> list[int]:
-        ends: list[int] = []
-        rising = all(a[1] < b[1] for a, b in zip(jobs, jobs[1:]))
-        for at in range(0, len(jobs), LANES):
-            part = jobs[at : at + LANES]
-            # Seek points rise, so these frames end where the next ones begin; the decoder gets no more than that.
-            low = part[0][1] if rising else 0
-            high = jobs[at + LANES][1] if rising and at + LANES < len(jobs) else len(data)
-            x, count, end, _ = decode_frames(data[low:high], np.array([b - low for _, b in part], np.int64), np.array([heads[s][1] for s, _ in part], np.int64))
-            end = end + low
-            for row, ((s, _), place, n) in enumerate(zip(part, places[at : at + LANES], count.tolist(), strict=True)):
-                if place + n > len(out[s]):
-                    raise ValueError("more samples than the stream tells")
-                out[s][place : place + n] = x[row, :n]
-                got[s] += n
-            ends += end.tolist()
-        return ends
-
-    run(jobs, firsts)
-    open_streams = {s: base[s] + heads[s][0] for s in range(len(streams)) if not seekable[s] and heads[s][2]}
-    while open_streams:
-        turn = list(open_streams.items())
-        ends = run(turn, [got[s] for s, _ in turn])
-        open_streams = {s: end for (s, _), end in zip(turn, ends, strict=True) if got[s] < heads[s][2]}
-    for s, head in enumerate(heads):
-        if got[s] != head[2]:
-            raise ValueError("fewer samples than the stream tells")
-        if head[3] != bytes(16) and hashlib.md5(out[s].astype("<i1" if head[1] == 8 else "<i2").tobytes()).digest() != head[3]:
+    wanted = [(0, h.samples) if w is None else (max(0, w[0]), max(0, min(w[1], h.samples))) for h, w in zip(heads, windows or [None] * len(heads), strict=True)]
+    out = [np.zeros((max(0, last - first), h.channels), np.int64) for h, (first, last) in zip(heads, wanted, strict=True)]
+    open_chains = []
+    for s, (h, (first, last)) in enumerate(zip(heads, wanted, strict=True)):
+        end = base[s] + len(streams[s])
+        points = sorted({(0, 0), *((sample, at) for sample, at in h.points if 0 < sample < h.samples)})
+        for (sample, at), (stop, to) in zip(points, [*points[1:], (h.samples, end - base[s] - h.frames)]):
+            if sample < last and stop > first:
+                open_chains.append(_Chain(s, base[s] + h.frames + at, sample, min(stop, last), min(end, base[s] + h.frames + to)))
+    while open_chains:
+        left = []
+        for channels in sorted({heads[c.stream].channels for c in open_chains}):
+            same = sorted((c for c in open_chains if heads[c.stream].channels == channels), key=lambda c: c.at)
+            for i in range(0, len(same), LANES):
+                part = same[i : i + LANES]
+                low, high = part[0].at, max(c.bound for c in part)
+                x, count, end, number, variable = decode_frames(data[low:high], np.array([c.at - low for c in part], np.int64), np.array([heads[c.stream].depth for c in part], np.int64), channels)
+                for row, (c, n, to, k, free) in enumerate(zip(part, count.tolist(), end.tolist(), number.tolist(), variable.tolist(), strict=True)):
+                    h, (first, last) = heads[c.stream], wanted[c.stream]
+                    if c.place + n > h.samples:
+                        raise ValueError("more samples than the stream tells")
+                    if (free or h.block) and (k if free else k * h.block) != c.place:
+                        raise ValueError("a frame out of its order")
+                    a, b = max(c.place, first), min(c.place + n, last)
+                    if a < b:
+                        out[c.stream][a - first : b - first] = x[row, a - c.place : b - c.place]
+                    c.at, c.place = low + to, c.place + n
+                    if c.place < c.stop:
+                        if c.at >= c.bound:
+                            raise ValueError("fewer samples than the stream tells")
+                        left.append(c)
+        open_chains = left
+    for h, x, (first, last) in zip(heads, out, wanted, strict=True):
+        if (first, last) == (0, h.samples) and h.md5 != bytes(16) and hashlib.md5(h.pcm(x)).digest() != h.md5:
             raise ValueError("the samples don't have the stream's MD5")
-    return out
+    return [x[:, 0] if x.shape[1] == 1 else x for x in out]
+
+
+def decode_each(streams: list[bytes | None], windows: list[tuple[int, int]] | None = None) -> list[tuple[np.ndarray | None, str | None]]:
+    """(samples, None) of each stream, or (None, what is wrong with it)."""
+    try:
+        return [(x, None) for x in decode(streams, windows)]
+    except (ValueError, TypeError, IndexError, struct.error) as e:
+        if len(streams) == 1:
+            return [(None, "no stream" if streams[0] is None else str(e) or type(e).__name__)]
+        return [decode_each([x], windows and [windows[i]])[0] for i, x in enumerate(streams)]
 
 
 def payload_of(text: bytes) -> bytes:
@@ -513,46 +590,75 @@ def encode_media(docs: DataFrame, rows: int = 1000) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_bytes long, media binary")
 
 
-def pcm_blocks(media: DataFrame, block_samples: int = 1 << 16, rows: int = 1000) -> DataFrame:
-    """Decoded samples of a media column: doc_id, block, first_sample, n_samples and pcm (little-endian signed).
+def pcm_columns(media: DataFrame, block_samples: int = 1 << 16, first: int = 0, last: int | None = None, rows: int = 1000) -> DataFrame:
+    """media without its streams, with what they hold: media_bytes, media_sha256, blocks and error.
 
-    A sample is found in the block with number sample // block_samples, so a reader filters on
-    (doc_id, block) and skips all else. Null media give no blocks.
+    blocks are structs (first_sample, n_samples, pcm) in order: little-endian signed numbers, channels in turn.
+    Each begins at a multiple of block_samples. With `first` and `last`, only blocks that have samples of that range are
+    decoded. A stream that can't be read has no blocks and an error; null media are such.
     """
+    kept = [c for c in media.columns if c not in ("media", "media_bytes", "media_sha256", "blocks", "error")]
+    at = first // block_samples * block_samples
+    to = None if last is None else -(-last // block_samples) * block_samples
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches, rows, "media", 1 << 20):
-            some = batch.filter(batch.column("media").is_valid())
-            streams = some.column("media").to_pylist()
-            ids, out = some.column("doc_id"), {"at": [], "block": [], "first_sample": [], "n_samples": [], "pcm": []}
-            for s, x in enumerate(decode(streams)):
-                kind = "<i1" if _stream(streams[s])[1] == 8 else "<i2"
-                for block in range(-(-len(x) // block_samples)):
-                    part = x[block * block_samples : (block + 1) * block_samples]
-                    for name, v in (("at", s), ("block", block), ("first_sample", block * block_samples), ("n_samples", len(part)), ("pcm", part.astype(kind).tobytes())):
-                        out[name].append(v)
-            yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(out["at"], pa.int64())), pa.array(out["block"], pa.int64()), pa.array(out["first_sample"], pa.int64()), pa.array(out["n_samples"], pa.int64()), pa.array(out["pcm"], pa.binary())],
-                names=["doc_id", "block", "first_sample", "n_samples", "pcm"],
-            )
-
-    kind = media.schema["doc_id"].dataType.simpleString()
-    return media.select("doc_id", "media").mapInArrow(run, f"doc_id {kind}, block long, first_sample long, n_samples long, pcm binary")
+            streams = batch.column("media").to_pylist()
+            firsts, sizes, pcm, ends, errors = [], [], [], [0], []
+            whole = at == 0 and to is None
+            for data, (x, error) in zip(streams, decode_each(streams, None if whole else [(at, to or 1 << 62)] * len(streams)), strict=True):
+                errors.append(error)
+                if error is None:
+                    head = read_head(data)
+                    for low in range(0, len(x), block_samples):
+                        part = x[low : low + block_samples]
+                        firsts.append(at + low)
+                        sizes.append(len(part))
+                        pcm.append(head.pcm(part))
+                ends.append(len(firsts))
+            blocks = pa.StructArray.from_arrays([pa.array(firsts, pa.int64()), pa.array(sizes, pa.int32()), pa.array(pcm, pa.binary())], names=["first_sample", "n_samples", "pcm"])
+            own = [pa.array([len(x or b"") for x in streams], pa.int64()), pa.array([hashlib.sha256(x or b"").hexdigest() for x in streams], pa.string())]
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), blocks)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *own, lists, pa.array(errors, pa.string())], names=[*kept, "media_bytes", "media_sha256", "blocks", "error"])
+
+    shape = ", ".join(f"`{c}` {media.schema[c].dataType.simpleString()}" for c in kept)
+    return media.select(*kept, "media").mapInArrow(run, f"{shape}, media_bytes long, media_sha256 string, blocks array<struct<first_sample:long,n_samples:int,pcm:binary>>, error string")
+
+
+def pcm_blocks(media: DataFrame, block_samples: int = 1 << 16, first: int = 0, last: int | None = None, rows: int = 1000) -> DataFrame:
+    """A row for each block of `pcm_columns`: doc_id, block, first_sample, n_samples, pcm and error; one with an error only for an unreadable stream.
+
+    A sample is found in the block with number sample // block_samples, so a reader of the written blocks filters on
+    (doc_id, block) and skips all else.
+    """
+    found = pcm_columns(media.select("doc_id", "media"), block_samples, first, last, rows)
+    found = found.where(F.col("error").isNotNull() | (F.size("blocks") > 0)).select("doc_id", "error", F.explode_outer("blocks").alias("b"))
+    return found.select("doc_id", F.floor(F.col("b.first_sample") / block_samples).alias("block"), "b.*", "error")
 
 
 def media_report(docs: DataFrame, rows: int = 1000) -> DataFrame:
-    """doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256 and feature of each row, from the stored bytes read back."""
-    names = ("n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+    """doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature, n_blocks and error of each row.
+
+    The stored stream is decoded to PCM blocks, and all but media's own figures are read from those.
+    """
+    names = ("payload_bytes", "payload_sha256", "tail_crc32", "feature")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in portions(batches, rows, "media", 1 << 20):
-            streams = batch.column("media").to_pylist()
-            found = []
-            for n, data, x in zip(batch.column("n_bytes").to_pylist(), streams, decode(streams), strict=True):
+        for batch in portions(batches, rows, "blocks", 4 << 20):
+            lists = batch.column("blocks")
+            pcm, ends = lists.flatten().field("pcm").to_pylist(), np.asarray(lists.offsets)
+            found: dict[str, list] = {n: [] for n in names}
+            for i, error in enumerate(batch.column("error").to_pylist()):
+                x = np.frombuffer(b"".join(pcm[ends[i] - ends[0] : ends[i + 1] - ends[0]]), np.int8).astype(np.int64)
                 back = (x + 128).astype(np.uint8).tobytes()
-                found.append((n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(data), hashlib.sha256(data).hexdigest(), sound_features(x)))
-            columns = [batch.column("doc_id"), *(pa.array([f[i] for f in found], pa.string() if isinstance(found[0][i], str) else pa.int64()) for i in range(len(names)))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *names])
+                said = (len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), sound_features(x)) if error is None else (None,) * 4
+                for n, v in zip(names, said, strict=True):
+                    found[n].append(v)
+            kinds = {"payload_sha256": pa.string(), "feature": pa.string()}
+            own = [pa.array(found[n], kinds.get(n, pa.int64())) for n in names]
+            n_blocks = pa.array(np.diff(ends).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "n_bytes", "media_bytes", "media_sha256", "error")), *own, n_blocks], names=["doc_id", "n_bytes", "media_bytes", "media_sha256", "error", *names, "n_blocks"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return encode_media(docs, rows).mapInArrow(run, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    decoded = pcm_columns(encode_media(docs, rows), rows=rows)
+    return decoded.mapInArrow(run, f"doc_id {kind}, n_bytes long, media_bytes long, media_sha256 string, error string, payload_bytes long, payload_sha256 string, tail_crc32 long, feature string, n_blocks long")

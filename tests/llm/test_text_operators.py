@@ -149,10 +149,10 @@ def test_flac_round_trip_and_damage():
     for p, x in zip(payloads, flac.decode(media)):
         assert (x + 128).astype(np.uint8).tobytes() == p
     assert len(media[-1]) < len(payloads[-1]) * 0.8  # a linear predictor pays on a tone
-    without = [m[:4] + b"\x80" + m[5:42] + m[flac._stream(m)[0] :] for m in media]
+    without = [m[:4] + b"\x80" + m[5:42] + m[flac.read_head(m).frames :] for m in media]
     for p, x in zip(payloads, flac.decode(without)):
         assert (x + 128).astype(np.uint8).tobytes() == p
-    at = flac._stream(media[3])[0]
+    at = flac.read_head(media[3]).frames
     for place in [0, *range(at, len(media[3]), 37)]:
         broken = bytearray(media[3])
         broken[place] ^= 4
@@ -172,8 +172,99 @@ def test_flac_partitions_and_escape():
     crc = lambda data, wide: int(flac.crc_of(np.frombuffer(data, np.uint8), np.array([0]), np.array([len(data)]), wide)[0])
     frame = head + bytes([crc(head, False)]) + body
     frame += crc(frame, True).to_bytes(2, "big")
-    x, count, end, number = flac.decode_frames(np.frombuffer(frame, np.uint8), np.array([0]), np.array([8]))
-    assert x[0].tolist() == samples and count[0] == 8 and end[0] == len(frame) and number[0] == 0
+    x, count, end, number, _ = flac.decode_frames(np.frombuffer(frame, np.uint8), np.array([0]), np.array([8]))
+    assert x[0, :, 0].tolist() == samples and count[0] == 8 and end[0] == len(frame) and number[0] == 0
+
+
+def _bits_of(*fields):
+    """Bits from (value, width) pairs, signed values in two's complement."""
+    return "".join(f"{v & (1 << w) - 1:0{w}b}" if w else "" for v, w in fields)
+
+
+def _rice(residuals, k):
+    out = _bits_of((0, 2), (0, 4), (k, 4))
+    for r in residuals:
+        u = 2 * r if r >= 0 else -2 * r - 1
+        out += "0" * (u >> k) + "1" + (f"{u & (1 << k) - 1:0{k}b}" if k else "")
+    return out
+
+
+def _frame(number, n, kind, subframes, size=4, variable=False):
+    """A frame written by hand: 16-bit block size, no rate, the given channel code and sample size."""
+    crc = lambda data, wide: int(flac.crc_of(np.frombuffer(data, np.uint8), np.array([0]), np.array([len(data)]), wide)[0])
+    head = bytes([0xFF, 0xF8 | variable, 0x70, kind << 4 | size << 1]) + chr(number).encode() + (n - 1).to_bytes(2, "big")
+    bits = "".join(subframes)
+    body = int(bits.ljust(-(-len(bits) // 8) * 8, "0"), 2).to_bytes(-(-len(bits) // 8), "big")
+    out = head + bytes([crc(head, False)]) + body
+    return out + crc(out, True).to_bytes(2, "big")
+
+
+def _foreign(frames, n, channels, depth, block, pcm, points=()):
+    info = block.to_bytes(2, "big") * 2 + bytes(6) + (44100 << 44 | (channels - 1) << 41 | (depth - 1) << 36 | n).to_bytes(8, "big") + hashlib.md5(pcm).digest()
+    table = b"".join(s.to_bytes(8, "big") + at.to_bytes(8, "big") + block.to_bytes(2, "big") for s, at in points)
+    blocks = b"\0" + len(info).to_bytes(3, "big") + info + b"\x04" + (5).to_bytes(3, "big") + b"hello" + b"\x83" + len(table).to_bytes(3, "big") + table
+    return b"fLaC" + blocks + b"".join(frames)
+
+
+def stereo(rng, blocks=6, n=40):
+    """A stream of 16-bit stereo with each kind of channels and subframes, its samples and the bytes where frames begin."""
+    left = (1000 * np.sin(np.arange(blocks * n) / 5)).astype(int) * 8
+    right = left + 8 * rng.integers(-9, 9, blocks * n)
+    frames = []
+    for i in range(blocks):
+        a, b = (x[i * n : (i + 1) * n].tolist() for x in (left, right))
+        side, middle = [x - y for x, y in zip(a, b)], [(x + y) >> 1 for x, y in zip(a, b)]
+        fixed = lambda x, depth: _bits_of((9, 7), (0, 1), (x[0], depth)) + _rice([q - p for p, q in zip(x, x[1:])], 6)
+        verbatim = lambda x, depth: _bits_of((1, 7), (0, 1), *((v, depth) for v in x))
+        wasted = lambda x, depth: _bits_of((1, 7), (1, 1), (1, 3), *((v >> 3, depth - 3) for v in x))
+        lpc = lambda x, depth: _bits_of((33, 7), (0, 1), (x[0], depth), (x[1], depth), (4, 4), (1, 5), (4, 5), (-2, 5)) + _rice([x[t] - ((4 * x[t - 1] - 2 * x[t - 2]) >> 1) for t in range(2, n)], 7)
+        kind, pair = [(1, (fixed(a, 16), wasted(b, 16))), (8, (lpc(a, 16), fixed(side, 17))), (9, (fixed(side, 17), verbatim(b, 16))), (10, (lpc(middle, 16), verbatim(side, 17))), (1, (wasted(a, 16), lpc(b, 16))), (10, (fixed(middle, 16), fixed(side, 17)))][i]
+        frames.append(_frame(i, n, kind, pair))
+    x = np.stack([left, right], 1)
+    return frames, x, np.cumsum([0, *map(len, frames)]).tolist()
+
+
+def test_flac_of_other_encoders():
+    frames, x, at = stereo(np.random.default_rng(8))
+    pcm = x.astype("<i2").tobytes()
+    sparse = [(80, at[2]), (200, at[5]), ((1 << 64) - 1, 0)]
+    for points in ((), sparse, [(40 * i, at[i]) for i in range(6)]):
+        stream = _foreign(frames, 240, 2, 16, 40, pcm, points)
+        mono = flac.encode([flac.payload_of(b"between")])[0]
+        got = flac.decode([stream, mono, stream])
+        assert (got[0] == x).all() and (got[2] == x).all() and got[1].shape == (64,)
+        for first, last in ((0, 1), (79, 81), (100, 230), (239, 500), (0, 240), (300, 400)):
+            assert (flac.decode([stream], [(first, last)])[0] == x[first:last]).all()
+    # A reader of samples from 200 on begins at the point there: what stands before is damaged, and not read.
+    damaged = bytearray(stream := _foreign(frames, 240, 2, 16, 40, pcm, sparse))
+    damaged[len(stream) - at[6] + at[1] + 30] ^= 1
+    assert (flac.decode([bytes(damaged)], [(205, 240)])[0] == x[205:]).all()
+    with pytest.raises(ValueError):
+        flac.decode([bytes(damaged)])
+    with pytest.raises(ValueError, match="order"):
+        flac.decode([_foreign([frames[0], frames[2], frames[1], *frames[3:]], 240, 2, 16, 40, pcm)])
+    with pytest.raises(ValueError):
+        flac.decode([_foreign(frames[:-1], 240, 2, 16, 40, pcm)])
+    wide = [(1 << 23) - 1, -(1 << 23), 5, -6]
+    free = [_frame(0, 2, 0, [_bits_of((1, 7), (0, 1), *((v, 24) for v in wide[:2]))], 6, True), _frame(2, 2, 0, [_bits_of((1, 7), (0, 1), *((v, 24) for v in wide[2:]))], 6, True)]
+    assert flac.decode([_foreign(free, 4, 1, 24, 0, b"".join((v & 0xFFFFFF).to_bytes(3, "little") for v in wide))])[0].tolist() == wide
+
+
+def test_unreadable_media_give_errors(spark):
+    frames, x, at = stereo(np.random.default_rng(9))
+    good = _foreign(frames, 240, 2, 16, 40, x.astype("<i2").tobytes(), [(120, at[3])])
+    bad = bytearray(good)
+    bad[-20] ^= 1
+    rows = [(1, good), (2, bytes(bad)), (3, b"RIFF"), (4, None), (5, b""), (1, good), (6, good[:60])]
+    media = spark.createDataFrame(rows, "doc_id long, media binary")
+    got = flac.pcm_blocks(media, block_samples=100).collect()
+    assert {r.doc_id for r in got if r.error is not None and r.pcm is None} == {2, 3, 4, 5, 6}
+    for lap in (0, 1):
+        own = sorted((r.block, r.first_sample, r.n_samples, r.pcm) for r in got if r.doc_id == 1)[lap::2]
+        assert [r[:3] for r in own] == [(0, 0, 100), (1, 100, 100), (2, 200, 40)] and b"".join(r[3] for r in own) == x.astype("<i2").tobytes()
+    some = flac.pcm_blocks(media.where("doc_id = 1"), block_samples=50, first=130, last=160).collect()
+    assert sorted({(r.block, r.first_sample, r.n_samples, bytes(r.pcm)) for r in some}) == [(b, 50 * b, 50, x[50 * b : 50 * b + 50].astype("<i2").tobytes()) for b in (2, 3)]
+    assert flac.pcm_blocks(media.limit(0)).count() == 0
 
 
 def test_media_report(odd):
@@ -182,7 +273,8 @@ def test_media_report(odd):
     for r in odd.select("doc_id", "text").collect():
         p = flac.payload_of((r.text or "").encode())
         want.append((r.doc_id, len((r.text or "").encode()), len(p), sha(p), zlib.crc32(p[-64:])))
-    assert sorted(map(key, (tuple(r)[:5] for r in got))) == sorted(map(key, want))
+    assert sorted(key((r.doc_id, r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32)) for r in got) == sorted(map(key, want))
+    assert all(r.error is None and r.n_blocks == -(-r.payload_bytes // (1 << 16)) for r in got)
     blocks = flac.pcm_blocks(flac.encode_media(odd.where("doc_id = 6")), block_samples=1000).orderBy("block").collect()
     assert [b.first_sample for b in blocks] == [1000 * i for i in range(len(blocks))]
     assert flac.media_report(odd.limit(0)).count() == 0
