@@ -1,19 +1,23 @@
 """Language identification of web pages by Bayesian fusion of evidence.
 
-Four kinds of evidence are added up as log odds for every language:
+A page's log posterior of a language is the sum of
 
-* text: a naive Bayes model of byte trigrams over the visible text, learned from labelled documents
-  (a bounded sample). Its sum is scaled down, for trigrams of one text are far from independent;
+* text: log likelihood of the visible text by a naive Bayes model of byte trigrams, learned from labelled
+  documents (at most `per_language` of each language). It is scaled down, for trigrams of one text are
+  far from independent;
 * declared: the language that the markup declares (html lang), trusted with a fixed probability;
-* address: what the host's last label and the path's first part say, counted over all pages as soft
-  labels of the text model;
-* host prior: shares of the languages over all pages of the host, smoothed towards its domain, that
-  one towards its suffix and that one towards all pages. Shares are grouped sums of the text model's
-  posteriors; each level is a partial aggregation first, so a host with a third of all pages is one
-  row per task, and the page is joined to its host's single row.
-
-A page without text, declaration or host gets the prior alone. Null url and html count as
-empty. Each row is judged for itself, repeated rows too; no training rows give `und` for all pages.
+* suffix: how much likelier the language is among all other pages whose host ends in the same label;
+* path: the same for other pages whose path begins with the same language code;
+* host prior: the language's share among all other pages of the host, smoothed towards that of its
+  domain, and that one towards that of all pages.
+
+Shares are grouped sums of the text model's own posteriors over all pages. A page's own part is taken out
+of each sum that judges it, so its text counts once. Sums are partial aggregations first, and a page is
+joined to its host's single row; pages of a host with over `hot_pages` of them are dealt to several tasks.
+
+A page without text or declaration lacks those terms; one without a host has the share among all pages as its prior
+and no suffix. Null url and html count as empty. Each row is judged for itself, repeated rows too; of languages that are
+equally likely the first by name is given. No training rows give `und` for all pages.
 """
 
 from __future__ import annotations
@@ -23,18 +27,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postmill.llm.common import as_bytes, cut, portions
+from postmill.llm.common import as_bytes, cut, portions, spread_join
 from postmill.llm.url_filter import host_of, path_of
 
 SLOTS = 1 << 14
 HIDDEN = re.compile(rb"<(script|style|noscript|template)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[a-zA-Z#0-9]+;", re.S | re.I)
 DECLARED = re.compile(rb"<html\b[^>]*?\blang\s*=\s*[\"']?([a-zA-Z]{2,3})", re.I)
-#: How strongly the sum over trigrams counts, and how far a declaration or an address is trusted.
-TEXT_WEIGHT, DECLARED_TRUST, ADDRESS_WEIGHT = 0.25, 0.9, 1.0
+#: How strongly the sum over trigrams counts, and how far a declaration is trusted.
+TEXT_WEIGHT, DECLARED_TRUST = 0.25, 0.9
+#: Pages' worth of what is smoothed towards.
 SMOOTHING = 10.0
+#: Labels that stand before a country's label without naming a domain.
+BEFORE_COUNTRY = "co|com|org|net|gov|edu|ac"
+HASHES = 1 << 30
 
 
 def slots_of(text: bytes) -> np.ndarray:
@@ -43,10 +51,18 @@ def slots_of(text: bytes) -> np.ndarray:
     return ((b[:-2] * 0x9E3779B1 + b[1:-1] * 0x85EBCA6B + b[2:] * 0xC2B2AE35) >> np.uint32(18)) & np.uint32(SLOTS - 1)
 
 
-def learn(docs: DataFrame, max_rows: int = 3000) -> tuple[list[str], np.ndarray]:
-    """Languages and, by language, log probabilities of the trigram slots, from at most `max_rows` rows (the first by a hash)."""
-    picked = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang").orderBy(F.xxhash64("doc_id"), "doc_id", "lang").limit(max_rows)
-    rows = docs.select("doc_id", "lang", "text").join(F.broadcast(picked.distinct()), ["doc_id", "lang"])
+def learn(docs: DataFrame, per_language: int = 1000) -> tuple[list[str], np.ndarray]:
+    """All languages of labelled documents and, by language, log probabilities of the trigram slots, from at most `per_language` rows of each.
+
+    Those are the first by a hash of their id. A language's share of hashes is chosen by its count, so that only
+    a bounded number of rows are ranked.
+    """
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang")
+    counts = cut(known.groupBy("lang").agg(F.count("*").alias("n")))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(HASHES))
+    some = known.join(F.broadcast(counts), "lang").withColumn("place", place).where(F.col("place") < F.ceil(F.lit(HASHES * 2.0 * per_language) / F.col("n"))).select("doc_id", "lang", "place").distinct()
+    picked = some.withColumn("turn", F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id"))).where(F.col("turn") <= per_language)
+    rows = docs.select("doc_id", "lang", "text").join(F.broadcast(picked.select("doc_id", "lang")), ["doc_id", "lang"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}
@@ -59,7 +75,7 @@ def learn(docs: DataFrame, max_rows: int = 3000) -> tuple[list[str], np.ndarray]
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some.astype(np.int32)), pa.array(own[some])], names=["lang", "slot", "n"])
 
     got = rows.mapInArrow(count, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow()
-    names = sorted(set(got.column("lang").to_pylist()))
+    names = sorted(r.lang for r in counts.collect())
     counts = np.full((len(names), SLOTS), 0.5)
     if names:
         at = np.searchsorted(np.array(names), np.array(got.column("lang").to_pylist()))
@@ -71,11 +87,13 @@ def visible(html: bytes) -> bytes:
     return HIDDEN.sub(b" ", html)
 
 
-def identify(pages: DataFrame, docs: DataFrame, max_rows: int = 3000) -> DataFrame:
-    """page_id, host, lang (und if nothing was learned), probability, text_lang, declared and address of each row."""
-    names, table = learn(docs, max_rows)
-    if not names:
-        return pages.select("page_id", host_of(F.col("url")).alias("host"), F.lit("und").alias("lang"), F.lit(0.0).alias("probability"), *(F.lit(None).cast("string").alias(c) for c in ("text_lang", "declared", "address")))
+def domain_of(host: Column) -> Column:
+    """The last two labels of a host, three where the one before a country's names no domain."""
+    return F.regexp_extract(host, rf"(?:[^.]+\.(?:{BEFORE_COUNTRY})\.[a-z]{{2}}|[^.]+\.[^.]+|[^.]+)$", 0)
+
+
+def page_evidence(pages: DataFrame, names: list[str], table: np.ndarray) -> DataFrame:
+    """page_id, host, first (a language code that begins the path), text (log likelihoods, the best 0; all 0 without text) and declared of each row."""
     sent, n = pages.sparkSession.sparkContext.broadcast(table), len(names)
     kind = pages.schema["page_id"].dataType.simpleString()
 
@@ -96,50 +114,57 @@ def identify(pages: DataFrame, docs: DataFrame, max_rows: int = 3000) -> DataFra
     url = F.col("url")
     first = F.lower(F.regexp_extract(path_of(url), r"^/([A-Za-z]{2,3})(?:[/.-]|$)", 1))
     shown = pages.select("page_id", host_of(url).alias("host"), F.when(first.isin(names), first).alias("first"), "html")
-    scored = cut(shown.mapInArrow(read, f"page_id {kind}, host string, first string, text array<double>, declared string"))
+    return shown.mapInArrow(read, f"page_id {kind}, host string, first string, text array<double>, declared string")
 
-    suffix = F.element_at(F.split("host", r"\."), -1)
-    domain = F.when(F.col("host") != "", F.regexp_extract("host", r"([^.]+\.[^.]+)$|([^.]+)$", 0)).otherwise("")
+
+def identify(pages: DataFrame, docs: DataFrame, per_language: int = 1000, hot_pages: int = 100_000, few_hosts: int = 20_000) -> DataFrame:
+    """page_id, host, lang (und if nothing was learned), probability, text_lang, declared and address of each row."""
+    names, table = learn(docs, per_language)
+    if not names:
+        return pages.select("page_id", host_of(F.col("url")).alias("host"), F.lit("und").alias("lang"), F.lit(0.0).alias("probability"), *(F.lit(None).cast("string").alias(c) for c in ("text_lang", "declared", "address")))
+    n = len(names)
+    each = lambda made: F.transform(F.sequence(F.lit(0), F.lit(n - 1)), made)
     total = lambda logs: F.aggregate(logs, F.lit(0.0), lambda a, x: a + F.exp(x))
     soft = F.transform("text", lambda x: F.exp(x * TEXT_WEIGHT) / total(F.transform("text", lambda y: y * TEXT_WEIGHT)))
-    rows = scored.withColumns({"domain": domain, "suffix": suffix, "soft": soft})
-    sums = [F.sum(F.get("soft", F.lit(i))).alias(f"s{i}") for i in range(n)]
+    rows = cut(page_evidence(pages, names, table).withColumn("soft", soft))
 
-    def level(keys: list[str], frame: DataFrame) -> DataFrame:
-        return frame.groupBy(*keys).agg(*(F.sum(f"s{i}").alias(f"s{i}") for i in range(n)))
-
-    hosts = cut(rows.groupBy("host", "domain", "suffix", "first").agg(*sums))
-    by_host, by_domain, by_suffix = level(["host", "domain", "suffix"], hosts), level(["domain"], hosts), level(["suffix"], hosts)
-    everything = hosts.agg(*(F.sum(f"s{i}").alias(f"s{i}") for i in range(n))).first()
-    whole = [float(x or 0) + 1.0 for x in everything]
-    prior_0 = [x / sum(whole) for x in whole]
-    firsts = {r["first"]: [float(r[f"s{i}"]) + SMOOTHING * prior_0[i] for i in range(n)] for r in level(["first"], hosts).where("first is not null").collect()}
-
-    def smoothed(frame: DataFrame, keys: list[str], parent: DataFrame | None, on: list[str], name: str) -> DataFrame:
-        """Shares of each key, with SMOOTHING pages' worth of its parent's shares."""
-        if parent is not None:
-            frame = frame.join(parent, on)
-            above = [F.get(F.col("above"), F.lit(i)) for i in range(n)]
-        else:
-            above = [F.lit(p) for p in prior_0]
-        mass = sum((F.col(f"s{i}") for i in range(1, n)), F.col("s0")) + SMOOTHING
-        return frame.select(*keys, F.array(*((F.col(f"s{i}") + SMOOTHING * above[i]) / mass for i in range(n))).alias(name))
-
-    suffix_prior = smoothed(by_suffix, ["suffix"], None, [], "above")
-    parts = by_domain.join(hosts.select("domain", "suffix").distinct(), "domain")
-    domain_prior = smoothed(parts, ["domain"], suffix_prior, ["suffix"], "above")
-    host_prior = cut(smoothed(by_host, ["host"], domain_prior, ["domain"], "prior"))
-
-    trust = F.array(*(F.when(F.col("declared").isNull(), 0.0).when(F.col("declared") == name, float(np.log(DECLARED_TRUST))).otherwise(float(np.log((1 - DECLARED_TRUST) / max(1, n - 1)))) for name in names))
-    told = F.array(*(F.lit(0.0) for _ in range(n)))
-    for code, mass in sorted(firsts.items()):
-        told = F.when(F.col("first") == code, F.array(*(F.lit(ADDRESS_WEIGHT * float(np.log(m / sum(mass) / prior_0[i]))) for i, m in enumerate(mass)))).otherwise(told)
-    # Few hosts are broadcast; more of them are joined on their names, and Spark may split the pages of a hot one.
-    small = host_prior.limit(20_001).count() <= 20_000
-    joined = rows.join(F.broadcast(host_prior) if small else host_prior, "host")
-    joined = joined.withColumns({"trust": trust, "told": told})
-    logs = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.get("text", i) * TEXT_WEIGHT + F.log(F.get("prior", i)) + F.get("trust", i) + F.get("told", i))
-    joined = joined.withColumn("logs", logs).withColumn("most", F.array_max("logs"))
+    sums = [F.sum(F.get("soft", F.lit(i))).alias(f"s{i}") for i in range(n)]
+    again = [F.sum(f"s{i}").alias(f"s{i}") for i in range(n)]
+    packed = lambda name: F.array(*(F.col(f"s{i}") for i in range(n))).alias(name)
+    hosts = cut(rows.groupBy("host", "first").agg(*sums, F.count("*").alias("pages")).withColumns({"domain": domain_of(F.col("host")), "suffix": F.element_at(F.split("host", r"\."), -1)}))
+    of_all = [float(x or 0) for x in hosts.agg(*again).first()]
+    of_path = {r["first"]: [float(r[f"s{i}"]) for i in range(n)] for r in hosts.where("first is not null").groupBy("first").agg(*again).collect()}
+    by = lambda key, name: hosts.groupBy(key).agg(*again).select(key, packed(name))
+    own = hosts.groupBy("host", "domain", "suffix").agg(*again, F.sum("pages").alias("pages")).select("host", "domain", "suffix", "pages", packed("by_host"))
+    facts = cut(own.join(by("domain", "by_domain"), "domain").join(by("suffix", "by_suffix"), "suffix").select("host", "pages", "by_host", "by_domain", "by_suffix"))
+    # Few hosts are broadcast; more of them are joined on their names.
+    if facts.limit(few_hosts + 1).count() <= few_hosts:
+        joined = rows.join(F.broadcast(facts), "host")
+    else:
+        hot = cut(facts.where(F.col("pages") > hot_pages).select("host", F.ceil(F.col("pages") / hot_pages).alias("salts")))
+        joined = spread_join(rows, facts, "host", None if hot.isEmpty() else hot)
+
+    # Shares without the page's own part: the sums of its host (domain, suffix, path) less its own posterior.
+    sum_of = lambda values: F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+    share = lambda sums, i, above: (F.greatest(F.lit(0.0), F.get(sums, i) - F.get("soft", i)) + SMOOTHING * above) / (F.greatest(F.lit(0.0), sum_of(sums) - 1) + SMOOTHING)
+    overall = each(lambda i: (F.greatest(F.lit(0.0), F.get(F.lit(of_all), i) - F.get("soft", i)) + 1) / F.lit(max(0.0, sum(of_all) - 1) + n))
+    joined = joined.withColumn("overall", overall)
+    domain = each(lambda i: share("by_domain", i, F.get("overall", i)))
+    with_host = F.col("host") != ""
+    joined = joined.withColumn("domain", domain).withColumn("prior", F.when(with_host, each(lambda i: share("by_host", i, F.get("domain", i)))).otherwise(F.col("overall")))
+    code = F.lit(None).cast("array<double>")
+    for name, values in sorted(of_path.items()):
+        code = F.when(F.col("first") == name, F.lit(values)).otherwise(code)
+    joined = joined.withColumn("by_path", code)
+    far = float(np.log((1 - DECLARED_TRUST) / max(1, n - 1)))
+    terms = {
+        "text": lambda i: F.get("text", i) * TEXT_WEIGHT,
+        "prior": lambda i: F.log(F.get("prior", i)),
+        "declared": lambda i: F.when(F.col("declared").isNull(), 0.0).when(F.get(F.lit(names), i) == F.col("declared"), float(np.log(DECLARED_TRUST))).otherwise(far),
+        "suffix": lambda i: F.when(with_host, F.log(share("by_suffix", i, F.get("overall", i)) / F.get("overall", i))).otherwise(0.0),
+        "path": lambda i: F.when(F.col("by_path").isNotNull(), F.log(share("by_path", i, F.get("overall", i)) / F.get("overall", i))).otherwise(0.0),
+    }
+    joined = joined.withColumn("logs", each(lambda i: sum((t(i) for t in list(terms.values())[1:]), terms["text"](i)))).withColumn("most", F.array_max("logs"))
     shifted = F.transform("logs", lambda x: x - F.col("most"))
     best = F.array_position("logs", F.col("most")).cast("int")
     heard = F.when(F.exists("text", lambda x: x != 0), F.element_at(F.lit(names), F.array_position("text", F.lit(0.0).cast("double")).cast("int")))

@@ -131,17 +131,66 @@ def test_decontaminate(spark, odd, docs, block):
     assert decontaminate.decontaminate(odd.limit(0), bench).count() == 0
 
 
-def test_language(spark, docs):
+def fused(rows, names, table):
+    """The posteriors of (url, html) rows by plain loops: (lang, probability)."""
+    seen = []
+    for url, html in rows:
+        rest = (url or "").split("://", 1)[1] if "://" in (url or "") else ""
+        host, path = re.match(r"([^/?#]*)([^?#]*)", rest).groups()
+        host = re.sub("[A-Z]", lambda m: m[0].lower(), host)
+        code = re.match(r"/([A-Za-z]{2,3})(?=[/.-]|$)", path)
+        code = code[1].lower() if code and code[1].lower() in names else None
+        text = language_id.visible((html or "").encode())
+        logs = [float(sum(np.float64(x) for x in table[i][language_id.slots_of(text)])) for i in range(len(names))] if text.strip() else [0.0] * len(names)
+        logs = [x - max(logs) for x in logs]
+        soft = [math.exp(x / 4) for x in logs]
+        lang = re.search(r"<html[^>]*?lang=[\"']?([a-zA-Z]{2})", html or "")
+        seen.append((host, re.search(r"(?:[^.]+\.(?:co|com|org|net|gov|edu|ac)\.[a-z]{2}|[^.]+\.[^.]+|[^.]+|)$", host)[0], host.split(".")[-1], code, logs, [x / sum(soft) for x in soft], lang and lang[1].lower()))
+    out = []
+    for k, (host, domain, suffix, code, logs, _, lang) in enumerate(seen):
+        others = seen[:k] + seen[k + 1 :]
+        sums = lambda keep: [sum(o[5][i] for o in others if keep(o)) for i in range(len(names))]
+        share = lambda own, above: [(x + 10 * a) / (sum(own) + 10) for x, a in zip(own, above)]
+        every = sums(lambda o: True)
+        overall = [(x + 1) / (sum(every) + len(names)) for x in every]
+        prior = share(sums(lambda o: o[0] == host), share(sums(lambda o: o[1] == domain), overall)) if host else overall
+        total = [x / 4 + math.log(p) for x, p in zip(logs, prior)]
+        for keep in ([lambda o: o[2] == suffix] if host else []) + ([lambda o: o[3] == code] if code else []):
+            total = [t + math.log(p / q) for t, p, q in zip(total, share(sums(keep), overall), overall)]
+        if lang in names:
+            total = [t + math.log(0.9 if x == lang else 0.1 / (len(names) - 1)) for t, x in zip(total, names)]
+        weights = [math.exp(t - max(total)) for t in total]
+        out.append((names[weights.index(1.0)], 1 / sum(weights)))
+    return out
+
+
+@pytest.mark.parametrize("options", [{}, {"few_hosts": 0, "hot_pages": 3}])
+def test_language_is_the_fused_posterior(spark, docs, options):
+    pages = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{SF}/pages.parquet").limit(30).collect()]
+    pages += [(-1, None, None), (-2, "http://x.example/fr/1", ""), (-3, "", "<html lang=de><p>"), (-4, "https://shop.co.uk/", "<html lang=xx>the and of"), (-5, "https://news.co.uk/de", "der die das und"), pages[0], (None, "http://x.example/", "word " * 30_000)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").withColumns({c: F.lit(1) for c in ("host", "text", "first", "lang", "soft", "doc_id")})
+    names, table = language_id.learn(docs, 50)
+    got = language_id.identify(frame, docs, 50, **options).collect()
+    want = fused([p[1:] for p in pages], names, table)
+    assert sorted(key((r.page_id, r.lang, round(r.probability, 6))) for r in got) == sorted(key((p[0], lang, round(x, 6))) for p, (lang, x) in zip(pages, want))
+
+
+def test_language_without_the_markup(spark, docs):
     pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", "html")
-    more = spark.createDataFrame([(-1, None, None), (-2, "http://x.example/fr/1", ""), (-3, "", "<html lang=de><p>")], "page_id long, url string, html string")
-    got = {r.page_id: r for r in language_id.identify(pages.unionByName(more), docs).collect()}
-    assert len(got) == pages.count() + 3 and got[-1].lang in ("en", "fr", "de", "es") and got[-3].lang == "de"
-    agree = [r.lang == r.declared for i, r in got.items() if i >= 0]
-    assert sum(agree) >= 0.95 * len(agree)
+    declared = {r.page_id: r.d for r in pages.select("page_id", F.regexp_extract("html", "lang=.([a-z]+)", 1).alias("d")).collect()}
+    blind = pages.withColumn("html", F.regexp_replace("html", "<html[^>]*>", "<html>")).withColumn("url", F.regexp_replace("url", "/(en|fr|de|es)/", "/"))
+    got = {r.page_id: r for r in language_id.identify(blind, docs).collect()}
+    assert len(got) == len(declared) and all(r.declared is None and r.address is None for r in got.values())
+    assert sum(r.lang == declared[i] for i, r in got.items()) >= 0.95 * len(got)
     assert language_id.identify(pages, docs.limit(0)).select("lang").distinct().collect()[0].lang == "und"
     assert language_id.identify(pages.limit(0), docs).count() == 0
 
 
+def test_languages_are_learned_however_rare(spark, docs):
+    more = docs.select("doc_id", "lang", "text").unionByName(spark.createDataFrame([(-9, "eo", "la kaj de esperanto estas ĉu ŝi"), (None, "xx", "a"), (-8, "yy", None), (-7, None, "b")], "doc_id long, lang string, text string"))
+    assert language_id.learn(more, 20)[0] == sorted({r.lang for r in docs.select("lang").distinct().collect()} | {"eo"})
+
+
 def test_flac_round_trip_and_damage():
     rng = np.random.default_rng(3)
     payloads = [flac.payload_of(x) for x in (b"", b"a" * 64, b"abc", bytes(range(256)) * 5, rng.integers(0, 256, 5000, dtype=np.uint8).tobytes(), bytes(3000), b"to be or not to be " * 400, bytes(int(127 + 100 * math.sin(i / 9)) for i in range(4096)))]
