@@ -24,8 +24,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postmill.llm.common import as_bytes, cut, portions
 
@@ -101,29 +102,20 @@ def firsts(keys: tuple[np.ndarray, ...], order: tuple[np.ndarray, ...]) -> tuple
     return first, shared[head]
 
 
-def _salt(*parts: np.ndarray) -> np.ndarray:
-    """A key of its own for each row, from where the row is."""
-    out = np.full(len(parts[0]), 0x9E3779B97F4A7C15, np.uint64)
-    for x in parts:
-        out = (out ^ x.astype(np.int64).view(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
-        out ^= out >> np.uint64(29)
-    return out
-
-
 def _anchors(batches: Iterator[pa.RecordBatch], window: int, rows: int) -> Iterator[pa.RecordBatch]:
+    """key, spot and row of all anchors; the spot's last two bits: 1 if the portion has no equal one, 2 for the first of equal ones, 3 for the others."""
     period, cover = cover_for(window)
     length, member = window - period + 1, np.zeros(period, bool)
     member[list(cover)] = True
     for batch in portions(batches, rows, most_bytes=4 << 20):
         p = _Portion(as_bytes(batch.column("text")))
-        ids = batch.column("id").to_numpy(zero_copy_only=False)
+        own = batch.column("row").to_numpy()
         runs = run_hashes(p.hashes[:, 0], length, FACTORS[0])
         at = np.flatnonzero(member[p.place[: len(runs)] % period] & (p.left[: len(runs)] >= length) & (p.count[p.doc[: len(runs)]] >= window))
-        key, doc, place = runs[at], p.doc[at], p.place[at]
+        key, doc, place = runs[at].view(np.int64), p.doc[at], p.place[at]
         first, shared = firsts((key,), (doc, place))
-        key = np.where(first, key, _salt(ids[doc], place))
-        columns = (key.view(np.int64), place << 2 | np.where(shared, 2, 1), ids[doc])
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "spot", "id"])
+        columns = (np.where(first, key, own[doc]), place << 2 | np.where(first, np.where(shared, 2, 1), 3), own[doc])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "spot", "row"])
 
 
 def _windows(batches: Iterator[pa.RecordBatch], window: int, rows: int) -> Iterator[pa.RecordBatch]:
@@ -131,13 +123,13 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int, rows: int) -> Itera
     length = window - period + 1
     for batch in portions(batches, rows, most_bytes=4 << 20):
         p = _Portion(as_bytes(batch.column("text")))
-        ids, turns = batch.column("id").to_numpy(zero_copy_only=False), batch.column("turn").to_numpy(zero_copy_only=False)
+        ids, own = batch.column("id").to_numpy(), batch.column("row").to_numpy()
         marks = batch.column("places")
         ends = np.asarray(marks.offsets)
         flat = marks.values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]]
         doc_of = np.repeat(np.arange(batch.num_rows), np.diff(ends))
-        own = flat < p.count[doc_of]  # rows that share an id share their places too
-        flat, doc_of = flat[own], doc_of[own]
+        inside = flat < p.count[doc_of]  # rows with an equal key would share their places
+        flat, doc_of = flat[inside], doc_of[inside]
         # A window is a candidate if any marked anchor starts within its first window - length + 1 words.
         step = np.zeros(len(p.doc) + 1, np.int64)
         at = p.first[doc_of] + flat
@@ -147,22 +139,23 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int, rows: int) -> Itera
         a, b = (run_hashes(p.hashes[:, k], window, FACTORS[k]) for k in (0, 1))
         at = np.flatnonzero((np.cumsum(step)[: len(a)] > 0) & (p.left[: len(a)] >= window))
         doc, place = p.doc[at], p.place[at]
-        a, b, turn = a[at], (b[at] >> np.uint64(32)).astype(np.uint32), turns[doc].astype(np.int64)
-        first, _ = firsts((a, b), (ids[doc], turn, place))
-        key, more = np.where(first, a, _salt(ids[doc], turn, place)), np.where(first, b, np.uint32(0))
-        columns = (key.view(np.int64), more.view(np.int32), turn << 32 | place, ids[doc], ~first)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "more", "spot", "id", "later"])
+        a, b = a[at].view(np.int64), (b[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+        first, _ = firsts((a, b), (ids[doc], place))
+        # Later ones are settled; they have no need of a key or an order.
+        row, id_ = own[doc], ids[doc]
+        columns = (np.where(first, a, row), np.where(first, b, 0), id_, place.astype(np.int32), row, ~first)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "more", "id", "place", "row", "later"])
 
 
 def _kept(batches: Iterator[pa.RecordBatch], window: int, rows: int) -> Iterator[pa.RecordBatch]:
     for batch in portions(batches, rows, most_bytes=4 << 20):
         n_words, n_removed, shas, texts = [], [], [], []
-        for text, turn, spots in zip(as_bytes(batch.column("text")), batch.column("turn").to_pylist(), batch.column("spots"), strict=True):
+        for text, spots in zip(as_bytes(batch.column("text")), batch.column("spots"), strict=True):
             words = text.split()
-            starts = spots.values.to_numpy(zero_copy_only=False) if spots.is_valid else np.zeros(0, np.int64)
-            starts = starts[starts >> 32 == turn] & 0xFFFFFFFF
+            starts = spots.values.to_numpy(zero_copy_only=False) if spots.is_valid else np.zeros(0, np.int32)
+            starts = starts[starts + window <= len(words)]
             if len(starts):
-                step = np.zeros(len(words) + window + 1, np.int64)
+                step = np.zeros(len(words) + 1, np.int64)
                 np.add.at(step, starts, 1)
                 np.add.at(step, starts + window, -1)
                 gone = np.cumsum(step)[: len(words)] > 0
@@ -180,29 +173,48 @@ def _kept(batches: Iterator[pa.RecordBatch], window: int, rows: int) -> Iterator
         yield pa.RecordBatch.from_pydict(out)
 
 
+def ordered(docs: DataFrame) -> DataFrame:
+    """doc_id, text, id (a long in the order of the ids) and row (a key of the id and the text)."""
+    kind = docs.schema["doc_id"].dataType
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    if isinstance(kind, T.IntegralType):
+        texts = texts.withColumn("id", F.col("doc_id").cast("long"))
+    else:
+        known = texts.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
+        ranks = cut(known.repartitionByRange("doc_id").sortWithinPartitions("doc_id").withColumn("id", F.monotonically_increasing_id()))
+        texts = texts.join(ranks, "doc_id", "left")
+    return texts.withColumns({"id": F.coalesce("id", F.lit(NO_ID)), "row": F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text")})
+
+
 def drop_repeats(docs: DataFrame, window: int = 20, rows: int = 4000, keep_text: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 (of the kept words, joined by a space) of each row.
 
     A word goes if a window over it also starts earlier: in a document with a smaller id, or earlier
     in the same one. Windows are judged on the input. `keep_text` adds the kept words as `kept`.
     """
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    texts = ordered(docs)
     marked = cut(_marked(texts, window, rows))
-    # Rows with one id take turns by their text, equal rows sharing one. Both joins read the texts from one exchange on the id.
-    turns = texts.withColumn("turn", F.dense_rank().over(Window.partitionBy("id").orderBy(F.xxhash64("text"))) - 1)
-    candidates = turns.join(marked.hint("shuffle_hash"), "id").select("id", "turn", "text", "places")
-    windows = candidates.mapInArrow(lambda b: _windows(b, window, rows), "key long, more int, spot long, id long, later boolean")
-    ranked = windows.withColumn("rank", F.rank().over(Window.partitionBy("key", "more", "later").orderBy("id", "spot")))
-    gone = ranked.where(F.col("later") | (F.col("rank") > 1)).groupBy("id").agg(F.collect_set("spot").alias("spots"))
-    final = turns.join(gone.hint("shuffle_hash"), "id", "left").select(F.nullif("id", F.lit(NO_ID)).alias("doc_id"), "turn", "text", "spots", *([F.lit(True).alias("keep")] if keep_text else []))
-    return final.mapInArrow(lambda b: _kept(b, window, rows), "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * keep_text)
+    candidates = texts.join(marked, "row").select("id", "row", "text", "places")
+    windows = candidates.mapInArrow(lambda b: _windows(b, window, rows), "key long, more int, id long, place int, row long, later boolean")
+    counts = windows.where("not later").groupBy("key", "more").agg(F.count("*").alias("n"))
+    shared = cut(counts.where("n > 1").select("key", "more", F.lit(True).alias("met")))
+    # Of windows that meet others, those after the first one go.
+    met = cut(windows.join(shared, ["key", "more"], "left").where(F.col("later") | F.col("met")).select("key", "more", "id", "place", "row", "later"))
+    first = met.where("not later").groupBy("key", "more").agg(F.min(F.struct("id", "place")).alias("first"))
+    after = met.where("not later").join(first, ["key", "more"]).where(F.struct("id", "place") > F.col("first"))
+    gone = after.select("id", "row", "place").unionByName(met.where("later").select("id", "row", "place")).groupBy("id", "row").agg(F.collect_set("place").alias("spots"))
+    final = texts.join(gone, ["id", "row"], "left").select("doc_id", "text", "spots", *([F.lit(True).alias("keep")] if keep_text else []))
+    return final.mapInArrow(lambda b: _kept(b, window, rows), f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * keep_text)
 
 
 def _marked(texts: DataFrame, window: int, rows: int) -> DataFrame:
-    """By id, the places of the anchors that occur elsewhere too."""
-    anchors = texts.mapInArrow(lambda b: _anchors(b, window, rows), "key long, spot long, id long")
-    meeting = anchors.withColumn("all", F.sum(F.col("spot").bitwiseAND(3)).over(Window.partitionBy("key"))).where(F.col("all") > 1)
-    return meeting.groupBy("id").agg(F.collect_set(F.shiftright("spot", 2).cast("int")).alias("places"))
+    """By row, the places of the anchors that occur elsewhere too."""
+    anchors = texts.select("row", "text").mapInArrow(lambda b: _anchors(b, window, rows), "key long, spot long, row long")
+    kind = F.col("spot").bitwiseAND(3)
+    shared = cut(anchors.where(kind < 3).groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.lit(True).alias("met")))
+    meeting = anchors.join(shared, "key", "left").where((kind > 1) | F.col("met"))
+    return meeting.groupBy("row").agg(F.collect_set(F.shiftright("spot", 2).cast("int")).alias("places"))
 
 
 #: The same rows in DuckDB, by all windows of 20 words.
@@ -212,7 +224,7 @@ with d as (
 win as (
   select rid, doc_id, a, array_to_string(w[a + 1:a + 20], ' ') as t
   from (select rid, doc_id, w, unnest(range(0, len(w) - 19)) as a from d where len(w) >= 20)),
-later as (select rid, a from (select rid, a, rank() over (partition by t order by doc_id, a) as r from win) where r > 1),
+later as (select rid, a from (select rid, a, rank() over (partition by t order by coalesce(doc_id, -9223372036854775808), a) as r from win) where r > 1),
 gone as (select distinct rid, p from (select rid, unnest(range(a, a + 20)) as p from later)),
 words as (select rid, i - 1 as p, w[i] as x from (select rid, w, unnest(range(1, len(w) + 1)) as i from d)),
 kept as (select rid, string_agg(x, ' ' order by p) as t from words anti join gone using (rid, p) group by rid),

@@ -535,30 +535,52 @@ def test_exchange_raises_likelihood():
     assert len({(int(x), int(y)) for x, y in zip(of, true[order])}) == 4
 
 
-def test_substrings(spark, odd, docs):
-    frame = both(odd, docs)
-    rows = frame.collect()
-    texts = sorted({(-(1 << 63) if r.doc_id is None else r.doc_id, r.text or "") for r in rows if r.doc_id != 1}) + [(1, rows_of_one) for rows_of_one in {r.text for r in rows if r.doc_id == 1}]
-    seals = {r.text: r.seal for r in frame.where("doc_id = 1").select("text", F.xxhash64("text").alias("seal")).collect()}
-    order = {t: (t[0], seals.get(t[1], 0) if t[0] == 1 else 0) for t in texts}
+def brute_repeats(rows, window=20):
+    """(id, words, removed, digest) of (id, text) rows; a window goes if an equal one has a smaller (id, place)."""
+    order = lambda i: -(1 << 63) if i is None else i
     first = {}
-    for t in sorted(texts, key=order.get):
-        w = t[1].encode().split()
-        for k in range(len(w) - 19):
-            first.setdefault(tuple(w[k : k + 20]), (t, k))
-    want = {}
-    for t in texts:
-        w = t[1].encode().split()
+    for i, text in rows:
+        w = (text or "").encode().split()
+        for k in range(len(w) - window + 1):
+            t = tuple(w[k : k + window])
+            first[t] = min(first.get(t, (order(i), k)), (order(i), k))
+    out = []
+    for i, text in rows:
+        w = (text or "").encode().split()
         gone = [False] * len(w)
-        for k in range(len(w) - 19):
-            if first[tuple(w[k : k + 20])] != (t, k):
-                gone[k : k + 20] = [True] * 20
-        want[t] = (len(w), sum(gone), sha(b" ".join(x for x, g in zip(w, gone) if not g)))
+        for k in range(len(w) - window + 1):
+            if first[tuple(w[k : k + window])] < (order(i), k):
+                gone[k : k + window] = [True] * window
+        out.append((i, len(w), sum(gone), sha(b" ".join(x for x, g in zip(w, gone) if not g))))
+    return out
+
+
+def test_substrings(spark, odd, docs):
+    frame = both(odd, docs).withColumns({c: F.lit(1) for c in ("id", "row", "place", "spots", "keep")})
+    rows = [(r.doc_id, r.text) for r in frame.collect()]
     got = substrings.drop_repeats(frame, rows=40).collect()
-    assert sorted(map(key, map(tuple, got))) == sorted(key((r.doc_id, *want[-(1 << 63) if r.doc_id is None else r.doc_id, r.text or ""])) for r in rows)
+    assert sorted(map(key, map(tuple, got))) == sorted(map(key, brute_repeats(rows)))
     assert substrings.drop_repeats(frame.limit(0)).count() == 0
 
 
+def test_substrings_of_repeated_ids(spark):
+    w = [f"w{i}" for i in range(25)]
+    text = lambda *parts: " ".join(x for p in parts for x in p)
+    cases = [(1, text(w)), (1, text(w, ["tail"])), (2, text(w)), (2, text(["a", "b"], w)), (3, text(["c"], w, w)), (None, text(["d"], w)), (None, text(["e"], w)), (None, None), (-(1 << 63), text(["f"], w)), (4, text(w)), (4, text(w)), (5, "")]
+    db = duckdb.connect()
+    for rows in (cases, cases[1:5], cases[::-1], cases[2:4], cases[5:8] + cases[9:], cases[9:11]):
+        got = sorted(map(key, map(tuple, substrings.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string"), rows=2).collect())))
+        assert got == sorted(map(key, brute_repeats(rows)))
+        db.execute("CREATE OR REPLACE TABLE documents (doc_id BIGINT, text VARCHAR)")
+        db.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+        assert got == sorted(map(key, db.sql(f"SELECT doc_id, n_words, n_removed, kept_sha256 FROM ({substrings.ORACLE})").fetchall()))
+    named = [(None if i is None else f"{'abcdef'[i]}{'x' * 9}", t) for i, t in cases if i is None or i > 0]
+    got = substrings.drop_repeats(spark.createDataFrame(named, "doc_id string, text string")).collect()
+    numbers = {n: k for k, n in enumerate(sorted({n for n, _ in named if n}))}
+    want = brute_repeats([(numbers.get(n), t) for n, t in named])
+    assert sorted(key((numbers.get(r[0]), *r[1:])) for r in got) == sorted(map(key, want))
+
+
 @pytest.mark.parametrize("period", sorted(substrings.COVERS))
 def test_covers(period):
     cover = substrings.COVERS[period]
