@@ -26,9 +26,9 @@ def cell_y(lat: Column) -> Column:
     return F.greatest(F.lit(0), F.least(F.lit(ROWS - 1), F.floor((lat + 90) / 180 * ROWS))).cast("int")
 
 
-def around(x: Column, y: Column) -> Column:
-    """The cell and its eight neighbours, as structs (cx, cy); columns wrap at the antimeridian, rows end at the poles."""
-    cells = [F.struct(F.pmod(x + i, F.lit(COLUMNS)).cast("int").alias("cx"), (y + j).cast("int").alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)]
+def around(x: Column, y: Column, steps: int = 1) -> Column:
+    """The cell and its eight neighbours (with more steps to the east and west, more), as structs (cx, cy); columns wrap at the antimeridian, rows end at the poles."""
+    cells = [F.struct(F.pmod(x + i, F.lit(COLUMNS)).cast("int").alias("cx"), (y + j).cast("int").alias("cy")) for i in range(-steps, steps + 1) for j in (-1, 0, 1)]
     return F.filter(F.array(*cells), lambda c: (c["cy"] >= 0) & (c["cy"] < ROWS))
 
 

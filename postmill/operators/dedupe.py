@@ -16,7 +16,7 @@ What the plan does instead of comparing all pairs of each block:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postmill.functions.compare import KEYS, is_duplicate, with_keys
@@ -26,6 +26,10 @@ from postmill.operators.cutting import cut
 from postmill.schema import FIELDS, LARGEST_BLOCK
 
 
+#: Degrees from which on a cell is less than 1 km wide, with some room.
+NARROW = 77.0
+
+
 def block_keys(addresses: DataFrame) -> DataFrame:
     """(address, key, cx, cy) of every block; addresses with an empty key or no place have none."""
     key = F.concat_ws("|", number_key(F.col("number")), core(expand(fold(F.col("street")))))
@@ -38,6 +42,33 @@ def hashes(addresses: DataFrame) -> DataFrame:
     return block_keys(addresses).select("address", F.xxhash64("key", "cx", "cy").alias("hash"))
 
 
+def collisions(blocks: DataFrame) -> DataFrame:
+    """(address, key, cx, cy) of blocks of two or more."""
+    shared = blocks.groupBy("key", "cx", "cy").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    return blocks.join(shared, ["key", "cx", "cy"], "left_semi")
+
+
+def collisions_by_pairs(blocks: DataFrame) -> DataFrame:
+    """The same rows, as those for which another address in the block exists."""
+    other = blocks.select(F.col("address").alias("other"), F.col("key").alias("k"), F.col("cx").alias("x"), F.col("cy").alias("y"))
+    return blocks.join(other, (F.col("key") == F.col("k")) & (F.col("cx") == F.col("x")) & (F.col("cy") == F.col("y")) & (F.col("address") != F.col("other")), "left_semi")
+
+
+def in_order(blocks: DataFrame, addresses: DataFrame) -> DataFrame:
+    """blocks with `place`: 1 for the member that a block takes first, by rank and id from the highest down."""
+    ranked = blocks.join(addresses.select(F.col("id").alias("address"), "rank"), "address")
+    order = Window.partitionBy("key", "cx", "cy").orderBy(F.desc("rank"), F.desc("address"))
+    return ranked.withColumn("place", F.row_number().over(order)).drop("rank")
+
+
+def oversized_report(blocks: DataFrame, limit: int = LARGEST_BLOCK, most: int = 10) -> DataFrame:
+    """(key, cx, cy, n, address, place): the first `most` members by id of each block above the limit, which has n members."""
+    key = ["key", "cx", "cy"]
+    counts = blocks.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > limit)
+    place = F.row_number().over(Window.partitionBy(*key).orderBy("address"))
+    return blocks.join(counts, key).withColumn("place", place).where(F.col("place") <= most).select(*key, "n", "address", "place")
+
+
 def count_collisions(blocks: DataFrame) -> DataFrame:
     """One row: how many (address, hash) are in a block of two or more."""
     shared = blocks.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > 1)
@@ -59,7 +90,9 @@ def duplicate_pairs(addresses: DataFrame, blocks: DataFrame | None = None) -> Da
         keyed = keyed.join(blocks.select(F.col("address").alias("id")).distinct(), "id", "left_semi")
     keyed = keyed.withColumn("k_block", F.xxhash64("k_number", "k_core")).select("id", "rank", *FIELDS, *KEYS, "k_block", cell_x(F.col("lon")).alias("cx"), cell_y(F.col("lat")).alias("cy"))
     a = keyed.alias("a")
-    b = keyed.withColumn("c", F.explode(around(F.col("cx"), F.col("cy")))).withColumns({"cx": F.col("c.cx"), "cy": F.col("c.cy")}).drop("c").alias("b")
+    # Two addresses may share a block two cells apart; towards the poles that can be within reach.
+    near = F.when(F.abs("lat") < NARROW, around(F.col("cx"), F.col("cy"))).otherwise(around(F.col("cx"), F.col("cy"), 2))
+    b = keyed.withColumn("c", F.explode(near)).withColumns({"cx": F.col("c.cx"), "cy": F.col("c.cy")}).drop("c").alias("b")
     of = lambda side: lambda name: F.col(f"{side}.{name}")
     better = (F.col("a.rank") > F.col("b.rank")) | (F.col("a.rank") == F.col("b.rank")) & (F.col("a.id") > F.col("b.id"))
     meet = (F.col("a.k_block") == F.col("b.k_block")) & (F.col("a.cx") == F.col("b.cx")) & (F.col("a.cy") == F.col("b.cy"))

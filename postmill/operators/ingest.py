@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from postmill.functions.geo import in_polygons
@@ -12,6 +12,7 @@ from postmill.functions.ranking import rank
 from postmill.functions.text import trimmed
 from postmill.schema import DUPLICATE_KEY, FIELDS, NULL_COORDINATE
 
+NATURAL_KEY = ("lat", "lon", "number", "street", "city")
 #: Order of sources in a store: stores of each kind first, then raw files.
 SOURCE_ORDER = ("bano_db", "osm_db", "openaddresses_db", "bano", "osm", "openaddresses")
 SOURCE_OF = {"bano_db": "bano", "bano": "bano", "osm_db": "osm", "osm": "osm", "openaddresses_db": "openaddress", "openaddresses": "openaddress"}
@@ -21,6 +22,13 @@ def has_place() -> Column:
     return F.col("lat").isNotNull() & F.col("lon").isNotNull() & ~F.isnan("lat") & ~F.isnan("lon")
 
 
+def skipping(frame: DataFrame, good: Column, seen: Observation | None) -> DataFrame:
+    """The rows that are good; `seen` gets how many were `read` and `skipped`, counted as they pass."""
+    if seen is None:
+        return frame.where(good)
+    return frame.observe(seen, F.count(F.lit(1)).alias("read"), F.count_if(~good).alias("skipped")).where(good)
+
+
 def importer_guard(addresses: DataFrame) -> DataFrame:
     """Rows without street or number go, silently."""
     return addresses.where(F.col("street").isNotNull() & F.col("number").isNotNull())
@@ -67,10 +75,9 @@ def natural_key(addresses: DataFrame, order: str = "id") -> tuple[DataFrame, Dat
 
     Rejected rows have the fields and a `kind`. Rows without coordinates are rejected too.
     """
-    key = ("lat", "lon", "number", "street", "city")
     guarded = importer_guard(addresses)
     # Rows without city never conflict, so each has a key of its own instead of meeting in one task.
     alone = F.when(F.col("city").isNull(), F.col(order))
-    turn = F.row_number().over(Window.partitionBy(*key, alone).orderBy(order))
+    turn = F.row_number().over(Window.partitionBy(*NATURAL_KEY, alone).orderBy(order))
     marked = guarded.withColumn("_kind", F.when(~has_place(), NULL_COORDINATE).when(F.col("city").isNotNull() & (turn > 1), DUPLICATE_KEY))
     return marked.where(F.col("_kind").isNull()).drop("_kind"), marked.where(F.col("_kind").isNotNull()).select(*FIELDS, F.col("_kind").alias("kind"))

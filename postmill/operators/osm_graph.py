@@ -3,7 +3,7 @@
 Objects are selected by their tags, then ways and relations are resolved by joins on their ordered
 children. An object with a missing child gives nothing, at any depth. Selected nodes always give an
 address of their own; ways and relations that a wanted relation refers to come through it alone, with
-its name as street. Relations in relations are followed up to `rounds` levels; those without a name
+its name as street. Relations in relations are followed as deep as they go; those without a name
 give nothing, cycles never resolve.
 """
 
@@ -67,16 +67,17 @@ def placed_ways(ways: DataFrame, nodes: DataFrame) -> DataFrame:
     return whole.withColumn("place", place).select("id", "tags", F.col("place.lat").alias("lat"), F.col("place.lon").alias("lon"))
 
 
-def osm_addresses(objects: DataFrame, rounds: int = 3) -> DataFrame:
-    """Addresses of a frame of objects (see the PBF reader for its columns)."""
-    marked = objects.withColumn("root", is_root())
+def osm_addresses(objects: DataFrame) -> DataFrame:
+    """Addresses of a frame of objects (see the PBF reader for its columns), which are read once and kept by type."""
+    kept = cut(objects)
+    marked = kept.withColumn("root", is_root())
     of = lambda kind: marked.where(F.col("type") == kind).withColumn("tags", pruned_tags())
     nodes, ways, relations = of("node"), of("way"), of("relation")
 
     # Members of wanted relations: the selected ones and, level by level, the relations in them.
     edges = cut(relations.select(F.col("id").alias("parent"), F.explode("refs").alias("r")).select("parent", F.col("r.type").alias("kind"), F.col("r.id").alias("child")))
     level = wanted = cut(relations.where("root").select("id"))
-    for _ in range(rounds):
+    while True:  # a relation is new once, so cycles come to an end
         inner = edges.where(F.col("kind") == "relation").join(level, edges.parent == level.id, "left_semi").select(F.col("child").alias("id")).distinct()
         level = cut(inner.join(wanted, "id", "left_anti"))
         if level.isEmpty():
@@ -88,7 +89,9 @@ def osm_addresses(objects: DataFrame, rounds: int = 3) -> DataFrame:
 
     needed = ways.join(way_refs, "id", "left_semi").unionByName(ways.where("root").join(way_refs, "id", "left_anti"))
     placed = cut(placed_ways(needed, nodes))
-    known = nodes.select(F.lit("node").alias("kind"), F.col("id").alias("child"), "tags", "lat", "lon").unionByName(placed.select(F.lit("way").alias("kind"), F.col("id").alias("child"), "tags", "lat", "lon"))
+    node_refs = refs.where(F.col("kind") == "node").select(F.col("child").alias("id"))
+    wanted_nodes = nodes.join(node_refs, "id", "left_semi")
+    known = wanted_nodes.select(F.lit("node").alias("kind"), F.col("id").alias("child"), "tags", "lat", "lon").unionByName(placed.select(F.lit("way").alias("kind"), F.col("id").alias("child"), "tags", "lat", "lon"))
     members = cut(own.where(F.col("kind") != "relation").join(known, ["kind", "child"]))
 
     # A relation is whole once all its children are; its relations one level later each.
@@ -97,8 +100,9 @@ def osm_addresses(objects: DataFrame, rounds: int = 3) -> DataFrame:
     state = cut(expected.join(met, "parent", "left").withColumn("met", F.coalesce("met", F.lit(0))))
     whole = state.where((F.col("deep") == 0) & (F.col("met") == F.col("all"))).select("parent")
     deep_edges = own.where(F.col("kind") == "relation").select("parent", "child")
-    levels = 0 if deep_edges.isEmpty() else rounds
-    for _ in range(levels):
+    deep, known_whole = not deep_edges.isEmpty(), -1
+    while deep and (n := whole.count()) > known_whole:
+        known_whole = n
         done = deep_edges.join(whole.select(F.col("parent").alias("child")), "child").groupBy("parent").agg(F.count("*").alias("done"))
         more = state.where(F.col("deep") > 0).join(done, "parent").where(F.col("met") + F.col("done") == F.col("all")).select("parent")
         whole = cut(whole.unionByName(more).distinct())
@@ -108,10 +112,13 @@ def osm_addresses(objects: DataFrame, rounds: int = 3) -> DataFrame:
     inside = refs.where(F.col("kind") == "relation").select(F.col("child").alias("id"))
     turn = relations.where("root").select("id").join(inside, "id", "left_anti").join(named, "id")
     found = []
-    for k in range(levels + 1):
+    while True:
         found.append(as_address(turn.join(members, turn.id == members.parent).select("street", "tags", "lat", "lon"), F.col("street")))
-        if k < levels:
-            turn = cut(turn.select("id").join(deep_edges, turn.id == deep_edges.parent).select(F.col("child").alias("id")).join(named, "id"))
+        if not deep:
+            break
+        turn = cut(turn.select("id").join(deep_edges, turn.id == deep_edges.parent).select(F.col("child").alias("id")).join(named, "id"))
+        if turn.isEmpty():
+            break
     alone = placed.join(ways.where("root").select("id"), "id", "left_semi").join(way_refs, "id", "left_anti")
     parts = [as_address(nodes.where("root")), as_address(alone), *found]
     return reduce(DataFrame.unionByName, parts).where(F.col("lat").isNotNull() & F.col("lon").isNotNull())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,10 +26,29 @@ def from_output(rows: DataFrame) -> DataFrame:
 
 
 def write_csv(addresses: DataFrame, path: str, single_file: bool = False, compression: str = "gzip", mode: str = "overwrite") -> None:
-    """OUTPUT as CSV with a header, compressed. One file goes through one task; leave it off for large results."""
+    """OUTPUT as CSV with a header, compressed: a folder of files or, with `single_file`, one file at the path.
+
+    One file goes through one task; leave it off for large results.
+    """
     out = output_projection(addresses)
-    out = out.coalesce(1) if single_file else out
-    out.write.mode(mode).options(header=True, emptyValue="", nullValue="", escape='"', compression=compression).csv(path)
+    form = {"header": True, "emptyValue": "", "nullValue": "", "escape": '"', "compression": compression}
+    if not single_file:
+        out.write.mode(mode).options(**form).csv(path)
+        return
+    spark = addresses.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target, folder = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.parts-{uuid.uuid4().hex}")
+    fs = target.getFileSystem(conf)
+    if mode != "overwrite" and fs.exists(target):
+        raise FileExistsError(path)
+    out.coalesce(1).write.options(**form).csv(folder.toString())
+    try:
+        (part,) = [x.getPath() for x in fs.listStatus(folder) if x.getPath().getName().startswith("part-")]
+        fs.delete(target, True)
+        if not fs.rename(part, target):
+            raise OSError(f"{part.toString()} couldn't be renamed to {path}")
+    finally:
+        fs.delete(folder, True)
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -9,14 +9,17 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import accumulate
+from itertools import accumulate, islice
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 SCHEMA = "type string, id long, lat double, lon double, tags map<string,string>, nodes array<long>, refs array<struct<type:string,id:long,role:string>>"
+MEMBERS = pa.list_(pa.struct([("type", pa.string()), ("id", pa.int64()), ("role", pa.string())]))
+ARROW = pa.schema([("type", pa.string()), ("id", pa.int64()), ("lat", pa.float64()), ("lon", pa.float64()), ("tags", pa.map_(pa.string(), pa.string())), ("nodes", pa.list_(pa.int64())), ("refs", MEMBERS)])
 MEMBER = {0: "node", 1: "way", 2: "relation"}
 
 
@@ -87,7 +90,7 @@ def objects(block: bytes) -> Iterator[tuple]:
         g = message(group)
         for raw in g.get(1, []):
             m = message(raw)
-            yield ("node", signed(m[1][0]), degrees(lat_0, signed(m[8][0])), degrees(lon_0, signed(m[9][0])), named(m), None, None)
+            yield ("node", signed(m[1][0]), degrees(lat_0, signed(m[8][0])), degrees(lon_0, signed(m[9][0])), list(named(m).items()), None, None)
         for raw in g.get(2, []):
             m = message(raw)
             ids, lats, lons = (accumulate(map(signed, packed(m.get(f, [])))) for f in (1, 8, 9))
@@ -96,14 +99,14 @@ def objects(block: bytes) -> Iterator[tuple]:
                 own = {}
                 while k := next(tags, 0):
                     own[strings[k]] = strings[next(tags)]
-                yield ("node", i, degrees(lat_0, lat), degrees(lon_0, lon), own, None, None)
+                yield ("node", i, degrees(lat_0, lat), degrees(lon_0, lon), list(own.items()), None, None)
         for raw in g.get(3, []):
             m = message(raw)
-            yield ("way", plain(m[1][0]), None, None, named(m), list(accumulate(map(signed, packed(m.get(8, []))))), None)
+            yield ("way", plain(m[1][0]), None, None, list(named(m).items()), list(accumulate(map(signed, packed(m.get(8, []))))), None)
         for raw in g.get(4, []):
             m = message(raw)
             members = zip(packed(m.get(8, [])), accumulate(map(signed, packed(m.get(9, [])))), packed(m.get(10, [])))
-            yield ("relation", plain(m[1][0]), None, None, named(m), None, [(MEMBER.get(kind, "?"), i, strings[role]) for role, i, kind in members])
+            yield ("relation", plain(m[1][0]), None, None, list(named(m).items()), None, [{"type": MEMBER.get(kind, "?"), "id": i, "role": strings[role]} for role, i, kind in members])
 
 
 @dataclass
@@ -141,12 +144,15 @@ class PbfReader(DataSourceReader):
                 f.seek(at + size)
         return out or [Blob(0, 0)]
 
-    def read(self, part: Blob) -> Iterator[tuple]:
+    def read(self, part: Blob) -> Iterator[pa.RecordBatch]:
         if not part.size:
             return
         with open(self.path, "rb") as f:
             f.seek(part.start)
-            yield from objects(inflate(f.read(part.size)))
+            rows = objects(inflate(f.read(part.size)))
+        while some := list(islice(rows, 10_000)):
+            columns = zip(*some, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, ARROW.types, strict=True)], schema=ARROW)
 
 
 def read_pbf(spark: SparkSession, path: str) -> DataFrame:

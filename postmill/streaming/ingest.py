@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,8 +16,11 @@ def stream_into(store: AddressStore, spark: SparkSession, path: str, source: str
     """Follow a folder of Parquet addresses and add what is new; stops when all files present are in."""
     fields = schema or ", ".join(f"{f} {'double' if f in ('lat', 'lon') else 'string'}" for f in FIELDS)
 
+    name = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
     def add(batch: DataFrame, epoch: int) -> None:
-        store.add(batch.withColumns({"source": F.lit(source), "_order": F.struct(F.lit(epoch).alias("epoch"), F.monotonically_increasing_id().alias("row"))}))
+        # A restart gives the same epoch with the same rows; it then takes the place of what it left.
+        store.add(batch.withColumns({"source": F.lit(source), "_order": F.struct(F.lit(epoch).alias("epoch"), F.monotonically_increasing_id().alias("row"))}), f"{name}-{epoch}")
 
     stream = spark.readStream.schema(fields).parquet(path)
     return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

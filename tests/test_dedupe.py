@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from postmill.functions.geo import cell_x
 from postmill.operators import dedupe
 
 SCHEMA = "id long, rank double, lat double, lon double, number string, street string, unit string, city string, district string, region string, postcode string"
@@ -32,6 +33,17 @@ def test_spellings_collapse_in_any_order(spark, seed):
     assert len({(r.number, r.street.lower()[:2]) for r in kept}) >= 6
 
 
+def test_far_north_neighbours_two_cells_apart_are_compared(spark):
+    # At 79 degrees cells are 0.93 km wide: these are 932 m apart, in cells that have one between them.
+    width = 360 / 8192
+    rows = [(79.0, -180 + (9 + 0.999) * width, "1", "Rue A", "X", "1"), (79.0, -180 + (11 + 0.0) * width, "1", "Rue A", "X", "1")]
+    cells = {r.cx for r in frame(spark, rows).select(cell_x(F.col("lon")).alias("cx")).collect()}
+    assert max(cells) - min(cells) == 2
+    assert [r.id for r in dedupe.survivors(frame(spark, rows)).collect()] == [1]
+    same = [(79.0, -180 + 0.01 * width, "1", "Rue A", "X", "1"), (79.0, 180 - 1.0 * width, "1", "Rue A", "X", "1")]
+    assert dedupe.survivors(frame(spark, same)).count() == 1
+
+
 def test_copies_leave_one(spark):
     rows = [(48.0 + i, 2.0, str(i), "Rue A", "X", "1") for i in range(6)]
     assert dedupe.survivors(frame(spark, rows * 4)).count() == 6

@@ -1,6 +1,9 @@
 import json
 import sqlite3
 
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
 from postmill.cli import main
 from postmill.operators import ingest, sinks
 from postmill.operators.osm_graph import osm_addresses
@@ -37,6 +40,17 @@ def test_openaddresses(spark, tmp_path):
     assert read_openaddresses(spark, str(tmp_path / "in" / "deep" / "a.geojson")).count() == 2
 
 
+def test_openaddresses_is_a_stream_of_values(spark, tmp_path):
+    one, two, three = (json.loads(feature(n, (2.5, 48.5), street='S "{} }" \\\\ {')) for n in "123")
+    (tmp_path / "a.geojson").write_text(json.dumps(one) + json.dumps(two) + " " + json.dumps(three))
+    (tmp_path / "b.geojson").write_text("\n".join(json.dumps(x, indent=2) for x in (one, two)) + '\n{"broken": \n' + "}\n" + json.dumps(three, indent=1))
+    (tmp_path / "c.geojson").write_text(json.dumps(one) + "\nnot json } {\n" + json.dumps(two) + "\n[1, 2]\n" + json.dumps(three))
+    seen = Observation("rows")
+    got = read_openaddresses(spark, str(tmp_path), seen).collect()
+    assert sorted((r._position.file_path[-9], r.number) for r in got) == [(f, n) for f in "abc" for n in "123"]
+    assert {r.street for r in got} == {'S "{} }" \\\\ {'} and seen.get["read"] - seen.get["skipped"] == 9
+
+
 def test_sqlite(spark, tmp_path):
     path = str(tmp_path / "a.db")
     with sqlite3.connect(path) as db:
@@ -73,7 +87,10 @@ def test_osm_rules(spark):
 def test_csv_is_complete(spark, tmp_path):
     rows = [(1.5, 2.5, "1", 'Rue "A", b', None, "C", None, None, "1"), (1e-5, -3.0, "2", "x", "u", None, "d", "r", None)]
     kept = spark.createDataFrame(rows, "lat double, lon double, number string, street string, unit string, city string, district string, region string, postcode string")
-    sinks.write_csv(kept, str(tmp_path / "out"), single_file=True)
+    sinks.write_csv(kept, str(tmp_path / "one.csv.gz"), single_file=True)
+    assert (tmp_path / "one.csv.gz").is_file() and not [p for p in tmp_path.iterdir() if "parts" in p.name]
+    assert sorted(map(tuple, sinks.read_csv(spark, str(tmp_path / "one.csv.gz")).collect()), key=repr) == sorted(rows, key=repr)
+    sinks.write_csv(kept, str(tmp_path / "out"))
     assert sorted(map(tuple, sinks.read_csv(spark, str(tmp_path / "out")).collect()), key=repr) == sorted(rows, key=repr)
     head = spark.read.text(str(tmp_path / "out")).first().value
     assert head == "ID,STREET,POSTCODE,DISTRICT,REGION,CITY,NUMBER,UNIT,LAT,LON"
@@ -88,7 +105,44 @@ def test_store(spark, tmp_path):
     assert store.nb_by_errors_kind() == [("duplicate_key", 1), ("null_coordinate", 1)]
     assert store.get_address(2, "S").count() == 2 and store.get_address(2, "s").count() == 0
     store.add_imported(batch)
-    assert store.nb_by_errors_kind() == [("duplicate_key", 3), ("null_coordinate", 2)] or store.nb_addresses() == 5
+    assert store.nb_by_errors_kind() == [("duplicate_key", 3), ("null_coordinate", 2)] and store.nb_addresses() == 5
+    before = sorted(r.id for r in store.addresses().collect())
+    store.add_imported(batch, "again")
+    assert store.nb_addresses() == 7 and len({r.id for r in store.addresses().collect()}) == 7
+    store.add_imported(batch, "again")
+    assert store.nb_addresses() == 7 and set(before) < {r.id for r in store.addresses().collect()}
+
+
+def test_a_batch_that_is_tried_again_counts_once(spark, tmp_path):
+    store = AddressStore(spark, str(tmp_path / "store"), fresh=True)
+    rows = spark.createDataFrame([(1.0, 2.0, "1", "S", None, "C", None, None, None)], "lat double, lon double, number string, street string, unit string, city string, district string, region string, postcode string")
+    for name in ("a", "b", "b", "a"):
+        store.add(ingest.union_sources({"osm": rows}), name, keep=lambda x: x.where("number = '1'"), rank=lambda x: x.withColumn("rank", F.lit(7.0)))
+    assert store.nb_addresses() == 2 and {r["rank"] for r in store.addresses().collect()} == {7.0}
+
+
+def test_deep_relations_give_their_addresses(spark):
+    rel = lambda i, refs, name: ("relation", i, None, None, {"type": "associatedStreet" if i == 100 else "x", "name": name}, None, [(t, k, "") for t, k in refs])
+    chain = [rel(100 + i, [("relation", 101 + i)], f"Rue {i}") for i in range(6)] + [rel(106, [("node", 1)], "Rue Deep")]
+    rows = [("node", 1, 1.0, 1.0, {"addr:housenumber": "1"}, None, None), *chain, rel(200, [("relation", 201)], "A"), rel(201, [("relation", 200)], "B")]
+    assert [(r.number, r.street) for r in osm_addresses(spark.createDataFrame(rows, OBJECT)).collect()] == [("1", "Rue Deep")]
+
+
+def test_importers_and_their_stores(spark, tmp_path, caplog):
+    (tmp_path / "a.csv").write_text("1,12,Rue A,75001,Paris,OSM,48.5,2.5\n2,12,Rue A,75001,Paris,OSM,48.5,2.5\n3,13,Rue A,75001,Paris,OSM,x,2.5\n4,14,Rue B,75001,Paris,OSM,48.5,2.6\n5,14\n")
+    (tmp_path / "b.geojson").write_text(feature("12", (2.5, 48.5), street="Rue A") + "\n" + feature("99", (2.5, 10.0)))
+    main(["import", "bano", str(tmp_path / "a.csv"), "--output-db", str(tmp_path / "bano.store")])
+    main(["import", "openaddresses", str(tmp_path / "b.geojson"), "--output-db", str(tmp_path / "oa.store")])
+    bano = AddressStore(spark, str(tmp_path / "bano.store"))
+    assert (bano.nb_addresses(), bano.nb_errors()) == (2, 1)
+    main(["--bano-db", str(tmp_path / "bano.store"), "--openaddresses-db", str(tmp_path / "oa.store"), "--output-db", str(tmp_path / "store"), "-o", str(tmp_path / "o.csv.gz"), "--single-file"])
+    assert sorted(r.number for r in sinks.read_csv(spark, str(tmp_path / "o.csv.gz")).collect()) == ["12", "14", "99"]
+
+
+def test_skipped_rows_are_counted(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("1,12,Rue A,75001,Paris,OSM,48.5,2.5\n2,12,a,b,c,d,x,2.5\n3,14\n")
+    seen = Observation("bano")
+    assert read_bano(spark, str(tmp_path / "a.csv"), seen).count() == 1 and seen.get == {"read": 3, "skipped": 2}
 
 
 def test_streaming(spark, tmp_path):
