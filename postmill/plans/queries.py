@@ -5,10 +5,10 @@ from __future__ import annotations
 import os
 import sqlite3
 import struct
-import tempfile
 import uuid
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from postmill.functions import compare, geo, ranking, text
 from postmill.functions.helpers import partition
 from postmill.operators import dedupe, ingest, osm_graph, sinks, store
+from postmill.operators.cutting import shared_base
 from postmill.plans import dialect as d
 from postmill.plans.views import PLANTED, RANKED, addresses, customers, duck_sql, spark_sql
 from postmill.schema import FIELDS, TEXT_FIELDS
@@ -39,19 +40,28 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder that all executors see: in spark.checkpoint.dir, or a temporary one where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return f"{base.rstrip('/')}/postmill-{uuid.uuid4().hex}"
+def new_folder(spark: SparkSession) -> str:
+    """A new folder that all executors see."""
+    return f"{shared_base(spark)}/postmill-{uuid.uuid4().hex}"
 
 
 def shared_file(spark: SparkSession, name: str) -> str:
     """Where to write a small file that plain readers open on all executors; the shared folder must be mounted."""
-    folder = shared_folder(spark).removeprefix("file://")
+    folder = new_folder(spark).removeprefix("file://")
     os.makedirs(folder)
     return os.path.join(folder, name)
 
 
+def named(spark: SparkSession, folder: str, ending: str) -> None:
+    """Give all files that Spark wrote to a folder another ending."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    for x in fs.listStatus(where):
+        name = x.getPath().getName()
+        if name.startswith("part-"):
+            fs.rename(x.getPath(), spark._jvm.org.apache.hadoop.fs.Path(where, name.rsplit(".", 1)[0] + ending))
+
+
 # Ranking and guards
 
 
@@ -130,7 +140,7 @@ def q_get_address(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{ADDR} select source, count(*) as n, count(distinct city) as cities from addr group by source")
 def q_import_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return addresses(spark, sf_dir).groupBy("source").agg(F.count("*").alias("n"), F.count_distinct("city").alias("cities"))
+    return store.import_stats(addresses(spark, sf_dir))
 
 
 # Text forms and comparison
@@ -216,32 +226,24 @@ EXISTS = f"{ADDR}, {BLOCKS} select address, key, cx, cy from blocks b where exis
 
 @query(EXISTS)
 def q_collisions_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = dedupe.block_keys(addresses(spark, sf_dir))
-    o = b.select(F.col("address").alias("other"), "key", "cx", "cy")
-    return b.join(o, (b.key == o.key) & (b.cx == o.cx) & (b.cy == o.cy) & (b.address != o.other), "left_semi")
+    return dedupe.collisions_by_pairs(dedupe.block_keys(addresses(spark, sf_dir)))
 
 
 @query(EXISTS)
 def q_collisions_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = dedupe.block_keys(addresses(spark, sf_dir))
-    return b.withColumn("n", F.count("*").over(Window.partitionBy("key", "cx", "cy"))).where("n > 1").drop("n")
+    return dedupe.collisions(dedupe.block_keys(addresses(spark, sf_dir)))
 
 
 @query(f"{ADDR}, {BLOCKS} select key, cx, cy, address, cast(row_number() over (partition by key, cx, cy order by rank desc, id desc) as integer) as place from blocks join addr on addr.id = address")
 def q_pack_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = addresses(spark, sf_dir)
-    b = dedupe.block_keys(a).join(a.select(F.col("id").alias("address"), "rank"), "address")
-    order = Window.partitionBy("key", "cx", "cy").orderBy(F.desc("rank"), F.desc("address"))
-    return b.select("key", "cx", "cy", "address", F.row_number().over(order).alias("place"))
+    return dedupe.in_order(dedupe.block_keys(a), a)
 
 
 @query(f"{ADDR}, {BLOCKS}, big as (select key, cx, cy, count(*) as n from blocks group by key, cx, cy having count(*) > 3) select key, cx, cy, n, address, place from (select key, cx, cy, n, address, cast(row_number() over (partition by key, cx, cy order by address) as integer) as place from blocks join big using (key, cx, cy)) t where place <= 10")
 def q_oversize_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first ten members of each block of more than three: the report on oversized blocks, with a small limit."""
-    b = dedupe.block_keys(addresses(spark, sf_dir)).withColumn("hash", F.xxhash64("key", "cx", "cy"))
-    big = dedupe.oversized(b, 3)
-    place = F.row_number().over(Window.partitionBy("hash").orderBy("address"))
-    return b.join(big, "hash").withColumn("place", place).where("place <= 10").select("key", "cx", "cy", "n", "address", "place")
+    return dedupe.oversized_report(dedupe.block_keys(addresses(spark, sf_dir)), limit=3)
 
 
 @query("select cast(part as bigint) as part, cast(-100 + part * 1001 // 7 as bigint) as low, cast(-100 + (part + 1) * 1001 // 7 - 1 as bigint) as high from range(7) t(part)")
@@ -293,11 +295,17 @@ def q_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
 BIG = "big as (select key, cx, cy from blocks group by key, cx, cy having count(*) > 3)"
 
 
-@query(f"{ADDR}, {BLOCKS}, {BIG} select distinct address as address_id from blocks join big using (key, cx, cy)")
+ALIVE = "alive as (select b.* from blocks b anti join big using (key, cx, cy))"
+FOLD_ALIVE = FOLD.replace("from blocks join addr", "from alive join addr")
+
+
+@query(
+    f"""{RECURSIVE}, {BLOCKS}, {BIG}, {ALIVE}, {FOLD_ALIVE}
+select address_id from gone union select address as address_id from blocks join big using (key, cx, cy)"""
+)
 def q_oversize_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Members of blocks above a limit of three, which all go under the default policy."""
-    b = dedupe.hashes(addresses(spark, sf_dir))
-    return b.join(dedupe.oversized(b, 3), "hash", "left_semi").select(F.col("address").alias("address_id")).distinct()
+    """Deletions with a limit of three: all members of larger blocks, and the losers of the others."""
+    return dedupe.to_delete(addresses(spark, sf_dir), limit=3)
 
 
 @query(f"{RECURSIVE}, {BLOCKS}, {FOLD} select lat, lon, number, street, city from addr where id not in (select address_id from gone)")
@@ -308,21 +316,35 @@ def q_idempotence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.survivors(copies).select("lat", "lon", "number", "street", "city")
 
 
-@query(f"{ADDR} select case source when 'bano' then 0 when 'osm' then 1 else 2 end as place, source, count(*) as n, min(street) as first_street from addr group by source")
+@query(
+    f"""{ADDR} select id as was, source, number, street,
+  cast(row_number() over (partition by number order by case source when 'bano' then 0 when 'osm' then 1 else 2 end, id) as integer) as turn from addr"""
+)
 def q_union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of three sources with their turn among those of one house number, by the ids that the union gives them."""
     a = addresses(spark, sf_dir)
-    frames = {name: a.where(F.col("source") == s).drop("source") for name, s in (("openaddresses", "openaddress"), ("osm", "osm"), ("bano", "bano"))}
-    united = ingest.numbered(ingest.union_sources(frames).withColumn("_place", F.col("_order.place")))
-    return united.groupBy((F.col("_place") - 3).alias("place"), "source").agg(F.count("*").alias("n"), F.min("street").alias("first_street"))
+    position = F.struct(F.lit("file").alias("file_path"), F.lit(0).cast("long").alias("file_block_start"), F.col("id").alias("row"))
+    kept = [*FIELDS, position.alias("_position")]
+    frames = {name: a.where(F.col("source") == s).select(*kept) for name, s in (("openaddresses", "openaddress"), ("osm", "osm"), ("bano", "bano"))}
+    united = ingest.numbered(ingest.union_sources(frames).withColumn("was", F.col("_order.at.row")))
+    turn = F.row_number().over(Window.partitionBy("number").orderBy("id"))
+    return united.select("was", "source", "number", "street", turn.alias("turn"))
 
 
-@query(f"{RECURSIVE}, {BLOCKS}, {FOLD} select id, street from addr where id not in (select address_id from gone)")
+#: Rows of the first batch come before those of the second one.
+RENUMBERED = RECURSIVE.replace("addr as (", "was as (") + ", addr as (select * replace (row_number() over (order by id % 2, id) as id) from was)"
+
+
+@query(
+    f"""{RENUMBERED}, {BLOCKS}, {FOLD}
+select round(lat, 9) as lat, round(lon, 9) as lon, number, street, source from addr where id not in (select address_id from gone)"""
+)
 def q_incremental_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A kept store, and a second batch that joins it, are deduplicated together."""
-    folder, a = shared_folder(spark), addresses(spark, sf_dir).select("id", *FIELDS, "source", "rank")
+    """A kept store, and a second batch that is added to it, are deduplicated together."""
+    kept, a = store.AddressStore(spark, new_folder(spark)), addresses(spark, sf_dir)
     for low in (0, 1):
-        a.where(F.col("id") % 2 == low).write.mode("append").parquet(f"{folder}/addresses")
-    return store.AddressStore(spark, folder).deduplicated().select("id", "street")
+        kept.add(a.where(F.col("id") % 2 == low).select(*FIELDS, "source", F.col("id").alias("_order")))
+    return kept.deduplicated().select(F.round("lat", 9).alias("lat"), F.round("lon", 9).alias("lon"), "number", "street", "source")
 
 
 # Output
@@ -337,7 +359,7 @@ def q_output_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{ADDR} select {', '.join(FIELDS)} from addr")
 def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = shared_folder(spark)
+    folder = new_folder(spark)
     sinks.write_csv(addresses(spark, sf_dir), folder)
     return sinks.read_csv(spark, folder)
 
@@ -356,9 +378,13 @@ OA_LINE = """case id % 6 when 0 then concat('{"properties":{"number":"', number,
     f"{ADDR.replace('addr as', 'planted as')} select * from (select case when id % 6 = 0 then round(lat, 6) else 2.0 end as lat, case when id % 6 = 0 then round(lon, 6) else 1.0 end as lon, case when id % 6 = 0 then number end as number, street, case when id % 6 = 5 then 'u' end as unit, case when id % 6 = 5 then 'c' end as city, case when id % 6 = 5 then 'd' end as district, case when id % 6 = 5 then 'r' end as region, case when id % 6 = 0 then '1' else '2' end as postcode from planted where id % 6 in (0, 5)) t"
 )
 def q_oa_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of features, a third of them strictly right."""
+    """Files of features, a third of them strictly right, written here; a sixth of the values go over two lines."""
     lines = addresses(spark, sf_dir).select(F.expr(OA_LINE).alias("value"))
-    return openaddresses.parsed(lines).withColumns({"lat": F.round("lat", 6), "lon": F.round("lon", 6)})
+    folder = new_folder(spark)
+    lines.select(F.when(F.col("value").contains('"postcode":"2"'), F.replace("value", F.lit(',"geometry"'), F.lit('\n,"geometry"'))).otherwise(F.col("value")).alias("value")).write.text(folder)
+    named(spark, folder, ".geojson")
+    found = openaddresses.read_openaddresses(spark, folder).drop("_position")
+    return found.withColumns({"lat": F.round("lat", 6), "lon": F.round("lon", 6)})
 
 
 BANO_LAT = "case id % 5 when 0 then '' when 1 then concat(' ', cast(g as STR)) when 2 then '1d' when 3 then concat(cast(g as STR), '.5') else concat(cast(g % 90 as STR), 'e-1') end"
@@ -366,10 +392,12 @@ BANO_LAT = "case id % 5 when 0 then '' when 1 then concat(' ', cast(g as STR)) w
 
 @query(f"{ADDR} select round(case when id % 5 = 3 then cast(g as double) + 0.5::double else cast(g % 90 as double) * 0.1::double end, 6) as lat, round(lon, 6) as lon, number, '' as street, cast(null as varchar) as unit, coalesce(city, '') as city, cast(null as varchar) as district, cast(null as varchar) as region, coalesce(postcode, '') as postcode from addr where id % 5 in (3, 4)")
 def q_bano_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw rows as the CSV reader gives them: unreadable coordinates go, empty texts stay empty."""
-    a = addresses(spark, sf_dir)
-    raw = a.select("number", F.lit("").alias("street"), "postcode", "city", F.expr(spark_sql(BANO_LAT)).alias("lat"), F.col("lon").cast("string").alias("lon"))
-    return bano.parsed(raw).withColumns({"lat": F.round("lat", 6), "lon": F.round("lon", 6)})
+    """Files of records written here: unreadable coordinates go, as do short records; empty texts stay empty."""
+    a, folder = addresses(spark, sf_dir), new_folder(spark)
+    quoted = lambda c: F.concat(F.lit('"'), F.coalesce(c, F.lit("")), F.lit('"'))
+    whole = F.concat_ws(",", F.col("id").cast("string"), "number", F.lit(""), quoted(F.col("postcode")), quoted(F.col("city")), F.lit("OSM"), F.expr(spark_sql(BANO_LAT)), F.col("lon").cast("string"))
+    a.select(F.explode(F.array(whole, F.concat(F.lit("short,"), "number"))).alias("value")).write.text(folder)
+    return bano.read_bano(spark, folder).drop("_position").withColumns({"lat": F.round("lat", 6), "lon": F.round("lon", 6)})
 
 
 # OpenStreetMap
@@ -424,10 +452,10 @@ def q_osm_way_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"with r as ({RINGS}), s as (select id, case when kind = 1 then concat('Street ', cast(id as varchar)) else 's' end as street, round(case when kind < 2 then y + w / 3 else y + w end, 6) as lat, round(case when kind < 2 then x + 2 * w / 3 else x end, 6) as lon, kind from r where kind <> 2) select lat, lon, '1' as number, street from s"
+    f"with r as ({RINGS}), s as (select id, case when kind = 1 then concat('Street ', cast(id as varchar)) else 's' end as street, round(case when kind < 2 then y + w / 3 else y + w end, 6) as lat, round(case when kind < 2 then x + 2 * w / 3 else x end, 6) as lon, kind from r where kind <> 2) select lat, lon, '1' as number, street from s union all select round(y, 6), round(x, 6), null, concat('Deep ', cast(id as varchar)) from r where kind = 2"
 )
 def q_osm_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ways alone, and ways (kind 1) in a street relation, which gives them its name; half of the other relations lack a member."""
+    """Ways alone, ways (kind 1) in a street relation, which gives them its name, relations that lack a member, and nodes under five relations."""
     ways, nodes = drawn(spark, sf_dir)
     none = lambda t: F.lit(None).cast(t)
     refs = "array<struct<type:string,id:long,role:string>>"
@@ -438,22 +466,31 @@ def q_osm_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     streets = ways.where(F.col("id") % 4 == 1)
     r = streets.select(F.lit("relation").alias("type"), "id", none("double").alias("lat"), none("double").alias("lon"), F.create_map(F.lit("type"), F.lit("associatedStreet"), F.lit("name"), F.concat(F.lit("Street "), F.col("id"))).alias("tags"), none("array<long>").alias("nodes"), F.array(member(F.col("id"))).alias("refs"))
     lost = r.withColumns({"id": F.col("id") + 1_000_000, "refs": F.array(F.struct(F.lit("node").alias("type"), F.lit(-1).cast("long").alias("id"), F.lit("").alias("role")))})
-    found = osm_graph.osm_addresses(n.unionByName(w).unionByName(r).unionByName(lost))
+    inner = lambda level: F.when(level < 4, F.struct(F.lit("relation").alias("type"), (F.col("id") * 10 + level + 10_000_001).alias("id"), F.lit("").alias("role"))).otherwise(F.struct(F.lit("node").alias("type"), F.col("id") * 10, F.lit("").alias("role")))
+    kind = F.when(F.col("level") == 0, "associatedStreet").otherwise("part")
+    levels = ways.where(F.col("id") % 4 == 2).withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(4))))
+    deep = levels.select(
+        F.lit("relation").alias("type"), (F.col("id") * 10 + F.col("level") + 10_000_000).alias("id"), none("double").alias("lat"), none("double").alias("lon"),
+        F.create_map(F.lit("type"), kind, F.lit("name"), F.concat(F.lit("Deep "), F.col("id"))).alias("tags"), none("array<long>").alias("nodes"), F.array(inner(F.col("level"))).alias("refs"),
+    )
+    found = osm_graph.osm_addresses(n.unionByName(w).unionByName(r).unionByName(lost).unionByName(deep))
     return found.select(F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "number", "street")
 
 
-@query()
+@query(f"{ADDR} select lat, lon, number, street, unit, city, district, region, postcode from addr")
 def q_sqlite_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A store of three rows, written here and read by ranges of rowid."""
+    """A store with all addresses, written here row by row and read by ranges of rowid."""
     path = shared_file(spark, "addresses.db")
     with sqlite3.connect(path) as db:
         db.execute(f"CREATE TABLE addresses (lat REAL, lon REAL, {', '.join(f'{f} TEXT' for f in TEXT_FIELDS)})")
-        db.executemany("INSERT INTO addresses VALUES (?, ?, ?, ?, ?, ?, ?, ?, ?)", [(48.5 + i, 2.5, str(i), "Rue É", None, "X", None, None, "75001") for i in range(3)])
-    return read_sqlite(spark, path, rows=2).drop("_position")
+        db.executemany("INSERT INTO addresses VALUES (?, ?, ?, ?, ?, ?, ?, ?, ?)", map(tuple, addresses(spark, sf_dir).select(*FIELDS).toLocalIterator()))
+        db.execute("INSERT INTO addresses (lat, lon, number) VALUES ('north', 2.5, '1')")
+    db.close()
+    return read_sqlite(spark, path, rows=500).drop("_position")
 
 
-def small_pbf() -> bytes:
-    """An extract with two nodes, written field by field."""
+def pbf_blobs(nodes: Iterable[tuple[int, float, float, dict[str, str]]], most: int = 8000) -> Iterator[bytes]:
+    """Blobs of an extract with these nodes, field by field: sparse and dense ones in turn."""
 
     def varint(n: int) -> bytes:
         out = b""
@@ -464,18 +501,36 @@ def small_pbf() -> bytes:
     field = lambda k, data: varint(k << 3 | 2) + varint(len(data)) + data
     whole = lambda k, n: varint(k << 3) + varint(n)
     zigzag = lambda n: n << 1 if n >= 0 else (-n << 1) - 1
-    strings = [b"", b"addr:housenumber", b"7", b"addr:street", b"Rue A"]
-    node = lambda i: field(1, whole(1, zigzag(i)) + field(2, varint(1) + varint(3)) + field(3, varint(2) + varint(4)) + whole(8, zigzag(485000000 + i)) + whole(9, zigzag(-15000000)))
-    block = field(1, b"".join(field(1, s) for s in strings)) + field(2, node(1) + node(2))
-    blob = field(3, zlib.compress(block)) + whole(2, len(block))
-    header = field(1, b"OSMData") + whole(3, len(blob))
-    return struct.pack(">I", len(header)) + header + blob
-
-
-@query()
+    packed = lambda numbers: b"".join(map(varint, numbers))
+    steps = lambda numbers: packed(zigzag(b - a) for a, b in zip([0, *numbers], numbers))
+    rows, dense = iter(nodes), False
+    while some := list(islice(rows, most)):
+        strings = {"": 0}
+        number = lambda x: strings.setdefault(x, len(strings))  # noqa: E731, B023
+        tagged = [([number(k) for k in tags], [number(v) for v in tags.values()]) for *_, tags in some]
+        places = [(i, round(lat * 1e7), round(lon * 1e7)) for i, lat, lon, _ in some]
+        if dense:
+            ids, lats, lons = zip(*places, strict=True)
+            flat = [x for keys, values in tagged for x in (*(y for pair in zip(keys, values) for y in pair), 0)]
+            group = field(2, field(1, steps(ids)) + field(8, steps(lats)) + field(9, steps(lons)) + field(10, packed(flat)))
+        else:
+            group = b"".join(field(1, whole(1, zigzag(i)) + field(2, packed(keys)) + field(3, packed(values)) + whole(8, zigzag(lat)) + whole(9, zigzag(lon))) for (i, lat, lon), (keys, values) in zip(places, tagged))
+        block = field(1, b"".join(field(1, x.encode()) for x in strings)) + field(2, group)
+        blob = field(3, zlib.compress(block)) + whole(2, len(block))
+        header = field(1, b"OSMData") + whole(3, len(blob))
+        yield struct.pack(">I", len(header)) + header + blob
+        dense = not dense
+
+
+@query(f"{ADDR} select round(lat, 6) as lat, round(lon, 6) as lon, number, street, city from addr where id % 3 <> 0")
 def q_pbf_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Addresses of a small extract written here."""
-    path = shared_file(spark, "small.osm.pbf")
+    """Addresses of an extract with all addresses as nodes, written here; a third of them have too long a number."""
+    path = shared_file(spark, "all.osm.pbf")
+    number = F.when(F.col("id") % 3 == 0, F.lit("123456789")).otherwise(F.col("number"))
+    rows = addresses(spark, sf_dir).select("id", "lat", "lon", number.alias("number"), "street", "city").toLocalIterator()
+    tags = lambda r: {"addr:housenumber": r.number, "addr:street": r.street, "shop": "y"} | ({"addr:city": r.city} if r.city else {})
     with open(path, "wb") as f:
-        f.write(small_pbf())
-    return osm_graph.osm_addresses(read_pbf(spark, path))
+        for blob in pbf_blobs(((r.id, r.lat, r.lon, tags(r)) for r in rows), 400):
+            f.write(blob)
+    found = osm_graph.osm_addresses(read_pbf(spark, path))
+    return found.select(F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "number", "street", "city")

@@ -8,7 +8,7 @@ from postmill.cli import main
 from postmill.operators import ingest, sinks
 from postmill.operators.osm_graph import osm_addresses
 from postmill.operators.store import AddressStore
-from postmill.plans.queries import small_pbf
+from postmill.plans.queries import pbf_blobs
 from postmill.schema import FIELDS
 from postmill.sources.bano import read_bano
 from postmill.sources.openaddresses import read_openaddresses
@@ -60,10 +60,11 @@ def test_sqlite(spark, tmp_path):
 
 
 def test_pbf(spark, tmp_path):
-    path = tmp_path / "a.pbf"
-    path.write_bytes(small_pbf())
+    path, tags = tmp_path / "a.pbf", {"addr:housenumber": "7", "addr:street": "Rue É"}
+    nodes = [(i, 48.5 + i * 1e-7, -1.5, tags if i % 2 else {}) for i in range(-3, 9)]
+    path.write_bytes(b"".join(pbf_blobs(nodes, 5)))
     got = read_pbf(spark, str(path)).orderBy("id").collect()
-    assert [(r.type, r.id, round(r.lat, 7), r.lon, r.tags) for r in got] == [("node", i, round(48.5 + i * 1e-7, 7), -1.5, {"addr:housenumber": "7", "addr:street": "Rue A"}) for i in (1, 2)]
+    assert [(r.type, r.id, round(r.lat, 7), r.lon, r.tags) for r in got] == [("node", i, round(lat, 7), lon, own) for i, lat, lon, own in nodes]
 
 
 def test_osm_rules(spark):
