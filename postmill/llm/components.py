@@ -9,12 +9,44 @@ tasks (see `spread_join`), and nothing is gathered on the driver but three sums.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.llm.common import cut, spread_join
 
 
+def trees(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (a, b) reduced to one star for each connected set: nodes and the set's least node."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = ends[: len(a)], ends[len(a) :]
+    root = np.arange(len(nodes))
+    while True:
+        low = np.minimum(root[x], root[y])
+        new = root.copy()
+        np.minimum.at(new, root[x], low)
+        np.minimum.at(new, root[y], low)
+        new = new[new]
+        while not np.array_equal(new, new[new]):
+            new = new[new]
+        if np.array_equal(new, root) and np.array_equal(root[x], root[y]):
+            break
+        root = new
+    own = root != np.arange(len(nodes))
+    return nodes[own], nodes[root[own]]
+
+
+def _in_one_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held = list(batches)
+    a, b = (np.concatenate([x.column(c).to_numpy() for x in held] or [np.zeros(0, np.int64)]) for c in ("a", "b"))
+    nodes, roots = trees(a, b)
+    for at in range(0, len(nodes), 100_000):
+        yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 100_000]) for x in (nodes, roots)], names=["node", "root"])
+
+
 def _star(links: DataFrame, larger_only: bool, hot_links: int, spread: bool) -> DataFrame:
     """One step over links (a, b): the neighbours of each a that take part are linked to the least one."""
     known = links.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
@@ -28,8 +60,10 @@ def _star(links: DataFrame, larger_only: bool, hot_links: int, spread: bool) ->
     return out.where(F.col("a") > F.col("b")).distinct()
 
 
-def components(links: DataFrame, rounds: int = 60, hot_links: int = 1_000_000) -> DataFrame:
-    """(node, root) for each node of links (a, b) that isn't the least of its component.
+def components(links: DataFrame, rounds: int = 60, hot_links: int = 1_000_000, few_links: int = 500_000) -> DataFrame:
+    """(node, root) for each node of links (a, b), longs, that isn't the least of its component.
+
+    Up to `few_links` links (16 bytes each) are settled in one task; more of them by rounds over all tasks.
 
     Null ends and links of a node with itself are left out; repeated links count once. No links
     give no rows.
@@ -39,7 +73,10 @@ def components(links: DataFrame, rounds: int = 60, hot_links: int = 1_000_000) -
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct()
     )
-    before, most = None, kept.groupBy("b").count().agg(F.max("count")).first()[0] or 0
+    n, most = kept.groupBy("b").count().agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))).first()
+    if n <= few_links:
+        return kept.coalesce(1).mapInArrow(_in_one_task, "node long, root long")
+    before = None
     for _ in range(rounds):
         both = kept.unionByName(kept.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # A step can gather the neighbours of several nodes on one; the small star gets those of the large one.
