@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.llm.common import as_bytes, cut, portions, spread_join
-from postmill.llm.components import components
+from postmill.llm.components import components, trees
 
 BITS = 64
 
@@ -128,26 +128,6 @@ def allocate(sample: np.ndarray, total: int, limit: int = 3, row_cost: float = 1
     return best[1]
 
 
-def trees(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links (a, b) reduced to one star for each connected set: nodes and the set's least node."""
-    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
-    x, y = ends[: len(a)], ends[len(a) :]
-    root = np.arange(len(nodes))
-    while True:
-        low = np.minimum(root[x], root[y])
-        new = root.copy()
-        np.minimum.at(new, root[x], low)
-        np.minimum.at(new, root[y], low)
-        new = new[new]
-        while not np.array_equal(new, new[new]):
-            new = new[new]
-        if np.array_equal(new, root) and np.array_equal(root[x], root[y]):
-            break
-        root = new
-    own = root != np.arange(len(nodes))
-    return nodes[own], nodes[root[own]]
-
-
 def runs_of(batches: Iterator[pa.RecordBatch], names: tuple[str, ...], keys: int) -> Iterator[list[np.ndarray]]:
     """The columns of sorted batches, dealt anew so that rows equal in the first `keys` of them come together."""
     held: list[np.ndarray] | None = None
@@ -179,12 +159,27 @@ def ranges(left: np.ndarray, lo: np.ndarray, hi: np.ndarray, most: int = 1 << 21
         at = to
 
 
-def _candidates(batches: Iterator[pa.RecordBatch], limit: int, p: int, q: int, near: int, most: int = 200_000) -> Iterator[pa.RecordBatch]:
-    """Pairs of nodes within the limit, of sizes that allow a similarity of p / q, in different components.
+#: Columns of a set's parity bits: 256 of them, each the parity of the number of hashes that fall on it.
+PARITY = ("p0", "p1", "p2", "p3")
+
+
+def _turns(keys: np.ndarray) -> np.ndarray:
+    """How many rows before each row have an equal key."""
+    at = np.argsort(keys, kind="stable")
+    new = np.concatenate([[True], keys[at][1:] != keys[at][:-1]]) if len(keys) else np.zeros(0, bool)
+    out = np.empty(len(keys), np.int64)
+    out[at] = np.arange(len(keys)) - np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0)) if len(keys) else 0
+    return out
 
-    Rows come sorted by (part, value, r1, r2, probe, n). With `near` each row meets the next `near` rows of its run only.
+
+def _candidates(batches: Iterator[pa.RecordBatch], limit: int, p: int, q: int, near: int, thin: int, most: int = 200_000) -> Iterator[pa.RecordBatch]:
+    """Pairs of nodes in different components that their fingerprints, sizes and parities allow to be similar.
+
+    Rows come sorted by (part, value, r1, r2, probe, n). With `near` each row is paired with the first fit among the
+    next `near` rows of its run. With `thin` a row has at most that many partners before it in a run, and two components
+    twice as many pairs at a time.
     """
-    names = ("part", "value", "r1", "r2", "probe", "n", "block", "fp", "node", "root")
+    names = ("part", "value", "r1", "r2", "probe", "n", "block", "fp", "node", "root", *PARITY)
     pairs: list[np.ndarray] = []
 
     def out() -> pa.RecordBatch:
@@ -192,15 +187,7 @@ def _candidates(batches: Iterator[pa.RecordBatch], limit: int, p: int, q: int, n
         pairs.clear()
         return pa.RecordBatch.from_arrays([pa.array(got[:, 0].copy()), pa.array(got[:, 1].copy())], names=["a", "b"])
 
-    def met(c: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        run = np.concatenate([[0], np.cumsum(np.any([x[1:] != x[:-1] for x in c[:4]], axis=0))])
-        rows, n = np.arange(len(run)), c[5].astype(np.int64)
-        if near:
-            for shift in range(1, near + 1):
-                left = rows[: max(0, len(run) - shift)]
-                left = left[(run[left] == run[left + shift]) & (q * n[left] >= p * n[left + shift])]
-                yield left, left + shift
-            return
+    def all_pairs(c: list[np.ndarray], run: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         place = run << 33 | c[4].astype(np.int64) << 32 | n
         # Pairs within a component are no news, so rows of the run's largest one meet the others only.
         at = np.lexsort((c[9], run))
@@ -210,7 +197,7 @@ def _candidates(batches: Iterator[pa.RecordBatch], limit: int, p: int, q: int, n
         last = by_size[np.concatenate([run[at][heads][by_size][1:] != run[at][heads][by_size][:-1], [True]])]
         inner = c[9] == c[9][at][heads][last][run]
         least, largest = -(-p * n // q), n * q // p
-        for left, right in ((~inner, rows), (inner, np.flatnonzero(~inner))):
+        for left, right in ((~inner, np.arange(len(run))), (inner, np.flatnonzero(~inner))):
             own = np.flatnonzero(left & (c[4] == 0))
             there = place[right]
             for probe in (0, 1):
@@ -220,15 +207,43 @@ def _candidates(batches: Iterator[pa.RecordBatch], limit: int, p: int, q: int, n
                     yield x, right[y]
 
     for c in runs_of(batches, names, 4):
-        fp, node = c[7].view("<u8"), c[8]
-        apart = c[2] != c[3]
-        for x, y in met(c):
+        run, n = np.concatenate([[0], np.cumsum(np.any([x[1:] != x[:-1] for x in c[:4]], axis=0))]), c[5].astype(np.int64)
+        fp, node, root, apart = c[7].view("<u8"), c[8], c[9], c[2] != c[3]
+        parity = np.stack([x.view("<u8") for x in c[10:]], 1)
+
+        def fit(x, y, n=n, fp=fp, node=node, root=root, apart=apart, block=c[6], parity=parity):  # noqa: ANN001, ANN202
             ok = np.flatnonzero(np.bitwise_count(fp[x] ^ fp[y]) <= limit)
             x, y = x[ok], y[ok]
-            ok = (c[9][x] != c[9][y]) & (node[x] != node[y]) & (~apart[x] | (c[6][x] != c[6][y]))
-            if ok.any():
-                x, y = node[x[ok]], node[y[ok]]
-                pairs.append(np.stack([np.minimum(x, y), np.maximum(x, y)], 1))
+            ok = np.flatnonzero((root[x] != root[y]) & (node[x] != node[y]) & (~apart[x] | (block[x] != block[y])))
+            x, y = x[ok], y[ok]
+            # A Hamming distance of parities is never more than the symmetric difference.
+            ok = (q + p) * np.bitwise_count(parity[x] ^ parity[y]).sum(1, dtype=np.int64) <= (q - p) * (n[x] + n[y])
+            return x[ok], y[ok]
+
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        if near:
+            free = np.ones(len(run), bool)
+            for shift in range(1, near + 1):
+                left = np.flatnonzero(free[: max(0, len(run) - shift)])
+                left = left[(run[left] == run[left + shift]) & (q * n[left] >= p * n[left + shift])]
+                x, y = fit(left, left + shift)
+                free[x] = False
+                found.append((x, y))
+        else:
+            met = np.zeros(len(run), np.int64)
+            for x, y in all_pairs(c, run, n):
+                x, y = fit(x, y)
+                if thin and len(x):
+                    turn = _turns(y) + met[y]
+                    np.add.at(met, y, 1)
+                    of = np.unique(np.stack([np.minimum(root[x], root[y]), np.maximum(root[x], root[y])]), axis=1, return_inverse=True)[1].ravel()
+                    ok = (turn < thin) & (_turns(of) < 2 * thin)
+                    x, y = x[ok], y[ok]
+                if len(x):
+                    found.append((x, y))
+        for x, y in found:
+            if len(x):
+                pairs.append(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y])], 1))
                 if sum(map(len, pairs)) > most:
                     yield out()
     if pairs:
@@ -299,14 +314,15 @@ def dealt(rows: DataFrame, parts: list[tuple[int, int]], block_rows: int, broadc
     )
 
 
-def candidate_pairs(nodes: DataFrame, parts: list[tuple[int, int]], limit: int, p: int, q: int, near: int = 0, block_rows: int = 1 << 20) -> DataFrame:
-    """Distinct pairs (a, b) of nodes (node, fp, n, root) to be verified: within `limit` bits, with sizes n in a ratio of p / q at least, roots apart.
+def candidate_pairs(nodes: DataFrame, parts: list[tuple[int, int]], limit: int, p: int, q: int, near: int = 0, thin: int = 0, block_rows: int = 1 << 20) -> DataFrame:
+    """Distinct pairs (a, b) of nodes (node, fp, n, root, PARITY) to be verified: within `limit` bits, with sizes n and parities that allow a similarity of p / q, roots apart.
 
-    All of them; with `near` only those of rows that follow one another by size in a part's value, a
-    cheap first look that links large groups before all the others are compared.
+    All of them, unless `near` or `thin` is given for a cheaper look that links large groups before the others are compared
+    (see `_candidates`); `near` looks at every third part only.
     """
-    rows = dealt(nodes.select("node", "fp", "n", "root"), parts, block_rows, probing=not near).sortWithinPartitions("part", "value", "r1", "r2", "probe", "n")
-    return rows.mapInArrow(lambda batches: _candidates(batches, limit, p, q, near), "a long, b long").distinct()
+    some = [(mask, t if i % 3 == 0 or not near else -1) for i, (mask, t) in enumerate(parts)]
+    rows = dealt(nodes.select("node", "fp", "n", "root", *PARITY), some, block_rows, probing=not near).sortWithinPartitions("part", "value", "r1", "r2", "probe", "n")
+    return rows.mapInArrow(lambda batches: _candidates(batches, limit, p, q, near, thin), "a long, b long").distinct()
 
 
 def hamming_links(distinct: DataFrame, limit: int = 3, sample_rows: int = 20_000, block_rows: int = 4096, broadcast_rows: int = 50_000) -> DataFrame:

@@ -9,9 +9,9 @@ above 0.85. Candidates are all pairs within the limit, found by the generalised
 sets (a lower bound of their symmetric difference), then by the sets themselves. So no link is
 wrong, and all links within the limit are found.
 
-Equal sets are one node from the start. A first look compares only rows that follow one another
-in a part's value; what it links is one component from then on, so the members of a large group
-need not meet all with all in the second look, which finds all the rest.
+Equal sets are one node from the start. A first look pairs each row with one that follows it in a part's
+value, a second one with a few rows before it; what they link is one component from then on, so the members of a large
+group need not meet all with all in the third look, which compares whatever is left in different components.
 
 Words are what white space parts, A-Z lower-cased; a text with fewer words than a shingle is one
 shingle, texts without words (null ones too) are equal. Repeated rows are equal sets. Shingles and
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from postmill.llm.common import as_bytes, cut, portions
 from postmill.llm.components import components
-from postmill.llm.simhash import allocate, candidate_pairs
+from postmill.llm.simhash import PARITY, allocate, candidate_pairs
 
 ROW_KEY = ("row_key_1", "row_key_2")
 #: Up to so many keys (24 bytes each) are broadcast.
@@ -123,7 +123,7 @@ def _verified(pairs: DataFrame, one: DataFrame, texts: DataFrame, words_in_shing
     return both.where((q + p) * F.size(F.array_intersect("x", "y")) >= p * (F.size("x") + F.size("y"))).select("a", "b")
 
 
-def near_copies(docs: DataFrame, words_in_shingle: int = 5, p: int = 4, q: int = 5, limit: int = 14, near: int = 8, sample_rows: int = 20_000, block_rows: int = 1 << 20) -> DataFrame:
+def near_copies(docs: DataFrame, words_in_shingle: int = 5, p: int = 4, q: int = 5, limit: int = 14, near: int = 8, thin: int = 2, sample_rows: int = 20_000, block_rows: int = 1 << 20) -> DataFrame:
     """Row key, doc_id and root of each row of docs (see `with_row_key`); rows with one root are linked by near copies.
 
     The sample of `sample_rows` sets steers how the bits are grouped, and so the cost only.
@@ -135,11 +135,13 @@ def near_copies(docs: DataFrame, words_in_shingle: int = 5, p: int = 4, q: int =
         for batch in portions(batches, 2000):
             found = [shingle_set(x, words_in_shingle) for x in as_bytes(batch.column("text"))]
             made = [pa.array(list(map(node_of, found)), pa.int64()), pa.array(list(map(len, found)), pa.int32()), pa.array(list(map(set_fingerprint, found)), pa.int64()), pa.array(list(map(wide_parity, found)), pa.binary())]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*ROW_KEY, "doc_id")), *made], names=[*ROW_KEY, "doc_id", "node", "n", "fp", "wide"])
+            bits = np.frombuffer(b"".join(parity(x, 256) for x in found), "<i8").reshape(-1, 4)
+            made += [pa.array(np.ascontiguousarray(bits[:, k])) for k in range(4)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*ROW_KEY, "doc_id")), *made], names=[*ROW_KEY, "doc_id", "node", "n", "fp", "wide", *PARITY])
 
-    named = cut(texts.mapInArrow(name, f"{ROW_KEY[0]} long, {ROW_KEY[1]} long, doc_id {kind}, node long, n int, fp long, wide binary"))
+    named = cut(texts.mapInArrow(name, f"{ROW_KEY[0]} long, {ROW_KEY[1]} long, doc_id {kind}, node long, n int, fp long, wide binary, p0 long, p1 long, p2 long, p3 long"))
     # Sets too small to resemble another one, whatever it is, have no links.
-    one = cut(named.where(F.col("n") * q >= (F.col("n") + 1) * p).groupBy("node").agg(F.min(F.struct(*ROW_KEY, "n", "fp", "wide")).alias("r")).select("node", "r.*"))
+    one = cut(named.where(F.col("n") * q >= (F.col("n") + 1) * p).groupBy("node").agg(F.min(F.struct(*ROW_KEY, "n", "fp", "wide", *PARITY)).alias("r")).select("node", "r.*"))
     alone = named.select(*ROW_KEY, "doc_id", F.col("node").alias("root"))
     total = one.count()
     if total < 2:
@@ -149,9 +151,9 @@ def near_copies(docs: DataFrame, words_in_shingle: int = 5, p: int = 4, q: int =
     fit = np.searchsorted(sizes, sizes * q // p, side="right") - np.searchsorted(sizes, -(-sizes * p // q))
     parts = allocate(got.column("fp").to_numpy().view("<u8"), total, limit, share=float(fit.mean()) / len(sizes))
     links = roots = None
-    for first in (True, False):
+    for look in ({"near": near}, {"thin": thin}, {}):
         nodes = one.withColumn("root", F.col("node")) if roots is None else one.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        pairs = candidate_pairs(nodes, parts, limit, p, q, near if first else 0, block_rows)
+        pairs = candidate_pairs(nodes, parts, limit, p, q, block_rows=block_rows, **look)
         new = _verified(pairs, one, texts, words_in_shingle, p, q)
         links = new if roots is None else roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(new)
         roots = cut(components(links))

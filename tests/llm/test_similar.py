@@ -60,7 +60,7 @@ def test_near_copies_are_all_found(spark):
     want, all_pairs = groups(texts), pairs_of(texts)
     assert len(set(want)) < len(want) - 100
     assert sum(bits <= 14 for _, _, bits in all_pairs) >= 0.9 * len(all_pairs)
-    for options in ({}, {"near": 1, "block_rows": 30}):
+    for options in ({}, {"near": 1, "thin": 1, "block_rows": 30}):
         roots, least = {}, {}
         for r in similar.near_copies(similar.with_row_key(docs), **options).collect():
             roots[r.doc_id] = r.root

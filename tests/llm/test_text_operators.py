@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from postmill.llm import class_lm, decontaminate, flac, language_id, pieces, quality_gam, queries, secrets, simhash, substrings, url_filter
 from postmill.llm.common import text_crc
-from postmill.llm.components import components
+from postmill.llm.components import components, trees
 
 SF = "/root/testdata/sf0.001"
 KIND = "doc_id long, text string, extra int, score int, key int, rid int, id int"
@@ -355,7 +355,7 @@ def test_hamming_links_reach_what_all_pairs_reach(spark):
         j = np.flatnonzero(np.bitwise_count(fps[i + 1 :] ^ fps[i]) <= 3) + i + 1
         a.append(np.full(len(j), i))
         b.append(j)
-    nodes, roots = simhash.trees(np.concatenate(a), np.concatenate(b))
+    nodes, roots = trees(np.concatenate(a), np.concatenate(b))
     want = np.arange(len(fps))
     want[nodes] = roots
     frame = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
@@ -369,8 +369,7 @@ def test_hamming_links_reach_what_all_pairs_reach(spark):
         assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
 
 
-@pytest.mark.parametrize("total", [100, 10**6, 10**9])
-@pytest.mark.parametrize("block_rows", [1 << 20, 40])
+@pytest.mark.parametrize(("total", "block_rows"), [(100, 40), (10**9, 1 << 20), (10**9, 40)])
 def test_candidate_pairs_are_all_pairs_in_reach(spark, total, block_rows):
     rng = np.random.default_rng(total)
     fps = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
@@ -380,13 +379,14 @@ def test_candidate_pairs_are_all_pairs_in_reach(spark, total, block_rows):
     n, root = rng.integers(4, 40, len(fps)), rng.integers(0, 30, len(fps))
     root[:90] = 7
     want = {(i, j) for i in range(len(fps)) for j in range(i + 1, len(fps)) if int(fps[i] ^ fps[j]).bit_count() <= 9 and root[i] != root[j] and 5 * min(n[i], n[j]) >= 4 * max(n[i], n[j])}
-    nodes = spark.createDataFrame([(i, int(f), int(k), int(r)) for i, (f, k, r) in enumerate(zip(fps.view(np.int64), n, root))], "node long, fp long, n int, root long")
+    nodes = spark.createDataFrame([(i, int(f), int(k), int(r)) for i, (f, k, r) in enumerate(zip(fps.view(np.int64), n, root))], "node long, fp long, n int, root long").withColumns({c: F.lit(0).cast("long") for c in simhash.PARITY})
     parts = simhash.allocate(fps, total, 9)
     assert sum(t for _, t in parts) == 9 - len(parts) + 1 and (total < 10**9 or max(t for _, t in parts) > 0)
     got = [tuple(r) for r in simhash.candidate_pairs(nodes, parts, 9, 4, 5, block_rows=block_rows).collect()]
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
-    some = {tuple(r) for r in simhash.candidate_pairs(nodes, parts, 9, 4, 5, near=4, block_rows=block_rows).collect()}
-    assert some <= {(i, j) for i in range(len(fps)) for j in range(i + 1, len(fps)) if int(fps[i] ^ fps[j]).bit_count() <= 9}
+    for look in ({"near": 4}, {"thin": 1}):
+        some = {tuple(r) for r in simhash.candidate_pairs(nodes, parts, 9, 4, 5, block_rows=block_rows, **look).collect()}
+        assert some < want and (some or "near" in look)
 
 
 def test_every_allocation_is_complete():
@@ -426,14 +426,14 @@ def test_near_duplicates_against_all_pairs(spark, odd, docs, options):
     assert sorted(map(key, map(tuple, simhash.near_duplicates(frame, **options).collect()))) == sorted(map(key, want))
 
 
-@pytest.mark.parametrize("hot", [1_000_000, 3])
-def test_components(spark, hot):
+@pytest.mark.parametrize(("hot", "few"), [(1_000_000, 500_000), (1_000_000, 0), (3, 0)])
+def test_components(spark, hot, few):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (None, 3), (60, 50), (61, 60), (50, 61)], "a long, b long")
     links = links.unionByName(spark.createDataFrame([(500, 500 + i) for i in range(1, 30)], "a long, b long"))
-    got = {r.node: r.root for r in components(links, hot_links=hot).collect()}
+    got = {r.node: r.root for r in components(links, hot_links=hot, few_links=few).collect()}
     assert {k: got.pop(k) for k in range(501, 530)} == dict.fromkeys(range(501, 530), 500)
     assert got == {i: 0 for i in range(1, 41)} | {101: 100, 60: 50, 61: 50}
-    assert components(links.limit(0)).count() == 0
+    assert components(links.limit(0), few_links=few).count() == 0
 
 
 def rise(table, before, after, k):
