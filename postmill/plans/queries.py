@@ -65,7 +65,8 @@ def named(spark: SparkSession, folder: str, ending: str) -> None:
 # Ranking and guards
 
 
-@query(f"{ADDR} select id, source, case source when 'openaddress' then 1.0::double when 'osm' then 2.0::double else 3.0::double end as priority, cast(4 + (city is not null)::int + (postcode is not null)::int as integer) as n_fields, round(rank, 9) as rank from addr")
+@query(f"""{ADDR} select id, source, case source when 'openaddress' then 1.0::double when 'osm' then 2.0::double else 3.0::double end as priority,
+  cast(4 + (city is not null)::int + (postcode is not null)::int as integer) as n_fields, round(rank, 9) as rank from addr""")
 def q_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = addresses(spark, sf_dir).drop("rank")
     return a.select("id", "source", ranking.priority(F.col("source")).alias("priority"), ranking.non_empty_fields().alias("n_fields"), F.round(ranking.rank(F.col("source")), 9).alias("rank"))
@@ -74,13 +75,15 @@ def q_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 NUMBERS = "case id % 7 when 0 then '' when 1 then concat(' ', 'S/N', ' ') when 2 then concat(CHR(9), number) when 3 then null when 4 then 's/n' else number end"
 
 
-@query(f"{ADDR}, n as (select id, {NUMBERS.replace('CHR', 'chr')} as number from addr) select id, number from n where trim(coalesce(number, ''), concat(' ', chr(9), chr(10), chr(13))) not in ('', 'S/N')")
+@query(f"""{ADDR}, n as (select id, {NUMBERS.replace('CHR', 'chr')} as number from addr) select id, number from n where trim(coalesce(number, ''), concat(' ',
+  chr(9), chr(10), chr(13))) not in ('', 'S/N')""")
 def q_guard_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = addresses(spark, sf_dir).withColumn("number", F.expr(NUMBERS.replace("CHR", "char")))
     return ingest.number_guard(a).select("id", "number")
 
 
-@query(f"{ADDR}, n as (select id, nullif(number, '7') as number, case when id % 11 = 0 then null else street end as street from addr) select id, number, street from n where number is not null and street is not null")
+@query(f"""{ADDR}, n as (select id, nullif(number, '7') as number, case when id % 11 = 0 then null else street end as street from addr) select id, number,
+  street from n where number is not null and street is not null""")
 def q_guard_importer(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = addresses(spark, sf_dir).withColumns({"number": F.nullif("number", F.lit("7")), "street": F.when(F.col("id") % 11 != 0, F.col("street"))})
     return ingest.importer_guard(a).select("id", "number", "street")
@@ -97,7 +100,8 @@ def q_source_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Natural key and quarantine
 
 TWICE = "twice as (select * from addr union all select id + 1000000000 as id, * exclude (id) from addr where id % 5 = 0)"
-TURN = "marked as (select *, case when lat is null then 'null_coordinate' when city is not null and row_number() over (partition by lat, lon, number, street, city order by id) > 1 then 'duplicate_key' end as kind from twice)"
+TURN = """marked as (select *, case when lat is null then 'null_coordinate' when city is not null and row_number() over (partition by lat, lon, number, street,
+  city order by id) > 1 then 'duplicate_key' end as kind from twice)"""
 
 
 def twice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +149,9 @@ def q_import_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Text forms and comparison
 
-KEYED = f"keyed as (select *, {d.number_key('number')} as k_number, {d.expand(d.fold('street'))} as k_street, {d.fold('city')} as k_city, {d.postcode_key('postcode')} as k_postcode from addr), forms as (select *, {d.light('k_street')} as k_light, {d.core('k_street')} as k_core from keyed)"
+KEYED = f"""keyed as (select *, {d.number_key('number')} as k_number, {d.expand(d.fold('street'))} as k_street, {d.fold('city')} as k_city,
+  {d.postcode_key('postcode')} as k_postcode from addr), forms as (select *, {d.light('k_street')} as k_light, {d.core('k_street')} as k_core
+  from keyed)"""
 
 
 @query(f"{ADDR}, {KEYED} select id, {d.fold('street')} as folded, k_street as expanded, k_light as light, k_core as core, k_number as number_key from forms")
@@ -154,7 +160,8 @@ def q_normalize_street(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.select("id", text.fold(F.col("street")).alias("folded"), F.col("k_street").alias("expanded"), F.col("k_light").alias("light"), F.col("k_core").alias("core"), F.col("k_number").alias("number_key"))
 
 
-SPELLED = "select id, number, case id % 5 when 0 then concat(number, ' bis') when 1 then concat(number, 'BIS') when 2 then number when 3 then null else concat(number, '/2') end as other, case when id % 6 = 0 then null when id % 2 = 0 then concat(number, 'bis') else number end as one from"
+SPELLED = """select id, number, case id % 5 when 0 then concat(number, ' bis') when 1 then concat(number, 'BIS') when 2 then number when 3 then null
+  else concat(number, '/2') end as other, case when id % 6 = 0 then null when id % 2 = 0 then concat(number, 'bis') else number end as one from"""
 
 
 @query(f"{ADDR}, s as ({SPELLED} addr) select id, one, other, case when {d.number_key('one')} = {d.number_key('other')} then 9 else 0 end as status from s")
@@ -163,19 +170,22 @@ def q_house_number_cmp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(f"{SPELLED} addr_numbers").select("id", "one", "other", compare.number_status(F.col("one"), F.col("other")).alias("status"))
 
 
-@query(f"{ADDR}, s as ({SPELLED} addr) select id, case when one is null or other is null then 0 when one = other then 9 when {d.number_key('one')} = {d.number_key('other')} then 9 else 0 end as status from s")
+@query(f"""{ADDR}, s as ({SPELLED} addr) select id, case when one is null or other is null then 0 when one = other then 9
+  when {d.number_key('one')} = {d.number_key('other')} then 9 else 0 end as status from s""")
 def q_field_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     addresses(spark, sf_dir).createOrReplaceTempView("addr_numbers")
     return spark.sql(f"{SPELLED} addr_numbers").select("id", compare.field_compare(F.col("one"), F.col("other"), compare.number_status).alias("status"))
 
 
-@query(f"{ADDR}, s as ({SPELLED} addr) select id, case when one is null and other is null then 9 when one is null or other is null then 0 when one = other then 9 when {d.number_key('one')} = {d.number_key('other')} then 9 else 0 end as status from s")
+@query(f"""{ADDR}, s as ({SPELLED} addr) select id, case when one is null and other is null then 9 when one is null or other is null then 0
+  when one = other then 9 when {d.number_key('one')} = {d.number_key('other')} then 9 else 0 end as status from s""")
 def q_opt_field_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     addresses(spark, sf_dir).createOrReplaceTempView("addr_numbers")
     return spark.sql(f"{SPELLED} addr_numbers").select("id", compare.opt_field_compare(F.col("one"), F.col("other"), compare.number_status).alias("status"))
 
 
-STATUS = "case when x.street is null or y.street is null then 0 when x.street = y.street then 9 when x.k_street = y.k_street then 9 when x.k_light = y.k_light then 6 when x.k_core = y.k_core then 3 else 0 end"
+STATUS = """case when x.street is null or y.street is null then 0 when x.street = y.street then 9 when x.k_street = y.k_street then 9
+  when x.k_light = y.k_light then 6 when x.k_core = y.k_core then 3 else 0 end"""
 
 
 @query(f"{ADDR}, {KEYED} select x.id as a, y.id as b, {STATUS} as status from forms x join forms y on x.g = y.g and x.v < y.v")
@@ -185,7 +195,8 @@ def q_street_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.join(y, (F.col("x.g") == F.col("y.g")) & (F.col("x.v") < F.col("y.v"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), compare.field_compare(F.col("x.street"), F.col("y.street"), compare.street_status).alias("status"))
 
 
-@query(f"{ADDR} select x.id as a, y.id as b, round({d.haversine('x.lat', 'x.lon', 'y.lat', 'y.lon')}, 3) as metres from addr x join addr y on x.g = y.g and x.v < y.v")
+@query(f"""{ADDR} select x.id as a, y.id as b, round({d.haversine('x.lat', 'x.lon', 'y.lat', 'y.lon')}, 3) as metres from addr x join addr y on x.g = y.g
+  and x.v < y.v""")
 def q_haversine(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = addresses(spark, sf_dir)
     x, y = a.alias("x"), a.alias("y")
@@ -221,7 +232,8 @@ def q_count_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.count_collisions(dedupe.hashes(addresses(spark, sf_dir)))
 
 
-EXISTS = f"{ADDR}, {BLOCKS} select address, key, cx, cy from blocks b where exists (select 1 from blocks o where o.key = b.key and o.cx = b.cx and o.cy = b.cy and o.address <> b.address)"
+EXISTS = f"""{ADDR}, {BLOCKS} select address, key, cx, cy from blocks b where exists (select 1 from blocks o where o.key = b.key and o.cx = b.cx
+  and o.cy = b.cy and o.address <> b.address)"""
 
 
 @query(EXISTS)
@@ -234,19 +246,23 @@ def q_collisions_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.collisions(dedupe.block_keys(addresses(spark, sf_dir)))
 
 
-@query(f"{ADDR}, {BLOCKS} select key, cx, cy, address, cast(row_number() over (partition by key, cx, cy order by rank desc, id desc) as integer) as place from blocks join addr on addr.id = address")
+@query(f"""{ADDR}, {BLOCKS} select key, cx, cy, address, cast(row_number() over (partition by key, cx, cy order by rank desc, id desc) as integer) as place
+  from blocks join addr on addr.id = address""")
 def q_pack_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = addresses(spark, sf_dir)
     return dedupe.in_order(dedupe.block_keys(a), a)
 
 
-@query(f"{ADDR}, {BLOCKS}, big as (select key, cx, cy, count(*) as n from blocks group by key, cx, cy having count(*) > 3) select key, cx, cy, n, address, place from (select key, cx, cy, n, address, cast(row_number() over (partition by key, cx, cy order by address) as integer) as place from blocks join big using (key, cx, cy)) t where place <= 10")
+@query(f"""{ADDR}, {BLOCKS}, big as (select key, cx, cy, count(*) as n from blocks group by key, cx, cy having count(*) > 3) select key, cx, cy, n, address,
+  place from (select key, cx, cy, n, address, cast(row_number() over (partition by key, cx, cy order by address) as integer) as place
+  from blocks join big using (key, cx, cy)) t where place <= 10""")
 def q_oversize_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first ten members of each block of more than three: the report on oversized blocks, with a small limit."""
     return dedupe.oversized_report(dedupe.block_keys(addresses(spark, sf_dir)), limit=3)
 
 
-@query("select cast(part as bigint) as part, cast(-100 + part * 1001 // 7 as bigint) as low, cast(-100 + (part + 1) * 1001 // 7 - 1 as bigint) as high from range(7) t(part)")
+@query("""select cast(part as bigint) as part, cast(-100 + part * 1001 // 7 as bigint) as low, cast(-100 + (part + 1) * 1001 // 7 - 1 as bigint) as high
+  from range(7) t(part)""")
 def q_partition_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(partition(-100, 900, 7))], "part long, low long, high long")
 
@@ -255,7 +271,8 @@ def q_partition_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 BETTER = "(x.rank > y.rank or (x.rank = y.rank and x.id > y.id))"
 DISTANCE = d.haversine("x.lat", "x.lon", "y.lat", "y.lon")
-NUMBER = "case when x.number is null and y.number is null then 9 when x.number is null or y.number is null then 0 when x.number = y.number or x.k_number = y.k_number then 9 else 0 end"
+NUMBER = """case when x.number is null and y.number is null then 9 when x.number is null or y.number is null then 0 when x.number = y.number
+  or x.k_number = y.k_number then 9 else 0 end"""
 SAME = lambda f: f"case when x.{f} is null or y.{f} is null then 0 when x.{f} = y.{f} or x.k_{f} = y.k_{f} then 9 else 0 end"
 PAIRS = f"""near as (
   select x.id as better, y.id as worse, {DISTANCE} as metres, {NUMBER} as n, {STATUS} as s, {SAME('city')} as c, {SAME('postcode')} as p
@@ -349,7 +366,8 @@ def q_incremental_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Output
 
-SHOWN = "select '' as \"ID\", coalesce(street, '') as \"STREET\", coalesce(postcode, '') as \"POSTCODE\", coalesce(district, '') as \"DISTRICT\", coalesce(region, '') as \"REGION\", coalesce(city, '') as \"CITY\", coalesce(number, '') as \"NUMBER\", coalesce(unit, '') as \"UNIT\", lat as \"LAT\", lon as \"LON\" from addr"
+SHOWN = """select '' as "ID", coalesce(street, '') as "STREET", coalesce(postcode, '') as "POSTCODE", coalesce(district, '') as "DISTRICT", coalesce(region,
+  '') as "REGION", coalesce(city, '') as "CITY", coalesce(number, '') as "NUMBER", coalesce(unit, '') as "UNIT", lat as "LAT", lon as "LON" from addr"""
 
 
 @query(f"{ADDR} {SHOWN}")
@@ -375,7 +393,10 @@ OA_LINE = """case id % 6 when 0 then concat('{"properties":{"number":"', number,
 
 
 @query(
-    f"{ADDR.replace('addr as', 'planted as')} select * from (select case when id % 6 = 0 then round(lat, 6) else 2.0 end as lat, case when id % 6 = 0 then round(lon, 6) else 1.0 end as lon, case when id % 6 = 0 then number end as number, street, case when id % 6 = 5 then 'u' end as unit, case when id % 6 = 5 then 'c' end as city, case when id % 6 = 5 then 'd' end as district, case when id % 6 = 5 then 'r' end as region, case when id % 6 = 0 then '1' else '2' end as postcode from planted where id % 6 in (0, 5)) t"
+    f"""{ADDR.replace('addr as', 'planted as')} select * from (select case when id % 6 = 0 then round(lat, 6) else 2.0 end as lat, case
+  when id % 6 = 0 then round(lon, 6) else 1.0 end as lon, case when id % 6 = 0 then number end as number, street, case
+  when id % 6 = 5 then 'u' end as unit, case when id % 6 = 5 then 'c' end as city, case when id % 6 = 5 then 'd' end as district, case
+  when id % 6 = 5 then 'r' end as region, case when id % 6 = 0 then '1' else '2' end as postcode from planted where id % 6 in (0, 5)) t"""
 )
 def q_oa_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of features, a third of them strictly right, written here; a sixth of the values go over two lines."""
@@ -390,7 +411,9 @@ def q_oa_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 BANO_LAT = "case id % 5 when 0 then '' when 1 then concat(' ', cast(g as STR)) when 2 then '1d' when 3 then concat(cast(g as STR), '.5') else concat(cast(g % 90 as STR), 'e-1') end"
 
 
-@query(f"{ADDR} select round(case when id % 5 = 3 then cast(g as double) + 0.5::double else cast(g % 90 as double) * 0.1::double end, 6) as lat, round(lon, 6) as lon, number, '' as street, cast(null as varchar) as unit, coalesce(city, '') as city, cast(null as varchar) as district, cast(null as varchar) as region, coalesce(postcode, '') as postcode from addr where id % 5 in (3, 4)")
+@query(f"""{ADDR} select round(case when id % 5 = 3 then cast(g as double) + 0.5::double else cast(g % 90 as double) * 0.1::double end, 6) as lat, round(lon,
+  6) as lon, number, '' as street, cast(null as varchar) as unit, coalesce(city, '') as city, cast(null as varchar) as district,
+  cast(null as varchar) as region, coalesce(postcode, '') as postcode from addr where id % 5 in (3, 4)""")
 def q_bano_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of records written here: unreadable coordinates go, as do short records; empty texts stay empty."""
     a, folder = addresses(spark, sf_dir), new_folder(spark)
@@ -419,20 +442,25 @@ def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return objects.select(F.explode(F.array(F.struct("*"))).alias("o")).select("o.*")
 
 
-@query(f"{ADDR} select id, case id % 3 when 0 then 'node' when 1 then 'way' else 'relation' end as type from addr where (id % 3 = 0 and id % 5 in (0, 2)) or (id % 3 = 1 and id % 5 in (0, 2) and id % 4 <> 0) or (id % 3 = 2 and id % 2 = 0)")
+@query(f"""{ADDR} select id, case id % 3 when 0 then 'node' when 1 then 'way' else 'relation' end as type from addr where (id % 3 = 0 and id % 5 in (0, 2))
+  or (id % 3 = 1 and id % 5 in (0, 2) and id % 4 <> 0) or (id % 3 = 2 and id % 2 = 0)""")
 def q_osm_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged(spark, sf_dir).where(osm_graph.is_root()).select("id", "type")
 
 
 @query(
-    f"{ADDR} select id, case when id % 3 = 2 or id % 5 = 3 then null when id % 5 = 0 then number when id % 5 = 1 then '123456789' when id % 5 = 2 then 'éééé' else 'ééééé' end as number, case when id % 3 = 2 then null else street end as street, case when id % 3 = 0 and id % 5 = 0 then 'x' end as city, cast(case when id % 3 = 2 then 1 when id % 5 = 0 then case when id % 3 = 0 then 3 else 2 end when id % 5 = 3 then 1 else 2 end as integer) as n_tags from addr"
+    f"""{ADDR} select id, case when id % 3 = 2 or id % 5 = 3 then null when id % 5 = 0 then number when id % 5 = 1 then '123456789'
+  when id % 5 = 2 then 'éééé' else 'ééééé' end as number, case when id % 3 = 2 then null else street end as street, case when id % 3 = 0
+  and id % 5 = 0 then 'x' end as city, cast(case when id % 3 = 2 then 1 when id % 5 = 0 then case when id % 3 = 0 then 3 else 2 end
+  when id % 5 = 3 then 1 else 2 end as integer) as n_tags from addr"""
 )
 def q_osm_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tagged(spark, sf_dir).withColumn("tags", osm_graph.pruned_tags())
     return t.select("id", osm_graph.tag("addr:housenumber").alias("number"), osm_graph.tag("addr:street").alias("street"), osm_graph.tag("addr:city").alias("city"), F.size("tags").alias("n_tags"))
 
 
-RINGS = "select g as id, 40.0 + cast(g % 200 as double) * 0.01 as y, -1.5 + cast(g % 90 as double) * 0.01 as x, cast(g % 5 + 1 as double) * 0.001 as w, g % 4 as kind from (select distinct cast((c_custkey - c_custkey % 4) / 4 as bigint) as g from customer) t"
+RINGS = """select g as id, 40.0 + cast(g % 200 as double) * 0.01 as y, -1.5 + cast(g % 90 as double) * 0.01 as x, cast(g % 5 + 1 as double) * 0.001 as w,
+  g % 4 as kind from (select distinct cast((c_custkey - c_custkey % 4) / 4 as bigint) as g from customer) t"""
 
 
 def drawn(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -445,14 +473,18 @@ def drawn(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return r.select("id", F.create_map(F.lit("addr:housenumber"), F.lit("1"), F.lit("addr:street"), F.lit("s")).alias("tags"), F.transform(path, lambda i: F.col("id") * 10 + i).alias("nodes")), nodes
 
 
-@query(f"with r as ({RINGS}) select id, round(case when kind < 2 then y + w / 3 when kind = 3 then y + w end, 6) as lat, round(case when kind < 2 then x + 2 * w / 3 when kind = 3 then x end, 6) as lon from r")
+@query(f"""with r as ({RINGS}) select id, round(case when kind < 2 then y + w / 3 when kind = 3 then y + w end, 6) as lat, round(case
+  when kind < 2 then x + 2 * w / 3 when kind = 3 then x end, 6) as lon from r""")
 def q_osm_way_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = osm_graph.placed_ways(*drawn(spark, sf_dir))
     return placed.select("id", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))
 
 
 @query(
-    f"with r as ({RINGS}), s as (select id, case when kind = 1 then concat('Street ', cast(id as varchar)) else 's' end as street, round(case when kind < 2 then y + w / 3 else y + w end, 6) as lat, round(case when kind < 2 then x + 2 * w / 3 else x end, 6) as lon, kind from r where kind <> 2) select lat, lon, '1' as number, street from s union all select round(y, 6), round(x, 6), null, concat('Deep ', cast(id as varchar)) from r where kind = 2"
+    f"""with r as ({RINGS}), s as (select id, case when kind = 1 then concat('Street ', cast(id as varchar)) else 's' end as street, round(case
+  when kind < 2 then y + w / 3 else y + w end, 6) as lat, round(case when kind < 2 then x + 2 * w / 3 else x end, 6) as lon, kind from r
+  where kind <> 2) select lat, lon, '1' as number, street from s union all select round(y, 6), round(x, 6), null, concat('Deep ',
+  cast(id as varchar)) from r where kind = 2"""
 )
 def q_osm_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ways alone, ways (kind 1) in a street relation, which gives them its name, relations that lack a member, and nodes under five relations."""
@@ -466,7 +498,7 @@ def q_osm_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     streets = ways.where(F.col("id") % 4 == 1)
     r = streets.select(F.lit("relation").alias("type"), "id", none("double").alias("lat"), none("double").alias("lon"), F.create_map(F.lit("type"), F.lit("associatedStreet"), F.lit("name"), F.concat(F.lit("Street "), F.col("id"))).alias("tags"), none("array<long>").alias("nodes"), F.array(member(F.col("id"))).alias("refs"))
     lost = r.withColumns({"id": F.col("id") + 1_000_000, "refs": F.array(F.struct(F.lit("node").alias("type"), F.lit(-1).cast("long").alias("id"), F.lit("").alias("role")))})
-    inner = lambda level: F.when(level < 4, F.struct(F.lit("relation").alias("type"), (F.col("id") * 10 + level + 10_000_001).alias("id"), F.lit("").alias("role"))).otherwise(F.struct(F.lit("node").alias("type"), F.col("id") * 10, F.lit("").alias("role")))
+    inner = lambda level: F.when(level < 4, F.struct(F.lit("relation").alias("type"), (F.col("id") * 10 + level + 10_000_001).alias("id"), F.lit("").alias("role"))).otherwise(F.struct(F.lit("node").alias("type"), (F.col("id") * 10).alias("id"), F.lit("").alias("role")))
     kind = F.when(F.col("level") == 0, "associatedStreet").otherwise("part")
     levels = ways.where(F.col("id") % 4 == 2).withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(4))))
     deep = levels.select(
