@@ -640,6 +640,52 @@ def test_quality(spark):
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) and 0 <= r.score <= 1 for i, r in got.items())
 
 
+def small_gam(seed=6, n=300):
+    rng = np.random.default_rng(seed)
+    x = np.round(rng.normal(size=(n, 5)), 1)
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.3)).astype(float)
+    return x, y, quality_gam.fit(x, y, rounds=20, bins=6, pairs=3, pair_rounds=10)
+
+
+def test_gam_score_is_a_sum_of_table_entries():
+    x, y, model = small_gam()
+    bin_of = lambda edges, v: sum(v >= e for e in edges)
+    want = []
+    for row in x:
+        total = model.base + sum(table[bin_of(model.edges[f], row[f])] for f, table in enumerate(model.single))
+        total += sum(table[bin_of(model.coarse[f], row[f]), bin_of(model.coarse[g], row[g])] for (f, g), table in model.double.items())
+        want.append(1 / (1 + math.exp(-total)))
+    assert np.allclose(model.score(x), want) and (0, 1) in model.double
+    assert ((model.score(x) >= 0.5) == y).mean() > 0.8  # only the pair can tell
+
+
+def test_trees_are_the_best_of_all_splits():
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        g, h = rng.normal(size=7), rng.uniform(0.1, 1, 7)
+        gain = lambda part: g[part].sum() ** 2 / (h[part].sum() + 2)  # noqa: E731, B023
+        best = max(range(1, 7), key=lambda k: gain(slice(0, k)) + gain(slice(k, 7)))
+        if gain(slice(0, best)) + gain(slice(best, 7)) > gain(slice(0, 7)) + 1e-9:
+            want = np.repeat([g[:best].sum() / (h[:best].sum() + 2), g[best:].sum() / (h[best:].sum() + 2)], [best, 7 - best])
+            assert np.allclose(quality_gam._tree(g, h, 2, 2.0), want)
+        g2, h2 = rng.normal(size=(4, 5)), rng.uniform(0.1, 1, (4, 5))
+
+        def halves(a, b):  # the gain of the best tree of two leaves over one feature
+            one = lambda lo, hi: a[lo:hi].sum() ** 2 / (b[lo:hi].sum() + 2)
+            return max([one(0, len(a))] + [one(0, k) + one(k, len(a)) for k in range(1, len(a))])
+
+        most = max(halves(a[:k].sum(0), b[:k].sum(0)) + halves(a[k:].sum(0), b[k:].sum(0)) for a, b in ((g2, h2), (g2.T, h2.T)) for k in range(1, len(a)))
+        assert math.isclose((quality_gam._tree2(g2, h2, 2.0) * g2).sum(), most)
+
+
+def test_quality_of_odd_rows(spark, odd):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(9)] + [(6, 1), (None, 1)], "doc_id long, quality int")
+    rows = odd.withColumns({"y": F.lit(1), "x": F.lit(2), "quality": F.lit(3)})
+    got = quality_gam.score_quality(rows, labels).collect()
+    assert len(got) == rows.count() and all(0 <= r.score <= 1 for r in got)
+    assert len({r.score for r in got if r.doc_id in (3, 4)}) == 1  # null and empty texts
+
+
 def test_quality_without_labels(odd, spark):
     labels = spark.createDataFrame([(None, 1), (1, None), (1, 5)], "doc_id long, quality int")
     got = quality_gam.score_quality(odd, labels).collect()
