@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,27 +34,47 @@ def around(x: Column, y: Column, steps: int = 1) -> Column:
     return F.filter(F.array(*cells), lambda c: (c["cy"] >= 0) & (c["cy"] < ROWS))
 
 
+EDGE = "struct<k:int,x1:double,y1:double,x2:double,y2:double>"
+
+
+def latitude_bands(polygons: list[list[list[tuple[float, float]]]], in_band: int = 8) -> tuple[float, float, list[list[dict]]]:
+    """The lowest latitude, the height of a band, and by band the edges that reach into it, with the number `k` of their polygon."""
+    edges = []
+    for k, rings in enumerate(polygons):
+        for ring in rings:
+            closed = ring if ring[0] == ring[-1] else [*ring, ring[0]]
+            edges += [{"k": k, "x1": float(x1), "y1": float(y1), "x2": float(x2), "y2": float(y2)} for (x1, y1), (x2, y2) in zip(closed, closed[1:])]
+    low, high = min(min(e["y1"], e["y2"]) for e in edges), max(max(e["y1"], e["y2"]) for e in edges)
+    bands: list[list[dict]] = [[] for _ in range(max(1, min(4096, len(edges) // in_band)))]
+    height = (high - low) / len(bands) or 1.0
+    place = lambda y: min(len(bands) - 1, int((y - low) / height))
+    for e in edges:
+        for band in range(max(0, place(min(e["y1"], e["y2"])) - 1), min(len(bands), place(max(e["y1"], e["y2"])) + 2)):
+            bands[band].append(e)
+    return low, height, bands
+
+
 def in_polygons(lat: Column, lon: Column, polygons: list[list[list[tuple[float, float]]]]) -> Column:
     """Whether a point is inside any polygon (rings of (lon, lat), the first the shell, others holes); the border is outside.
 
-    A bounding box comes first, so that points far away cost four comparisons.
+    All edges are one constant of the plan, sorted into bands of latitude; a point looks at those of its own band.
     """
-    inside = F.lit(False)
-    for rings in polygons:
-        xs, ys = [x for x, _ in rings[0]], [y for _, y in rings[0]]
-        near = (lon > min(xs)) & (lon < max(xs)) & (lat > min(ys)) & (lat < max(ys))
-        crossings, border = F.lit(0), F.lit(False)
-        for ring in rings:
-            closed = ring if ring[0] == ring[-1] else [*ring, ring[0]]
-            edges = F.array(*(F.struct(*(F.lit(float(v)).alias(n) for n, v in zip(("x1", "y1", "x2", "y2"), (*a, *b)))) for a, b in zip(closed, closed[1:])))
-            spans = lambda e: (e["y1"] > lat) != (e["y2"] > lat)
-            at = lambda e: (e["x2"] - e["x1"]) * (lat - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
-            crossings = crossings + F.size(F.filter(edges, lambda e: spans(e) & (lon < at(e))))
-            turn = lambda e: (e["x2"] - e["x1"]) * (lat - e["y1"]) - (e["y2"] - e["y1"]) * (lon - e["x1"])
-            between = lambda e: lon.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])) & lat.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
-            border = border | F.exists(edges, lambda e: (turn(e) == 0) & between(e))
-        inside = inside | (near & ~border & (crossings % 2 == 1))
-    return F.coalesce(inside, F.lit(False))
+    if not polygons:
+        return F.lit(False)
+    low, height, bands = latitude_bands(polygons)
+    xs = [x for rings in polygons for ring in rings for x, _ in ring]
+    near = (lon > min(xs)) & (lon < max(xs)) & (lat > low) & (lat < low + height * len(bands))
+    own = F.get(F.from_json(F.lit(json.dumps(bands)), f"array<array<{EDGE}>>"), F.least(F.lit(len(bands) - 1), F.floor((lat - low) / height).cast("int")))
+    at = lambda e: (e["x2"] - e["x1"]) * (lat - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
+    crossed = lambda e: F.when((e["y1"] > lat) != (e["y2"] > lat), lon < at(e)).otherwise(False)
+    turn = lambda e: (e["x2"] - e["x1"]) * (lat - e["y1"]) - (e["y2"] - e["y1"]) * (lon - e["x1"])
+    between = lambda e: lon.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])) & lat.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+    numbers = lambda keep: F.transform(F.filter(own, keep), lambda e: e["k"])
+    # An odd number of a polygon's edges lies east of what it holds.
+    hits, borders = numbers(crossed), numbers(lambda e: (turn(e) == 0) & between(e))
+    odd = F.struct(hits.alias("hits"), borders.alias("borders"))
+    found = F.transform(F.array(odd), lambda s: F.exists(s["hits"], lambda k: (F.size(F.filter(s["hits"], lambda other: other == k)) % 2 == 1) & ~F.array_contains(s["borders"], k)))
+    return F.coalesce(F.when(near, F.get(found, F.lit(0))), F.lit(False))
 
 
 def centroid(points: Column) -> Column:

@@ -76,3 +76,28 @@ def test_rank_source_decides(spark):
         rows = rows.withColumn(f, F.when(F.col("source") == "openaddress", F.lit("x")))
     got = {r.source: r.rank for r in rows.select("source", ranking.rank(F.col("source")).alias("rank")).collect()}
     assert got == {"bano": 3.2, "openaddress": 1.9}
+
+
+def test_points_in_large_and_overlapping_polygons(spark):
+    import math
+    import random
+
+    rng = random.Random(3)
+    star = lambda x, y, n, wide: [(x + (1 + 0.5 * rng.random()) * wide * math.cos(2 * math.pi * i / n), y + (1 + 0.5 * rng.random()) * wide * math.sin(2 * math.pi * i / n)) for i in range(n)]
+    polygons = [[star(2, 48, 5000, 3), star(2, 48, 40, 0.5)], [star(4, 49, 60, 2)], [[(10, 10), (12, 10), (12, 12), (10, 12), (10, 10)]]]
+
+    def inside(x, y):
+        for rings in polygons:
+            hits = 0
+            for ring in rings:
+                for (x1, y1), (x2, y2) in zip(ring, [*ring[1:], ring[0]]):
+                    hits += (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1
+            if hits % 2:
+                return True
+        return False
+
+    points = [(rng.uniform(-4, 9), rng.uniform(42, 54)) for _ in range(300)] + [(2.0, 48.0), (11.0, 11.0), (9.9, 11.0)]
+    border = [(10.0, 11.0), (12.0, 10.5), (11.0, 10.0), (11.0, 12.0), (10.0, 10.0)]
+    frame = spark.createDataFrame([(float(x), float(y)) for x, y in points + border] + [(None, 1.0)], "lon double, lat double")
+    got = [r.i for r in frame.select(geo.in_polygons(F.col("lat"), F.col("lon"), polygons).alias("i")).collect()]
+    assert got == [inside(x, y) for x, y in points] + [False] * 6 and 50 < sum(got) < 250
