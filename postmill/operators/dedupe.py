@@ -16,7 +16,9 @@ What the plan does instead of comparing all pairs of each block:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postmill.functions.compare import KEYS, is_duplicate, with_keys
@@ -80,10 +82,15 @@ def oversized(blocks: DataFrame, limit: int = LARGEST_BLOCK) -> DataFrame:
     return blocks.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > limit)
 
 
-def duplicate_pairs(addresses: DataFrame, blocks: DataFrame | None = None) -> DataFrame:
+#: Whether the addresses of two rows are the same, given a column of each by its name (`a.`, `b.` in joins).
+Matcher = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
+
+
+def duplicate_pairs(addresses: DataFrame, blocks: DataFrame | None = None, matches: Matcher = is_duplicate) -> DataFrame:
     """(better, worse): each pair of duplicates once, the one with the higher (rank, id) first.
 
-    `blocks` limits the comparison to addresses that are in some of these blocks.
+    `blocks` limits the comparison to addresses that are in some of these blocks. `matches` may be a matcher of one's own
+    over the fields and the keys of `with_keys`.
     """
     keyed = with_keys(addresses.select("id", "rank", *FIELDS))
     if blocks is not None:
@@ -96,10 +103,10 @@ def duplicate_pairs(addresses: DataFrame, blocks: DataFrame | None = None) -> Da
     of = lambda side: lambda name: F.col(f"{side}.{name}")
     better = (F.col("a.rank") > F.col("b.rank")) | (F.col("a.rank") == F.col("b.rank")) & (F.col("a.id") > F.col("b.id"))
     meet = (F.col("a.k_block") == F.col("b.k_block")) & (F.col("a.cx") == F.col("b.cx")) & (F.col("a.cy") == F.col("b.cy"))
-    return a.join(b, meet & better & is_duplicate(of("a"), of("b"))).select(F.col("a.id").alias("better"), F.col("b.id").alias("worse"))
+    return a.join(b, meet & better & matches(of("a"), of("b"))).select(F.col("a.id").alias("better"), F.col("b.id").alias("worse"))
 
 
-def to_delete(addresses: DataFrame, limit: int = LARGEST_BLOCK, oversize: str = "delete_all") -> DataFrame:
+def to_delete(addresses: DataFrame, limit: int = LARGEST_BLOCK, oversize: str = "delete_all", matches: Matcher = is_duplicate) -> DataFrame:
     """Distinct address_id of all addresses that lose in some block."""
     if oversize not in ("delete_all", "keep_all"):
         raise ValueError("oversize is delete_all or keep_all")
@@ -107,7 +114,7 @@ def to_delete(addresses: DataFrame, limit: int = LARGEST_BLOCK, oversize: str =
     big = cut(oversized(blocks, limit).select("hash"))
     some_big = not big.isEmpty()
     alive = lambda frame: frame.join(big, "hash", "left_anti") if some_big else frame
-    pairs = cut(duplicate_pairs(addresses, alive(blocks) if some_big else None))
+    pairs = cut(duplicate_pairs(addresses, alive(blocks) if some_big else None, matches))
     near = pairs.groupBy("worse").agg(F.collect_list("better").alias("near"))
     members = pairs.select(F.col("better").alias("id")).unionByName(pairs.select(F.col("worse").alias("id"))).distinct()
     involved = addresses.join(members, "id", "left_semi")
@@ -122,7 +129,7 @@ def to_delete(addresses: DataFrame, limit: int = LARGEST_BLOCK, oversize: str =
     return lost.distinct()
 
 
-def survivors(addresses: DataFrame, limit: int = LARGEST_BLOCK, oversize: str = "delete_all") -> DataFrame:
+def survivors(addresses: DataFrame, limit: int = LARGEST_BLOCK, oversize: str = "delete_all", matches: Matcher = is_duplicate) -> DataFrame:
     """The rows of addresses (id, rank and the fields) that aren't deleted."""
-    lost = to_delete(addresses, limit, oversize)
+    lost = to_delete(addresses, limit, oversize, matches)
     return addresses.join(lost, addresses.id == lost.address_id, "left_anti")

@@ -101,3 +101,8 @@ def test_pairs_are_found_once(spark):
     pairs = dedupe.duplicate_pairs(frame(spark, SPELLINGS))
     assert pairs.count() == pairs.distinct().count()
     assert pairs.where(F.col("better") == F.col("worse")).count() == 0
+
+
+def test_a_matcher_of_ones_own(spark):
+    kept = dedupe.survivors(frame(spark, SPELLINGS), matches=lambda a, b: (a("street") == b("street")) & (a("number") == b("number")))
+    assert kept.count() == len({(n, s) for _, _, n, s, _, _ in SPELLINGS})
