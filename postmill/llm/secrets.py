@@ -38,24 +38,29 @@ NAMES = list(KINDS)
 HINTS = {"assign": ("passw", "secret", "token", "api"), "access": ("akia",), "login": ("user", "login", "client"), "endpoint": ("://",)}
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), where the value is computed once however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def scanned(items: Column, zero: Column, step: Callable[[Column, Column], Column], shown: Callable[[Column, Column], Column], kind: str) -> Column:
     """shown(state before x, x) for each x of an array, where step moves the state on; `kind` is the type of what is shown.
 
     It goes by runs of about sqrt(n) items, for appending to an array copies it: n ** 1.5 steps and not n ** 2.
     """
-    run = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(items)))).cast("int")
-    runs = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.size(items) / run) - 1).cast("int")), lambda i: F.slice(items, i * run + 1, run))
+    def cut_up(v: Column) -> Column:
+        run = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(v)))).cast("int")
+        return F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.size(v) / run) - 1).cast("int")), lambda i: F.slice(v, i * run + 1, run))
 
-    def begin(s: Column, r: Column) -> Column:
-        after = F.aggregate(r, s["now"], step)
-        return F.struct(F.array_append(s["all"], after).alias("all"), after.alias("now"))
+    def begins(runs: Column) -> Column:
+        first = F.struct(F.array(zero).alias("all"), zero.alias("now"))
+        return F.aggregate(runs, first, lambda s, r: bound(F.aggregate(r, s["now"], step), lambda after: F.struct(F.array_append(s["all"], after).alias("all"), after.alias("now"))), lambda s: s["all"])
 
     def show(r: Column, state: Column) -> Column:
         first = F.struct(state.alias("now"), F.array().cast(f"array<{kind}>").alias("all"))
         return F.aggregate(r, first, lambda s, x: F.struct(step(s["now"], x).alias("now"), F.array_append(s["all"], shown(s["now"], x)).alias("all")), lambda s: s["all"])
 
-    begins = F.aggregate(runs, F.struct(F.array(zero).alias("all"), zero.alias("now")), begin, lambda s: s["all"])
-    return F.flatten(F.transform(runs, lambda r, i: show(r, F.get(begins, i))))
+    return bound(items, lambda v: bound(cut_up(v), lambda runs: bound(begins(runs), lambda states: F.flatten(F.transform(runs, lambda r, i: show(r, F.get(states, i)))))))
 
 
 SPAN = "struct<a:int,kind:int,b:int,ok:boolean>"
