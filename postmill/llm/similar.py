@@ -149,7 +149,8 @@ def near_copies(docs: DataFrame, words_in_shingle: int = 5, p: int = 4, q: int =
     got = one.orderBy(F.xxhash64("node"), "node").limit(sample_rows).select("fp", "n").toArrow()
     sizes = np.sort(got.column("n").to_numpy().astype(np.int64))
     fit = np.searchsorted(sizes, sizes * q // p, side="right") - np.searchsorted(sizes, -(-sizes * p // q))
-    parts = allocate(got.column("fp").to_numpy().view("<u8"), total, limit, share=float(fit.mean()) / len(sizes))
+    # A row is some 100 bytes on disk here, which counts for more than its time.
+    parts = allocate(got.column("fp").to_numpy().view("<u8"), total, limit, row_cost=500.0, share=float(fit.mean()) / len(sizes))
     links = roots = None
     for look in ({"near": near}, {"thin": thin}, {}):
         nodes = one.withColumn("root", F.col("node")) if roots is None else one.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
