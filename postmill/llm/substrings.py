@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -197,13 +197,9 @@ def drop_repeats(docs: DataFrame, window: int = 20, rows: int = 4000, keep_text:
     marked = cut(_marked(texts, window, rows))
     candidates = texts.join(marked, "row").select("id", "row", "text", "places")
     windows = candidates.mapInArrow(lambda b: _windows(b, window, rows), "key long, more int, id long, place int, row long, later boolean")
-    counts = windows.where("not later").groupBy("key", "more").agg(F.count("*").alias("n"))
-    shared = cut(counts.where("n > 1").select("key", "more", F.lit(True).alias("met")))
-    # Of windows that meet others, those after the first one go.
-    met = cut(windows.join(shared, ["key", "more"], "left").where(F.col("later") | F.col("met")).select("key", "more", "id", "place", "row", "later"))
-    first = met.where("not later").groupBy("key", "more").agg(F.min(F.struct("id", "place")).alias("first"))
-    after = met.where("not later").join(first, ["key", "more"]).where(F.struct("id", "place") > F.col("first"))
-    gone = after.select("id", "row", "place").unionByName(met.where("later").select("id", "row", "place")).groupBy("id", "row").agg(F.collect_set("place").alias("spots"))
+    # Of windows that meet others, those after the first one go; those at the same id and place are all first.
+    ranked = windows.withColumn("rank", F.rank().over(Window.partitionBy("key", "more", "later").orderBy("id", "place")))
+    gone = ranked.where(F.col("later") | (F.col("rank") > 1)).groupBy("id", "row").agg(F.collect_set("place").alias("spots"))
     final = texts.join(gone, ["id", "row"], "left").select("doc_id", "text", "spots", *([F.lit(True).alias("keep")] if keep_text else []))
     return final.mapInArrow(lambda b: _kept(b, window, rows), f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * keep_text)
 
@@ -212,8 +208,8 @@ def _marked(texts: DataFrame, window: int, rows: int) -> DataFrame:
     """By row, the places of the anchors that occur elsewhere too."""
     anchors = texts.select("row", "text").mapInArrow(lambda b: _anchors(b, window, rows), "key long, spot long, row long")
     kind = F.col("spot").bitwiseAND(3)
-    shared = cut(anchors.where(kind < 3).groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.lit(True).alias("met")))
-    meeting = anchors.join(shared, "key", "left").where((kind > 1) | F.col("met"))
+    others = F.sum(F.when(kind < 3, 1).otherwise(0)).over(Window.partitionBy("key"))
+    meeting = anchors.withColumn("n", others).where((kind > 1) | (F.col("n") > 1))
     return meeting.groupBy("row").agg(F.collect_set(F.shiftright("spot", 2).cast("int")).alias("places"))
 
 
