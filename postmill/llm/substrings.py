@@ -177,13 +177,12 @@ def ordered(docs: DataFrame) -> DataFrame:
     """doc_id, text, id (a long in the order of the ids) and row (a key of the id and the text)."""
     kind = docs.schema["doc_id"].dataType
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    if isinstance(kind, T.IntegralType):
-        texts = texts.withColumn("id", F.col("doc_id").cast("long"))
-    else:
-        known = texts.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
-        ranks = cut(known.repartitionByRange("doc_id").sortWithinPartitions("doc_id").withColumn("id", F.monotonically_increasing_id()))
-        texts = texts.join(ranks, "doc_id", "left")
-    return texts.withColumns({"id": F.coalesce("id", F.lit(NO_ID)), "row": F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text")})
+    row = F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text").alias("row")
+    if isinstance(kind, T.IntegralType):  # the id is made where it is used, so that both uses move the same columns
+        return texts.select("doc_id", "text", row).withColumn("id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
+    known = texts.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
+    ranks = cut(known.repartitionByRange("doc_id").sortWithinPartitions("doc_id").withColumn("id", F.monotonically_increasing_id()))
+    return texts.select("doc_id", "text", row).join(ranks, "doc_id", "left").withColumn("id", F.coalesce("id", F.lit(NO_ID)))
 
 
 def drop_repeats(docs: DataFrame, window: int = 20, rows: int = 4000, keep_text: bool = False) -> DataFrame:
@@ -195,12 +194,16 @@ def drop_repeats(docs: DataFrame, window: int = 20, rows: int = 4000, keep_text:
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = ordered(docs)
     marked = cut(_marked(texts, window, rows))
-    candidates = texts.join(marked, "row").select("id", "row", "text", "places")
+    # Both joins read the texts from one exchange on the row's key.
+    plain = isinstance(docs.schema["doc_id"].dataType, T.IntegralType)
+    moved = texts.drop("id") if plain else texts
+    order = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id") if plain else F.col("id")
+    candidates = moved.join(marked.hint("shuffle_hash"), "row").select(order, "row", "text", "places")
     windows = candidates.mapInArrow(lambda b: _windows(b, window, rows), "key long, more int, id long, place int, row long, later boolean")
     # Of windows that meet others, those after the first one go; those at the same id and place are all first.
     ranked = windows.withColumn("rank", F.rank().over(Window.partitionBy("key", "more", "later").orderBy("id", "place")))
-    gone = ranked.where(F.col("later") | (F.col("rank") > 1)).groupBy("id", "row").agg(F.collect_set("place").alias("spots"))
-    final = texts.join(gone, ["id", "row"], "left").select("doc_id", "text", "spots", *([F.lit(True).alias("keep")] if keep_text else []))
+    gone = ranked.where(F.col("later") | (F.col("rank") > 1)).groupBy("row").agg(F.collect_set("place").alias("spots"))
+    final = moved.join(gone.hint("shuffle_hash"), "row", "left").select("doc_id", "text", "spots", *([F.lit(True).alias("keep")] if keep_text else []))
     return final.mapInArrow(lambda b: _kept(b, window, rows), f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * keep_text)
 
 
