@@ -11,7 +11,9 @@ What the plan does instead of comparing all pairs of each block:
 * each pair of close addresses is compared once, where the home cell of the better one meets the
   neighbourhood of the other, and not once for each of up to nine shared blocks;
 * only addresses that have a duplicate at all are dealt to their blocks, where a fold over at most
-  `limit` members decides with the ids of each one's duplicates.
+  `limit` members decides with the ids of each one's duplicates;
+* its joins are merged by hint: Spark's estimate of a size leaves out what an explode multiplies and how
+  far Parquet packs the rows, so it would broadcast millions of rows through the driver.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from postmill.schema import FIELDS, LARGEST_BLOCK
 
 #: Degrees from which on a cell is less than 1 km wide, with some room.
 NARROW = 77.0
+#: So many oversized blocks, as counted, are broadcast.
+FEW = 100_000
 
 
 def block_keys(addresses: DataFrame) -> DataFrame:
@@ -94,7 +98,7 @@ def duplicate_pairs(addresses: DataFrame, blocks: DataFrame | None = None, match
     """
     keyed = with_keys(addresses.select("id", "rank", *FIELDS))
     if blocks is not None:
-        keyed = keyed.join(blocks.select(F.col("address").alias("id")).distinct(), "id", "left_semi")
+        keyed = keyed.join(blocks.select(F.col("address").alias("id")).distinct().hint("merge"), "id", "left_semi")
     keyed = keyed.withColumn("k_block", F.xxhash64("k_number", "k_core")).select("id", "rank", *FIELDS, *KEYS, "k_block", cell_x(F.col("lon")).alias("cx"), cell_y(F.col("lat")).alias("cy"))
     a = keyed.alias("a")
     # Two addresses may share a block two cells apart; towards the poles that can be within reach.
@@ -103,7 +107,7 @@ def duplicate_pairs(addresses: DataFrame, blocks: DataFrame | None = None, match
     of = lambda side: lambda name: F.col(f"{side}.{name}")
     better = (F.col("a.rank") > F.col("b.rank")) | (F.col("a.rank") == F.col("b.rank")) & (F.col("a.id") > F.col("b.id"))
     meet = (F.col("a.k_block") == F.col("b.k_block")) & (F.col("a.cx") == F.col("b.cx")) & (F.col("a.cy") == F.col("b.cy"))
-    return a.join(b, meet & better & matches(of("a"), of("b"))).select(F.col("a.id").alias("better"), F.col("b.id").alias("worse"))
+    return a.join(b.hint("merge"), meet & better & matches(of("a"), of("b"))).select(F.col("a.id").alias("better"), F.col("b.id").alias("worse"))
 
 
 def to_delete(addresses: DataFrame, limit: int = LARGEST_BLOCK, oversize: str = "delete_all", matches: Matcher = is_duplicate) -> DataFrame:
@@ -112,14 +116,15 @@ def to_delete(addresses: DataFrame, limit: int = LARGEST_BLOCK, oversize: str =
         raise ValueError("oversize is delete_all or keep_all")
     blocks = hashes(addresses)
     big = cut(oversized(blocks, limit).select("hash"))
-    some_big = not big.isEmpty()
+    n_big = big.count()
+    some_big, big = n_big > 0, F.broadcast(big) if n_big <= FEW else big.hint("merge")
     alive = lambda frame: frame.join(big, "hash", "left_anti") if some_big else frame
     pairs = cut(duplicate_pairs(addresses, alive(blocks) if some_big else None, matches))
-    near = pairs.groupBy("worse").agg(F.collect_list("better").alias("near"))
+    near = pairs.groupBy("worse").agg(F.collect_list("better").alias("near")).hint("merge")
     members = pairs.select(F.col("better").alias("id")).unionByName(pairs.select(F.col("worse").alias("id"))).distinct()
-    involved = addresses.join(members, "id", "left_semi")
+    involved = addresses.join(members.hint("merge"), "id", "left_semi")
     ranked = involved.select("id", "rank").join(near, F.col("id") == near.worse, "left").select("id", F.struct("rank", "id", F.coalesce("near", F.array().cast("array<bigint>")).alias("near")).alias("m"))
-    dealt = alive(hashes(involved)).join(ranked, F.col("address") == F.col("id")).select("hash", "m")
+    dealt = alive(hashes(involved)).join(ranked.hint("merge"), F.col("address") == F.col("id")).select("hash", "m")
     ordered = F.reverse(F.array_sort(F.collect_list("m")))
     kept = F.aggregate("pack", F.array().cast("array<bigint>"), lambda k, m: F.when(F.arrays_overlap(k, m["near"]), k).otherwise(F.array_append(k, m["id"])))
     packs = dealt.groupBy("hash").agg(ordered.alias("pack")).where(F.size("pack") > 1)
@@ -131,5 +136,5 @@ def to_delete(addresses: DataFrame, limit: int = LARGEST_BLOCK, oversize: str =
 
 def survivors(addresses: DataFrame, limit: int = LARGEST_BLOCK, oversize: str = "delete_all", matches: Matcher = is_duplicate) -> DataFrame:
     """The rows of addresses (id, rank and the fields) that aren't deleted."""
-    lost = to_delete(addresses, limit, oversize, matches)
+    lost = to_delete(addresses, limit, oversize, matches).hint("merge")
     return addresses.join(lost, addresses.id == lost.address_id, "left_anti")

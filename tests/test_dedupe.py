@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,6 +98,26 @@ def test_plan_has_no_product_and_no_python(spark):
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan and "Python" not in plan
 
 
+def broadcast(monkeypatch, addresses, **options):
+    """Lines of all plans of a deduplication that broadcast a side of a join, but for the oversized blocks, which are counted."""
+    planned, cut = [], dedupe.cut
+    with monkeypatch.context() as m:
+        m.setattr(dedupe, "cut", lambda df: planned.append(df) or cut(df))
+        planned.append(dedupe.survivors(addresses, **options))
+    assert len(planned) == 3
+    lines = [line for df in planned for line in df._jdf.queryExecution().executedPlan().toString().splitlines()]
+    assert any("SortMergeJoin" in line for line in lines)
+    return [line for line in lines if "Broadcast" in line and "Join" in line and not re.search(r"\[hash#\d+L\], \[hash#\d+L\], Left(Semi|Anti), BuildRight", line)]
+
+
+@pytest.mark.parametrize("limit", [5000, 25])
+def test_copies_are_not_broadcast(spark, monkeypatch, tmp_path, limit):
+    # An estimate of their size leaves out the explode, so it is under the limit of a broadcast however many copies there are.
+    frame(spark, SPELLINGS).write.parquet(f"{tmp_path}/one")
+    ten = spark.read.parquet(f"{tmp_path}/one").withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(9)))).withColumn("id", F.col("id") + F.col("copy") * 1000).drop("copy")
+    assert broadcast(monkeypatch, ten, limit=limit) == []
+
+
 def test_pairs_are_found_once(spark):
     pairs = dedupe.duplicate_pairs(frame(spark, SPELLINGS))
     assert pairs.count() == pairs.distinct().count()
