@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from postmill.functions.geo import cell_x
 from postmill.operators import dedupe
+from postmill.operators.store import AddressStore
+from postmill.schema import FIELDS
 
 from known_addresses import DIFFERENT, SPELLINGS
 
@@ -118,6 +120,15 @@ def test_copies_are_not_broadcast(spark, monkeypatch, tmp_path, limit):
     assert broadcast(monkeypatch, ten, limit=limit) == []
 
 
+def test_a_store_of_batches_is_not_broadcast(spark, monkeypatch, tmp_path):
+    # Parquet packs addresses into a few bytes each, so an estimate of a store's size is far too small.
+    kept, rows = AddressStore(spark, f"{tmp_path}/store"), frame(spark, SPELLINGS)
+    for low in (0, 1):
+        kept.add(rows.where(F.col("id") % 2 == low).select(*FIELDS, F.lit("osm").alias("source"), F.col("id").alias("_order")))
+    assert broadcast(monkeypatch, kept.addresses()) == []
+    assert kept.deduplicated().count() == 10
+
+
 def test_pairs_are_found_once(spark):
     pairs = dedupe.duplicate_pairs(frame(spark, SPELLINGS))
     assert pairs.count() == pairs.distinct().count()
