@@ -7,6 +7,7 @@ or none ("keep_all").
 
 What the plan does instead of comparing all pairs of each block:
 
+* exact copies are counted, and one stands for all of them (see copies.py);
 * blocks are counted with partial sums, and members of oversized blocks settled without meeting;
 * each pair of close addresses is compared once, where the home cell of the better one meets the
   neighbourhood of the other, and not once for each of up to nine shared blocks;
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from postmill.functions.compare import KEYS, is_duplicate, with_keys
 from postmill.functions.geo import around, cell_x, cell_y
 from postmill.functions.text import core, expand, fold, number_key
+from postmill.operators.copies import alike, apart
 from postmill.operators.cutting import cut
 from postmill.schema import FIELDS, LARGEST_BLOCK
 
@@ -36,16 +38,18 @@ NARROW = 77.0
 FEW = 100_000
 
 
-def block_keys(addresses: DataFrame) -> DataFrame:
-    """(address, key, cx, cy) of every block; addresses with an empty key or no place have none."""
+def block_keys(addresses: DataFrame, *more: str) -> DataFrame:
+    """(address, key, cx, cy) of every block, with `more` columns; addresses with an empty key or no place have none."""
     key = F.concat_ws("|", number_key(F.col("number")), core(expand(fold(F.col("street")))))
-    place = F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), around(cell_x(F.col("lon")), cell_y(F.col("lat"))))
-    return addresses.select(F.col("id").alias("address"), key.alias("key"), F.explode(place).alias("c")).where(F.col("key") != "|").select("address", "key", "c.cx", "c.cy")
+    place = F.when((F.col("key") != "|") & F.col("lat").isNotNull() & F.col("lon").isNotNull(), around(cell_x(F.col("lon")), cell_y(F.col("lat"))))
+    # The key has a projection of its own and rows without place go after the outer explode: else Spark computes the key again for each cell, or for a filter.
+    keyed = addresses.select(F.col("id").alias("address"), key.alias("key"), "lat", "lon", *more)
+    return keyed.withColumn("c", F.explode_outer(place)).where(F.col("c").isNotNull()).select("address", "key", "c.cx", "c.cy", *more)
 
 
-def hashes(addresses: DataFrame) -> DataFrame:
-    """Distinct (address, hash) of all blocks."""
-    return block_keys(addresses).select("address", F.xxhash64("key", "cx", "cy").alias("hash"))
+def hashes(addresses: DataFrame, *more: str) -> DataFrame:
+    """Distinct (address, hash) of all blocks, with `more` columns."""
+    return block_keys(addresses, *more).select("address", F.xxhash64("key", "cx", "cy").alias("hash"), *more)
 
 
 def collisions(blocks: DataFrame) -> DataFrame:
@@ -81,9 +85,10 @@ def count_collisions(blocks: DataFrame) -> DataFrame:
     return shared.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
 
 
-def oversized(blocks: DataFrame, limit: int = LARGEST_BLOCK) -> DataFrame:
-    """(hash, n) of blocks with more members than the limit."""
-    return blocks.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > limit)
+def oversized(blocks: DataFrame, limit: int = LARGEST_BLOCK, members: Column | None = None) -> DataFrame:
+    """(hash, n) of blocks with more members than the limit; `members` counts them, one a row if it isn't given."""
+    counts = blocks.groupBy("hash").agg((F.count("*") if members is None else members).alias("members"))
+    return counts.where(F.col("members") > limit).withColumnRenamed("members", "n")
 
 
 #: Whether the addresses of two rows are the same, given a column of each by its name (`a.`, `b.` in joins).
@@ -110,19 +115,24 @@ def duplicate_pairs(addresses: DataFrame, blocks: DataFrame | None = None, match
     return a.join(b.hint("merge"), meet & better & matches(of("a"), of("b"))).select(F.col("a.id").alias("better"), F.col("b.id").alias("worse"))
 
 
-def to_delete(addresses: DataFrame, limit: int = LARGEST_BLOCK, oversize: str = "delete_all", matches: Matcher = is_duplicate) -> DataFrame:
-    """Distinct address_id of all addresses that lose in some block."""
+def settled(addresses: DataFrame, limit: int, oversize: str, matches: Matcher) -> tuple[DataFrame, DataFrame, bool]:
+    """Addresses that met (id, rank and the fields), distinct address_id of those of them that lose in some block, and
+    whether there are others: copies for which one has met, and which are lost."""
     if oversize not in ("delete_all", "keep_all"):
         raise ValueError("oversize is delete_all or keep_all")
-    blocks = hashes(addresses)
-    big = cut(oversized(blocks, limit).select("hash"))
+    rows = alike(addresses)
+    big = cut(oversized(hashes(rows, "n"), limit, F.sum("n")).select("hash"))
     n_big = big.count()
     some_big, big = n_big > 0, F.broadcast(big) if n_big <= FEW else big.hint("merge")
     alive = lambda frame: frame.join(big, "hash", "left_anti") if some_big else frame
-    pairs = cut(duplicate_pairs(addresses, alive(blocks) if some_big else None, matches))
+    copied = not rows.where("n > 1").isEmpty()
+    compared = alive(hashes(rows)).select(F.col("address").alias("id")) if some_big and oversize == "keep_all" else None
+    met = apart(addresses, rows, matches, compared) if copied else rows.drop("n")
+    blocks = hashes(met)
+    pairs = cut(duplicate_pairs(met, alive(blocks) if some_big else None, matches))
     near = pairs.groupBy("worse").agg(F.collect_list("better").alias("near")).hint("merge")
     members = pairs.select(F.col("better").alias("id")).unionByName(pairs.select(F.col("worse").alias("id"))).distinct()
-    involved = addresses.join(members.hint("merge"), "id", "left_semi")
+    involved = met.join(members.hint("merge"), "id", "left_semi")
     ranked = involved.select("id", "rank").join(near, F.col("id") == near.worse, "left").select("id", F.struct("rank", "id", F.coalesce("near", F.array().cast("array<bigint>")).alias("near")).alias("m"))
     dealt = alive(hashes(involved)).join(ranked.hint("merge"), F.col("address") == F.col("id")).select("hash", "m")
     ordered = F.reverse(F.array_sort(F.collect_list("m")))
@@ -131,10 +141,22 @@ def to_delete(addresses: DataFrame, limit: int = LARGEST_BLOCK, oversize: str =
     lost = packs.select(F.explode(F.array_except(F.transform("pack", lambda m: m["id"]), kept)).alias("address_id"))
     if oversize == "delete_all":
         lost = lost.unionByName(blocks.join(big, "hash", "left_semi").select(F.col("address").alias("address_id")))
-    return lost.distinct()
+    return met, lost.distinct(), copied
+
+
+def to_delete(addresses: DataFrame, limit: int = LARGEST_BLOCK, oversize: str = "delete_all", matches: Matcher = is_duplicate) -> DataFrame:
+    """Distinct address_id of all addresses that lose in some block."""
+    met, lost, copied = settled(addresses, limit, oversize, matches)
+    if copied:
+        lost = lost.unionByName(addresses.select(F.col("id").alias("address_id")).join(met.select(F.col("id").alias("address_id")).hint("merge"), "address_id", "left_anti"))
+    return lost
 
 
 def survivors(addresses: DataFrame, limit: int = LARGEST_BLOCK, oversize: str = "delete_all", matches: Matcher = is_duplicate) -> DataFrame:
     """The rows of addresses (id, rank and the fields) that aren't deleted."""
-    lost = to_delete(addresses, limit, oversize, matches).hint("merge")
+    met, lost, copied = settled(addresses, limit, oversize, matches)
+    lost = lost.hint("merge")
+    if copied:
+        kept = met.select(F.col("id").alias("kept")).join(lost, F.col("kept") == lost.address_id, "left_anti")
+        return addresses.join(kept.hint("merge"), addresses.id == kept.kept, "left_semi")
     return addresses.join(lost, addresses.id == lost.address_id, "left_anti")

@@ -138,3 +138,56 @@ def test_pairs_are_found_once(spark):
 def test_a_matcher_of_ones_own(spark):
     kept = dedupe.survivors(frame(spark, SPELLINGS), matches=lambda a, b: (a("street") == b("street")) & (a("number") == b("number")))
     assert kept.count() == len({(n, s) for _, _, n, s, _, _ in SPELLINGS})
+
+
+def folded(rows, pairs, limit, oversize):
+    """Ids that lose, by plain loops over all blocks with all their members."""
+    rank, beside, blocks = {r.id: r.rank for r in rows.collect()}, {(r.better, r.worse) for r in pairs.collect()}, {}
+    for r in dedupe.hashes(rows).collect():
+        blocks.setdefault(r.hash, []).append(r.address)
+    lost = set()
+    for members in blocks.values():
+        kept = []
+        for m in sorted(members, key=lambda m: (rank[m], m), reverse=True) if len(members) <= limit else []:
+            (lost.add if any((k, m) in beside for k in kept) else kept.append)(m)
+        if len(members) > limit and oversize == "delete_all":
+            lost |= set(members)
+    return lost
+
+
+def both_streets(a, b):
+    return dedupe.is_duplicate(a, b) & (a("street") != b("street"))
+
+
+@pytest.mark.parametrize(
+    "limit, oversize, matches",
+    [(5000, "delete_all", dedupe.is_duplicate), (11, "delete_all", dedupe.is_duplicate), (11, "keep_all", dedupe.is_duplicate), (5000, "delete_all", both_streets)],
+)
+def test_copies_are_settled_as_by_plain_loops(spark, limit, oversize, matches):
+    # Some can't stand for their copies: without street, without place, in no block, in oversized blocks only, or not alike by the matcher.
+    odd = [(48.0, 2.0, "1", None, "X", "1"), (None, 2.0, "1", "Rue A", "X", "1"), (48.0, 2.0, "", "", "X", "1"), (48.0, 2.0, None, "Rue A", "X", "1")]
+    rows = SPELLINGS * 3 + odd * 3 + [(47.0, 1.0, "1", "Rue A", "X", "1")] * 12 + [(47.0, 1.04, "1", "Rue A", "X", "1")] * 2
+    random.Random(4).shuffle(rows)
+    addresses = frame(spark, rows, {i: float(i % 2) for i in range(len(rows))})
+    options = {"limit": limit, "oversize": oversize, "matches": matches}
+    lost = folded(addresses, dedupe.duplicate_pairs(addresses, matches=matches), limit, oversize)
+    assert 0 < len(lost) < len(rows)
+    assert sorted(r.address_id for r in dedupe.to_delete(addresses, **options).collect()) == sorted(lost)
+    assert sorted(r.id for r in dedupe.survivors(addresses, **options).collect()) == sorted(set(range(len(rows))) - lost)
+
+
+def test_copies_do_not_meet(spark, monkeypatch):
+    # Ten copies have as many pairs as one; as pairs of their own they'd be 100 times as many.
+    counts, pairs = [], dedupe.duplicate_pairs
+    monkeypatch.setattr(dedupe, "duplicate_pairs", lambda *a: counts.append((found := pairs(*a)).count()) or found)
+    one = frame(spark, SPELLINGS)
+    ten = one.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(9)))).withColumn("id", F.col("id") + F.col("copy") * 1000)
+    assert dedupe.survivors(one).count() == dedupe.survivors(ten).count() == 10
+    assert counts[0] == counts[1] > 0
+
+
+def test_keys_are_computed_once_for_all_cells(spark, tmp_path):
+    frame(spark, SPELLINGS).write.parquet(f"{tmp_path}/one")
+    plan = dedupe.hashes(spark.read.parquet(f"{tmp_path}/one"))._jdf.queryExecution().executedPlan().toString().splitlines()
+    cells = next(i for i, line in enumerate(plan) if "Generate" in line)
+    assert [i > cells for i, line in enumerate(plan) if "translate(" in line] == [True]
